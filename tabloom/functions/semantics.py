@@ -87,6 +87,17 @@ def tokens(c, lower: bool = False) -> Column:
     return F.filter(F.split(F.trim(x), r"\s+"), lambda t: t != "")
 
 
+def round_half_up(c, digits: int = 6) -> Column:
+    """floor(x * 10^d + 0.5) / 10^d in plain double arithmetic.
+
+    Written out (instead of ``round``) so that any SQL engine evaluating the
+    same IEEE expression gets bit-identical results, also at exact halves.
+    """
+    x = col_(c).cast("double")
+    s = float(10 ** digits)
+    return F.when(F.abs(x) < 1e12, F.floor(x * s + 0.5).cast("double") / s).otherwise(x)
+
+
 def round_outputs(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round doubles/floats and widen integral columns to bigint.
 
@@ -97,11 +108,11 @@ def round_outputs(df: DataFrame, digits: int = 6) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), digits)
+            c = round_half_up(c, digits)
         elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, T.DecimalType):
-            c = F.round(c.cast("double"), digits)
+            c = round_half_up(c, digits)
         elif isinstance(f.dataType, T.BooleanType):
             c = c.cast("bigint")
         out.append(c.alias(f.name))

@@ -52,7 +52,8 @@ def normalized_sql(name: str, sql: str, schema: list | None) -> str:
     for c, t in schema:
         q = _quote(c)
         if t in ("double", "float") or t.startswith("decimal"):
-            cols.append(f"round(CAST({q} AS DOUBLE), 6) AS {q}")
+            x = f"CAST({q} AS DOUBLE)"
+            cols.append(f"CASE WHEN abs({x}) < 1e12 THEN floor({x} * 1000000.0 + 0.5) / 1000000.0 ELSE {x} END AS {q}")
         elif t in ("bigint", "int", "smallint", "tinyint"):
             cols.append(f"CAST({q} AS BIGINT) AS {q}")
         else:
