@@ -87,19 +87,36 @@ def tokens(c, lower: bool = False) -> Column:
     return F.filter(F.split(F.trim(x), r"\s+"), lambda t: t != "")
 
 
-def round_half_up(c, digits: int = 6) -> Column:
-    """floor(x * 10^d + 0.5) / 10^d in plain double arithmetic.
+_CUT = 0.5001234567
 
-    Written out (instead of ``round``) so that any SQL engine evaluating the
-    same IEEE expression gets bit-identical results, also at exact halves.
+
+def round_sig(c, digits: int = 10) -> Column:
+    """Round half-up to ``digits`` significant digits in plain IEEE arithmetic.
+
+    Written out (instead of ``round``) so that a SQL engine evaluating the
+    same expression gets bit-identical results: the power of ten is always
+    an exact double (10^0..10^22) and is applied by one multiply or divide.
+    Float sums differ between engines in the last bits only; rounding to
+    significant digits hides that at every magnitude.  The cut-off sits at
+    an odd fraction (``_CUT``) rather than at .5: means of decimal data often
+    land exactly on a half, where last-bit noise would decide the direction.
     """
     x = col_(c).cast("double")
-    s = float(10 ** digits)
-    return F.when(F.abs(x) < 1e12, F.floor(x * s + 0.5).cast("double") / s).otherwise(x)
+    e = F.floor(F.log10(F.abs(x)))
+    k = digits - 1
+    big = F.floor(x / F.pow(F.lit(10.0), e - k) + _CUT) * F.pow(F.lit(10.0), e - k)
+    small = F.floor(x * F.pow(F.lit(10.0), k - e) + _CUT) / F.pow(F.lit(10.0), k - e)
+    bad = x.isNull() | F.isnan(x) | (x == 0) | (F.abs(x) == float("inf"))
+    return F.when(bad, x).when(e >= k, big).otherwise(small)
+
+
+SQL_ROUND_SIG = ("CASE WHEN {x} IS NULL OR isnan({x}) OR {x} = 0 OR isinf({x}) THEN {x} "
+                 "WHEN floor(log10(abs({x}))) >= {k} THEN floor({x} / pow(10.0, floor(log10(abs({x}))) - {k}) + 0.5001234567) * pow(10.0, floor(log10(abs({x}))) - {k}) "
+                 "ELSE floor({x} * pow(10.0, {k} - floor(log10(abs({x})))) + 0.5001234567) / pow(10.0, {k} - floor(log10(abs({x})))) END")
 
 
-def round_outputs(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round doubles/floats and widen integral columns to bigint.
+def round_outputs(df: DataFrame, digits: int = 10) -> DataFrame:
+    """Round doubles/floats to significant digits and widen integral columns to bigint.
 
     Used by the registered queries so results compare exactly against a SQL
     oracle (float sums are order dependent in every engine).
@@ -108,11 +125,11 @@ def round_outputs(df: DataFrame, digits: int = 6) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = round_half_up(c, digits)
+            c = round_sig(c, digits)
         elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, T.DecimalType):
-            c = round_half_up(c, digits)
+            c = round_sig(c, digits)
         elif isinstance(f.dataType, T.BooleanType):
             c = c.cast("bigint")
         out.append(c.alias(f.name))

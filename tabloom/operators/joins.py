@@ -80,3 +80,12 @@ def keep_known(tokens: DataFrame, vocab: DataFrame, token_col: str, vocab_col: s
     """Rows whose token is in the vocabulary (left semi join)."""
     vc = vocab_col or token_col
     return tokens.join(vocab.select(F.col(vc).alias("_vk")), F.col(token_col) == F.col("_vk"), "left_semi")
+
+
+def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Append the columns of a one-row aggregate (a global statistic) to every row.
+
+    The one-row side is broadcast: its size is one row by construction.
+    """
+    return (df.withColumn("_one", F.lit(0))
+            .join(F.broadcast(one_row.withColumn("_one", F.lit(0))), "_one", "inner").drop("_one"))
