@@ -188,3 +188,21 @@ def mean_importance(imp: DataFrame, feature: str = "feature", value: str = "impo
 def shape(df: DataFrame) -> DataFrame:
     """(n_rows, n_cols) of a stage as a one-row DataFrame."""
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)).cast("long"))
+
+
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median") -> DataFrame:
+    """Exact (interpolated) median per key without gathering a group in one task.
+
+    Values are numbered within their key by the range-partitioned
+    ``row_number_by`` (a hot key is spread over many tasks); only the one or
+    two middle rows of each key survive to the final average.
+    """
+    from .ranking import row_number_by
+    keys = list(keys)
+    x = df.select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    n = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    r = row_number_by(x, keys, ["_x"], out="_r")
+    lo = F.floor((F.col("_n") - 1) / 2) + 1
+    hi = F.ceil((F.col("_n") - 1) / 2) + 1
+    mid = r.join(n, keys, "inner").where((F.col("_r") == lo) | (F.col("_r") == hi))
+    return mid.groupBy(*keys).agg(F.avg("_x").alias(out))
