@@ -50,22 +50,22 @@ def row_number_by(df: DataFrame, keys: Sequence[str] | str | None, order: Sequen
     sort_cols = [col_(k) for k in keys] + [col_(o) for o in order]
     t = (df.repartitionByRange(n, *sort_cols)
            .sortWithinPartitions(*sort_cols)
-           .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_li", F.monotonically_increasing_id()
+           .withColumn("__rn_pid", F.spark_partition_id())
+           .withColumn("__rn_li", F.monotonically_increasing_id()
                        - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
     ensure_checkpoint_dir(df.sparkSession)
     t = t.checkpoint(eager=True)
-    stats = t.groupBy("_pid", *keys).agg(F.min("_li").alias("_first"),
-                                         F.count(F.lit(1)).alias("_cnt"))
-    w = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_pid") \
+    stats = t.groupBy("__rn_pid", *keys).agg(F.min("__rn_li").alias("__rn_first"),
+                                         F.count(F.lit(1)).alias("__rn_cnt"))
+    w = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("__rn_pid") \
         .rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
-    ren = {k: f"_k{i}" for i, k in enumerate(keys)}
-    stats = stats.withColumnsRenamed(ren).withColumnRenamed("_pid", "_spid")
-    cond = [F.col("_pid") == F.col("_spid")] + [F.col(k).eqNullSafe(F.col(v)) for k, v in ren.items()]
-    res = t.join(stats, on=cond, how="inner").drop("_spid", *ren.values())
-    return (res.withColumn(out, (F.col("_li") - F.col("_first") + F.col("_before") + 1).cast("long"))
-               .drop("_pid", "_li", "_first", "_before"))
+    stats = stats.withColumn("__rn_before", F.coalesce(F.sum("__rn_cnt").over(w), F.lit(0))).drop("__rn_cnt")
+    ren = {k: f"__rn_k{i}" for i, k in enumerate(keys)}
+    stats = stats.withColumnsRenamed(ren).withColumnRenamed("__rn_pid", "__rn_spid")
+    cond = [F.col("__rn_pid") == F.col("__rn_spid")] + [F.col(k).eqNullSafe(F.col(v)) for k, v in ren.items()]
+    res = t.join(stats, on=cond, how="inner").drop("__rn_spid", *ren.values())
+    return (res.withColumn(out, (F.col("__rn_li") - F.col("__rn_first") + F.col("__rn_before") + 1).cast("long"))
+               .drop("__rn_pid", "__rn_li", "__rn_first", "__rn_before"))
 
 
 def dense_ids(df: DataFrame, cols: Sequence[str] | str, out: str = "id", start: int = 0,
