@@ -115,7 +115,7 @@ SQL_ROUND_SIG = ("CASE WHEN {x} IS NULL OR isnan({x}) OR {x} = 0 OR isinf({x}) T
                  "ELSE floor({x} * pow(10.0, {k} - floor(log10(abs({x})))) + 0.5001234567) / pow(10.0, {k} - floor(log10(abs({x})))) END")
 
 
-def round_outputs(df: DataFrame, digits: int = 10) -> DataFrame:
+def round_outputs(df: DataFrame, digits: int = 8) -> DataFrame:
     """Round doubles/floats to significant digits and widen integral columns to bigint.
 
     Used by the registered queries so results compare exactly against a SQL

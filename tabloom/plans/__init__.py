@@ -45,7 +45,7 @@ def _quote(c: str) -> str:
 
 def normalized_sql(name: str, sql: str, schema: list | None) -> str:
     """Wrap an oracle so its output follows the Spark result's declared types:
-    doubles rounded to 10 significant digits, integers as BIGINT (as ``round_outputs``)."""
+    doubles rounded to 8 significant digits, integers as BIGINT (as ``round_outputs``)."""
     if not schema:
         return sql
     cols = []
@@ -53,7 +53,7 @@ def normalized_sql(name: str, sql: str, schema: list | None) -> str:
         q = _quote(c)
         if t in ("double", "float") or t.startswith("decimal"):
             x = f"CAST({q} AS DOUBLE)"
-            cols.append(SQL_ROUND_SIG.format(x=x, k=9) + f" AS {q}")
+            cols.append(SQL_ROUND_SIG.format(x=x, k=7) + f" AS {q}")
         elif t in ("bigint", "int", "smallint", "tinyint"):
             cols.append(f"CAST({q} AS BIGINT) AS {q}")
         else:
