@@ -118,3 +118,35 @@ def hash_sample(df: DataFrame, id_col: str, fraction: float, seed: int = 0) -> D
 def sample(df: DataFrame, fraction: float, seed: int | None = None) -> DataFrame:
     """Bernoulli sample (smp_frac); use ``hash_sample`` when it must be repeatable."""
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+
+
+def cumulative_sum_by(df: DataFrame, keys: Sequence[str] | str | None, order: Sequence, weight: str,
+                      out: str = "cum", num_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sum of ``weight`` within ``keys`` along ``order``.
+
+    Range-partitioned like ``row_number_by`` so one key never lands in a
+    single task: each (partition, key) slice is summed locally and shifted by
+    the totals of the earlier partitions of the same key.  Rows tied on
+    ``order`` get distinct running values; pre-aggregate ties first when a
+    value per distinct order is wanted.
+    """
+    keys = _names(keys)
+    order = _names(order)
+    n = _num_partitions(df, num_partitions)
+    sort_cols = [col_(k) for k in keys] + [col_(o) for o in order]
+    t = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+           .withColumn("__cs_pid", F.spark_partition_id()))
+    ensure_checkpoint_dir(df.sparkSession)
+    t = t.checkpoint(eager=True)
+    lw = Window.partitionBy("__cs_pid", *keys).orderBy(*[col_(o) for o in order]) \
+        .rowsBetween(Window.unboundedPreceding, 0)
+    t = t.withColumn("__cs_local", F.sum(weight).over(lw))
+    tot = t.groupBy("__cs_pid", *keys).agg(F.sum(weight).alias("__cs_tot"))
+    w = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("__cs_pid") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.withColumn("__cs_before", F.coalesce(F.sum("__cs_tot").over(w), F.lit(0))).drop("__cs_tot")
+    ren = {k: f"__cs_k{i}" for i, k in enumerate(keys)}
+    tot = tot.withColumnsRenamed(ren).withColumnRenamed("__cs_pid", "__cs_spid")
+    cond = [F.col("__cs_pid") == F.col("__cs_spid")] + [F.col(k).eqNullSafe(F.col(v)) for k, v in ren.items()]
+    res = t.join(tot, on=cond, how="inner").drop("__cs_spid", *ren.values())
+    return res.withColumn(out, F.col("__cs_local") + F.col("__cs_before")).drop("__cs_pid", "__cs_local", "__cs_before")
