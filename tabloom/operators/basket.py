@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.semantics import safe_div
-from .ranking import running_number
 
 
 def prior_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
@@ -25,14 +24,19 @@ def prior_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def product_features(op: DataFrame) -> DataFrame:
-    """prod_orders, prod_reorder_probability, prod_reorder_times, prod_reorder_ratio."""
-    t = running_number(op.select("user_id", "product_id", "order_number", "reordered"),
-                       ["user_id", "product_id"], ["order_number"], out="product_time")
-    a = t.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("prod_orders"),
-        F.sum("reordered").alias("prod_reorders"),
-        F.count_if(F.col("product_time") == 1).alias("prod_first_orders"),
-        F.count_if(F.col("product_time") == 2).alias("prod_second_orders"))
+    """prod_orders, prod_reorder_probability, prod_reorder_times, prod_reorder_ratio.
+
+    ``product_time == 1`` holds once per (user, product) pair and
+    ``product_time == 2`` once per pair bought at least twice, so both
+    counts come from a pair aggregate — no per-pair numbering is needed.
+    """
+    pairs = op.groupBy("user_id", "product_id").agg(F.count(F.lit(1)).alias("_n"),
+                                                     F.sum("reordered").alias("_r"))
+    a = pairs.groupBy("product_id").agg(
+        F.sum("_n").alias("prod_orders"),
+        F.sum("_r").alias("prod_reorders"),
+        F.count(F.lit(1)).alias("prod_first_orders"),
+        F.count_if(F.col("_n") >= 2).alias("prod_second_orders"))
     return a.select(
         "product_id", "prod_orders",
         safe_div("prod_second_orders", "prod_first_orders").alias("prod_reorder_probability"),

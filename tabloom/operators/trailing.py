@@ -31,13 +31,22 @@ def micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def split_base_history(df: DataFrame, ts: str, group_keys: Sequence[str], moment_us: int, k: int = 0):
-    """(base, history) with helper columns _t, _M (group max), _L1, _L2."""
+def split_base_history(df: DataFrame, ts: str, group_keys: Sequence[str], moment_us: int, k: int = 0,
+                       materialize: bool = False):
+    """(base, history) with helper columns _t, _M (group max), _L1, _L2.
+
+    ``materialize`` checkpoints the prepared table (shared checkpoint folder)
+    when many feature blocks will read it.
+    """
     t = df.withColumn("_t", micros(ts))
     m = t.groupBy(*group_keys).agg(F.max("_t").alias("_M"))
     t = (t.join(m, list(group_keys), "inner")
           .withColumn("_L1", F.col("_M") - F.lit((k + 1) * moment_us))
           .withColumn("_L2", F.col("_M") - F.lit(k * moment_us)))
+    if materialize:
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(t.sparkSession)
+        t = t.checkpoint(eager=True)
     base = t.where((F.col("_t") >= F.col("_L1")) & (F.col("_t") < F.col("_L2")))
     hist = t.where(F.col("_t") < F.col("_L1"))
     return base, hist
@@ -131,7 +140,7 @@ def assemble(df: DataFrame, obs_id: str, ts: str, group_keys: Sequence[str], val
     ``decay_horizons``.  Blocks sharing a key set are computed in one
     aggregation; each key set costs one join on obs_id.
     """
-    base, hist = split_base_history(df, ts, group_keys, moment_us, k)
+    base, hist = split_base_history(df, ts, group_keys, moment_us, k, materialize=True)
     by_keys: dict[tuple, list[dict]] = {}
     for b in blocks:
         by_keys.setdefault(tuple(b["keys"]), []).append(b)

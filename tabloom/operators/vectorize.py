@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import attach_row
@@ -72,12 +72,20 @@ def binary_doc_terms(pairs: DataFrame, id_col: str, min_df: int = 1) -> DataFram
 
 def select_vocab(df: DataFrame, id_col: str, terms: Column, min_df: int = 1, max_features: int | None = None) -> DataFrame:
     """(term, df, tf, term_id): terms with df ≥ min_df; the ``max_features`` most
-    frequent (corpus count desc, term asc); ids 0.. in term order."""
+    frequent (corpus count desc, term asc); ids 0.. in term order.
+
+    With ``max_features`` the top terms come from a distributed top-k
+    (per-partition top-k, then a merge of at most k rows per partition), and
+    numbering the ≤ k survivors is bounded; without it the numbering is the
+    range-partitioned ``row_number_by``.
+    """
     x = df.select(id_col, F.explode(terms).alias("term"))
-    st = x.groupBy("term").agg(F.count_distinct(id_col).alias("df"), F.count(F.lit(1)).alias("tf")) \
+    per_doc = x.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("_c"))
+    st = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("_c").alias("tf")) \
         .where(F.col("df") >= min_df)
     if max_features:
-        st = row_number_by(st, None, [F.col("tf").desc(), F.col("term")], out="_r").where(F.col("_r") <= max_features).drop("_r")
+        top = st.orderBy(F.col("tf").desc(), F.col("term")).limit(max_features)
+        return top.withColumn("term_id", F.row_number().over(Window.orderBy("term")) - 1)
     st = row_number_by(st, None, ["term"], out="term_id")
     return st.withColumn("term_id", F.col("term_id") - 1)
 

@@ -7,7 +7,7 @@ adaptive execution broadcasts or skew-splits.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ranking import row_number_by
@@ -31,10 +31,13 @@ def build_vocab(df: DataFrame, tokens: Column | str, max_size: int | None = None
     """word → id by corpus frequency (count desc, word asc), ids from ``start``;
     words whose id would reach ``max_size`` are left out (Keras ``num_words``)."""
     tf = term_freq(df, tokens, word, "_cnt")
-    r = row_number_by(tf, None, [F.col("_cnt").desc(), F.col(word)], out=idx)
-    r = r.withColumn(idx, F.col(idx) + (start - 1))
     if max_size:
-        r = r.where(F.col(idx) < max_size)
+        # bounded: distributed top-k of at most max_size - start rows, numbered after
+        top = tf.orderBy(F.col("_cnt").desc(), F.col(word)).limit(max(max_size - start, 0))
+        r = top.withColumn(idx, F.row_number().over(Window.orderBy(F.col("_cnt").desc(), F.col(word))))
+    else:
+        r = row_number_by(tf, None, [F.col("_cnt").desc(), F.col(word)], out=idx)
+    r = r.withColumn(idx, F.col(idx) + (start - 1))
     return r.select(word, idx)
 
 

@@ -48,9 +48,11 @@ def basket_lines(spark: SparkSession, sf_dir: str, orders: DataFrame | None = No
           .groupBy(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"))
           .agg(F.min("l_linenumber").alias("add_to_cart_order")))
     j = li.join(orders.select("order_id", "user_id", "order_number"), "order_id")
-    j = row_number_by(j, ["user_id", "product_id"], ["order_number"], out="_seen")
+    # earlier order of the same user with the same product ⇔ not the pair's first order
+    first = j.groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first"))
+    j = j.join(first, ["user_id", "product_id"])
     return j.select("order_id", "product_id", "add_to_cart_order",
-                    (F.col("_seen") > 1).cast("int").alias("reordered"))
+                    (F.col("order_number") > F.col("_first")).cast("int").alias("reordered"))
 
 
 BASKET_SQL = """
