@@ -89,6 +89,38 @@ def _median_blocks(hist: DataFrame, keys, value, name, horizons, moment_us, k):
             .withColumnsRenamed({str(n): f"{name}_median{n}" for n in horizons}))
 
 
+def _block_aggs(value, name, horizons, decay_horizons, moment_us, k, stats, decay_base, unit_us, median):
+    skip = ("median",) if median in ("distributed", "approx") else ()
+    aggs = trailing_aggs(value, name, horizons, moment_us, k, stats, skip)
+    if median == "approx" and "median" in stats:
+        aggs += [F.percentile_approx(F.when(_in_horizon(n, moment_us, k), F.col(value)), 0.5, 10000)
+                 .cast("double").alias(f"{name}_median{n}") for n in horizons]
+    aggs += decay_aggs(value, name, decay_horizons, moment_us, k, decay_base, unit_us)
+    ordered = [f"{name}_{s}{n}" for n in horizons for s in stats] + [f"{name}_exp_mean{n}" for n in decay_horizons]
+    return aggs, ordered
+
+
+def keyset_features(base: DataFrame, hist: DataFrame, obs_id: str, keys: Sequence[str], value: str,
+                    blocks: Sequence[dict], moment_us: int, k: int = 0, stats: Sequence[str] = STATS7,
+                    decay_base: float = 0.985, unit_us: int = 15 * MINUTES, median: str = "exact") -> DataFrame:
+    """All blocks sharing one key set: ONE aggregation of the history, ONE join to the base rows."""
+    keys = list(keys)
+    aggs, ordered = [], []
+    for b in blocks:
+        a, o = _block_aggs(value, b["name"], b.get("horizons", ()), b.get("decay_horizons", ()), moment_us, k,
+                           stats, decay_base, unit_us, median)
+        aggs += a
+        ordered += o
+    res = hist.groupBy(*keys).agg(*aggs)
+    if median == "distributed" and "median" in stats:
+        for b in blocks:
+            if b.get("horizons"):
+                res = res.join(_median_blocks(hist, keys, value, b["name"], b["horizons"], moment_us, k), keys, "left")
+    feats = set(res.columns) - set(keys)
+    out = base.select(obs_id, *keys).join(res, keys, "left")
+    return out.select(obs_id, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ordered if c in feats])
+
+
 def feature_block(base: DataFrame, hist: DataFrame, obs_id: str, keys: Sequence[str], value: str,
                   name: str, horizons: Sequence[int] = (), decay_horizons: Sequence[int] = (),
                   moment_us: int = 16 * 15 * MINUTES, k: int = 0, stats: Sequence[str] = STATS7,
@@ -100,20 +132,9 @@ def feature_block(base: DataFrame, hist: DataFrame, obs_id: str, keys: Sequence[
     "distributed" (exact, range-partitioned — for hot or coarse keys) or
     "approx" (percentile_approx).
     """
-    keys = list(keys)
-    skip = ("median",) if median in ("distributed", "approx") else ()
-    aggs = trailing_aggs(value, name, horizons, moment_us, k, stats, skip)
-    if median == "approx" and "median" in stats:
-        aggs += [F.percentile_approx(F.when(_in_horizon(n, moment_us, k), F.col(value)), 0.5, 10000)
-                 .cast("double").alias(f"{name}_median{n}") for n in horizons]
-    aggs += decay_aggs(value, name, decay_horizons, moment_us, k, decay_base, unit_us)
-    res = hist.groupBy(*keys).agg(*aggs)
-    if median == "distributed" and "median" in stats and horizons:
-        res = res.join(_median_blocks(hist, keys, value, name, horizons, moment_us, k), keys, "left")
-    feats = [c for c in res.columns if c not in keys]
-    ordered = [f"{name}_{s}{n}" for n in horizons for s in stats] + [f"{name}_exp_mean{n}" for n in decay_horizons]
-    out = base.select(obs_id, *keys).join(res, keys, "left")
-    return out.select(obs_id, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ordered if c in feats])
+    return keyset_features(base, hist, obs_id, keys, value,
+                           [{"name": name, "horizons": horizons, "decay_horizons": decay_horizons}],
+                           moment_us, k, stats, decay_base, unit_us, median)
 
 
 def trailing_stats(df: DataFrame, obs_id: str, ts: str, group_keys: Sequence[str], keys: Sequence[str],
@@ -133,7 +154,8 @@ def decayed_mean(df: DataFrame, obs_id: str, ts: str, group_keys: Sequence[str],
 
 def assemble(df: DataFrame, obs_id: str, ts: str, group_keys: Sequence[str], value: str,
              blocks: Sequence[dict], moment_us: int, k: int = 0, decay_base: float = 0.985,
-             unit_us: int = 15 * MINUTES, median: str = "exact") -> DataFrame:
+             unit_us: int = 15 * MINUTES, median: str = "exact",
+             median_by_keys: dict | None = None) -> DataFrame:
     """All blocks → one wide row per base obs_id.
 
     ``blocks``: dicts with ``keys``, ``name``, ``horizons`` and/or
@@ -146,12 +168,9 @@ def assemble(df: DataFrame, obs_id: str, ts: str, group_keys: Sequence[str], val
         by_keys.setdefault(tuple(b["keys"]), []).append(b)
     out = base.select(obs_id)
     for keys, bl in by_keys.items():
-        parts = [feature_block(base, hist, obs_id, list(keys), value, b["name"], b.get("horizons", ()),
-                               b.get("decay_horizons", ()), moment_us, k, decay_base=decay_base,
-                               unit_us=unit_us, median=median) for b in bl]
-        blk = parts[0]
-        for p in parts[1:]:
-            blk = blk.join(p, obs_id, "inner")
+        med = median_by_keys.get(keys, median) if median_by_keys else median
+        blk = keyset_features(base, hist, obs_id, list(keys), value, bl, moment_us, k,
+                              decay_base=decay_base, unit_us=unit_us, median=med)
         out = out.join(blk, obs_id, "left")
     return out
 

@@ -125,7 +125,8 @@ def _assemble_sql():
 @query("ts_assemble", _assemble_sql())
 def q_ts_assemble(spark, d):
     blocks = [{"name": n, "keys": k, "horizons": h, "decay_horizons": dh} for (n, k, h, dh) in BLOCKS.values()]
-    return TR.assemble(energy(spark, d), "obs_id", "ts", GROUP, "value", blocks, DAY_US, K, unit_us=UNIT_US)
+    return TR.assemble(energy(spark, d), "obs_id", "ts", GROUP, "value", blocks, DAY_US, K, unit_us=UNIT_US,
+                       median_by_keys={("forecast",): "distributed"})
 
 
 @query("ts_calendar", """
