@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .aggregate import exact_median
 from .ranking import cumulative_sum_by
 
 # Abramowitz & Stegun 7.1.26 coefficients for erfc.
@@ -44,14 +45,22 @@ def constant_columns(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def class_diff(long: DataFrame, group: str) -> DataFrame:
-    """(feature, class_diff, mean): |median₀ − median₁|, or |mean₀ − mean₁| for 0/1 features."""
+    """(feature, class_diff, mean): |median₀ − median₁|, or |mean₀ − mean₁| for 0/1 features.
+
+    A (feature, class) group holds a whole column, so the medians come from
+    the distributed ``exact_median`` rather than a one-task percentile buffer.
+    """
     g0, g1 = F.col(group) == 0, F.col(group) == 1
     v = F.col("value")
-    return long.groupBy("feature").agg(
-        F.when(F.min(v.isin(0.0, 1.0)),
-               F.abs(F.avg(F.when(g0, v)) - F.avg(F.when(g1, v))))
-        .otherwise(F.abs(F.median(F.when(g0, v)) - F.median(F.when(g1, v)))).alias("class_diff"),
-        F.avg(v).alias("mean"))
+    base = long.groupBy("feature").agg(F.min(v.isin(0.0, 1.0)).alias("_bin"),
+                                       F.avg(F.when(g0, v)).alias("_a0"), F.avg(F.when(g1, v)).alias("_a1"),
+                                       F.avg(v).alias("mean"))
+    med = exact_median(long.where(F.col(group).isin(0, 1)), ["feature", group], "value", "_med")
+    m = med.groupBy("feature").agg(F.max(F.when(F.col(group) == 0, F.col("_med"))).alias("_m0"),
+                                   F.max(F.when(F.col(group) == 1, F.col("_med"))).alias("_m1"))
+    j = base.join(m, "feature", "left")
+    diff = F.when(F.col("_bin"), F.abs(F.col("_a0") - F.col("_a1"))).otherwise(F.abs(F.col("_m0") - F.col("_m1")))
+    return j.select("feature", diff.alias("class_diff"), "mean")
 
 
 def rank_sum(long: DataFrame, group: str, min_n: int = 20) -> DataFrame:
