@@ -48,10 +48,44 @@ def stat_exprs(spec: Mapping[str, Sequence[str]], prefix: str = "",
     return out
 
 
-def profile(df: DataFrame, keys, spec: Mapping[str, Sequence[str]], prefix: str = "") -> DataFrame:
-    """``groupby(keys).agg({col: [stats]})`` with flattened names."""
+def _with_medians(df: DataFrame, keys: list, spec: Mapping[str, Sequence[str]], prefix: str,
+                  median: str) -> tuple[dict, list]:
+    """Split out the median statistics when they are not computed by Spark's ``median``."""
+    if median == "exact":
+        return dict(spec), []
+    rest = {c: [s for s in st if s != "median"] for c, st in spec.items()}
+    meds = [c for c, st in spec.items() if "median" in st]
+    return rest, meds
+
+
+def _attach_medians(out: DataFrame, df: DataFrame, keys: list, meds: list, prefix: str, median: str) -> DataFrame:
+    if not meds:
+        return out
+    names = {c: agg_name(prefix, c, "median") for c in meds}
+    if median == "approx":
+        m = df.groupBy(*keys).agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 10000).alias(n)
+                                    for c, n in names.items()])
+        return out.join(m, keys, "left")
+    # all median columns in one distributed pass: unpivot → median per (keys, column) → pivot
+    long = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in meds]) \
+        .unpivot(keys, meds, "_col", "_val")
+    m = exact_median(long, [*keys, "_col"], "_val", "_med")
+    wide = m.groupBy(*keys).pivot("_col", meds).agg(F.first("_med")).withColumnsRenamed(names)
+    return out.join(wide, keys, "left")
+
+
+def profile(df: DataFrame, keys, spec: Mapping[str, Sequence[str]], prefix: str = "",
+            median: str = "exact") -> DataFrame:
+    """``groupby(keys).agg({col: [stats]})`` with flattened names.
+
+    ``median``: "exact" (Spark's median: one buffer per group), "distributed"
+    (exact, range-partitioned: use when a key may hold a large share of the
+    rows) or "approx".
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return _agg_chunked(df, keys, stat_exprs(spec, prefix))
+    rest, meds = _with_medians(df, keys, spec, prefix, median)
+    out = _agg_chunked(df, keys, stat_exprs(rest, prefix))
+    return _attach_medians(out, df, keys, meds, prefix, median)
 
 
 def numeric_cols(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -63,18 +97,23 @@ STATS6 = ("min", "max", "mean", "var", "sum")
 
 
 def profile_all(df: DataFrame, keys, stats: Sequence[str] = STATS4, prefix: str = "",
-                onehot_cols: Sequence[str] = (), size: bool = False) -> DataFrame:
+                onehot_cols: Sequence[str] = (), size: bool = False, median: str = "exact") -> DataFrame:
     """Every numeric non-key column × stats; one-hot columns × mean.
 
     The row count (``size``) is computed once per key, not per column.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     cols = [c for c in numeric_cols(df, keys) if c not in onehot_cols]
-    exprs = stat_exprs({c: list(stats) for c in cols}, prefix)
+    rest, meds = _with_medians(df, keys, {c: list(stats) for c in cols}, prefix, median)
+    exprs = stat_exprs(rest, prefix)
     exprs += [F.avg(F.col(c)).alias(agg_name(prefix, c, "mean")) for c in onehot_cols]
     if size:
         exprs.append(F.count(F.lit(1)).alias(f"{prefix}COUNT"))
-    return _agg_chunked(df, keys, exprs)
+    out = _agg_chunked(df, keys, exprs)
+    out = _attach_medians(out, df, keys, meds, prefix, median)
+    order = list(keys) + [agg_name(prefix, c, s) for c in cols for s in stats] + \
+        [agg_name(prefix, c, "mean") for c in onehot_cols] + ([f"{prefix}COUNT"] if size else [])
+    return out.select(*order)
 
 
 def profile_two_level(df: DataFrame, inner, outer, spec: Mapping[str, Sequence[str]],

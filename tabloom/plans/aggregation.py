@@ -38,7 +38,7 @@ FROM ({_ORD4}) t GROUP BY o_custkey""")
 def q_agg_all_stats4(spark, d):
     o = T(spark, d, "orders").select("o_custkey", "o_totalprice", F.year("o_orderdate").cast("long").alias("o_year"),
                                      F.substring("o_orderpriority", 1, 1).cast("long").alias("o_prio"))
-    return A.profile_all(o, "o_custkey", A.STATS4)
+    return A.profile_all(o, "o_custkey", A.STATS4, median="distributed")
 
 
 @query("agg_all_stats6", """

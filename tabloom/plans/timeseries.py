@@ -37,9 +37,10 @@ BLOCKS = {
     "ts_decay_sf_hour": ("Site_Forecast_Hour", ["site", "forecast", "hour"], [], [6, 17]),
     "ts_decay_sf_day": ("Site_Forecast_Day", ["site", "forecast", "day"], [], [6, 17]),
 }
-# Coarse key sets (one group may hold a large share of the rows) use the
-# range-partitioned exact median instead of gathering a group in one task.
-DISTRIBUTED_MEDIAN = {"ts_trail_forecast"}
+# Single-key sets (one site or one forecast may hold a large share of the
+# rows) use the range-partitioned exact median instead of gathering a group
+# in one task; finer key sets keep Spark's median.
+DISTRIBUTED_MEDIAN = {"ts_trail_forecast", "ts_trail_site"}
 
 _SQL_STAT = {"min": "min({v})", "mean": "avg({v})", "median": "median({v})", "max": "max({v})",
              "count": "count({v})", "std": "stddev_samp({v})", "skew": "skewness({v})"}
@@ -126,7 +127,7 @@ def _assemble_sql():
 def q_ts_assemble(spark, d):
     blocks = [{"name": n, "keys": k, "horizons": h, "decay_horizons": dh} for (n, k, h, dh) in BLOCKS.values()]
     return TR.assemble(energy(spark, d), "obs_id", "ts", GROUP, "value", blocks, DAY_US, K, unit_us=UNIT_US,
-                       median_by_keys={("forecast",): "distributed"})
+                       median_by_keys={("forecast",): "distributed", ("site",): "distributed"})
 
 
 @query("ts_calendar", """

@@ -70,3 +70,21 @@ def test_first_last_skips_null_values(spark):
     df = spark.createDataFrame([(1, 1, None), (1, 2, "a"), (1, 3, "b"), (1, 4, None)], "k int, m int, s string")
     r = first_last(df, "k", "m", "s").collect()[0]
     assert (r.s_FIRST, r.s_LAST) == ("a", "b")
+
+
+def test_profile_distributed_median_equals_exact(spark):
+    from tabloom.operators.aggregate import profile_all
+    rows = [(0, float(i % 17)) for i in range(400)] + [(k, float(k * i)) for k in range(1, 6) for i in range(4)]
+    df = spark.createDataFrame(rows, "k int, x double")
+    a = {r.k: r.x_MEDIAN for r in profile_all(df, "k", ["median", "mean"]).collect()}
+    b = {r.k: r.x_MEDIAN for r in profile_all(df, "k", ["median", "mean"], median="distributed").collect()}
+    assert a == b
+
+
+def test_pipe_and_map_batches(spark):
+    from tabloom.operators.udf import map_batches, pipe
+    df = spark.range(10)
+    out = pipe(df, (lambda d, n: d.where(f"id < {n}"), 5), lambda d: d.withColumn("y", d.id * 2))
+    assert [r.y for r in out.orderBy("id").collect()] == [0, 2, 4, 6, 8]
+    m = map_batches(df, lambda b: b.assign(id=b["id"] + 1), "id long")
+    assert sorted(r.id for r in m.collect()) == list(range(1, 11))
