@@ -24,7 +24,8 @@ def get_session(master: str | None = None, partitions: int = 8, app: str = "tabl
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", driver_memory)
          .config("spark.sql.shuffle.partitions", str(partitions))
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in _SQL_DEFAULTS.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
