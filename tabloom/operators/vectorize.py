@@ -70,6 +70,23 @@ def binary_doc_terms(pairs: DataFrame, id_col: str, min_df: int = 1) -> DataFram
     return pairs.join(dfreq.select("term"), "term", "left_semi")
 
 
+def doc_term_counts(df: DataFrame, id_col: str, terms: Column) -> DataFrame:
+    """(doc, term, value): occurrences of each term in each document (map-side combined)."""
+    return df.select(id_col, F.explode(terms).alias("term")).groupBy(id_col, "term") \
+        .agg(F.count(F.lit(1)).alias("value"))
+
+
+def vocab_from_counts(per_doc: DataFrame, min_df: int = 1, max_features: int | None = None) -> DataFrame:
+    """(term, df, tf, term_id) from (doc, term, value) counts; see ``select_vocab``."""
+    st = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("value").alias("tf")) \
+        .where(F.col("df") >= min_df)
+    if max_features:
+        top = st.orderBy(F.col("tf").desc(), F.col("term")).limit(max_features)
+        return top.withColumn("term_id", F.row_number().over(Window.orderBy("term")) - 1)
+    st = row_number_by(st, None, ["term"], out="term_id")
+    return st.withColumn("term_id", F.col("term_id") - 1)
+
+
 def select_vocab(df: DataFrame, id_col: str, terms: Column, min_df: int = 1, max_features: int | None = None) -> DataFrame:
     """(term, df, tf, term_id): terms with df ≥ min_df; the ``max_features`` most
     frequent (corpus count desc, term asc); ids 0.. in term order.
@@ -79,15 +96,7 @@ def select_vocab(df: DataFrame, id_col: str, terms: Column, min_df: int = 1, max
     numbering the ≤ k survivors is bounded; without it the numbering is the
     range-partitioned ``row_number_by``.
     """
-    x = df.select(id_col, F.explode(terms).alias("term"))
-    per_doc = x.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("_c"))
-    st = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("_c").alias("tf")) \
-        .where(F.col("df") >= min_df)
-    if max_features:
-        top = st.orderBy(F.col("tf").desc(), F.col("term")).limit(max_features)
-        return top.withColumn("term_id", F.row_number().over(Window.orderBy("term")) - 1)
-    st = row_number_by(st, None, ["term"], out="term_id")
-    return st.withColumn("term_id", F.col("term_id") - 1)
+    return vocab_from_counts(doc_term_counts(df, id_col, terms), min_df, max_features)
 
 
 def count_long(df: DataFrame, id_col: str, terms: Column, vocab: DataFrame, binary: bool = True) -> DataFrame:
@@ -100,13 +109,20 @@ def count_long(df: DataFrame, id_col: str, terms: Column, vocab: DataFrame, bina
 
 def tfidf_long(df: DataFrame, id_col: str, terms: Column, min_df: int = 1, max_features: int | None = None,
                binary: bool = False, norm: bool = True) -> DataFrame:
-    """(doc, term, weight): tf · (ln((1+n)/(1+df)) + 1), L2-normalised per document (smooth idf)."""
-    vocab = select_vocab(df, id_col, terms, min_df, max_features)
+    """(doc, term, weight): tf · (ln((1+n)/(1+df)) + 1), L2-normalised per document (smooth idf).
+
+    The (doc, term) counts are computed once and feed both the vocabulary
+    and the weights; the vocabulary side of the join is small when bounded
+    by ``max_features`` and adaptive execution broadcasts it.
+    """
+    per_doc = doc_term_counts(df, id_col, terms)
+    vocab = vocab_from_counts(per_doc, min_df, max_features)
     n = df.agg(F.count(F.lit(1)).alias("_n"))
     idf = attach_row(vocab, n).select("term", "term_id",
                                       (F.log((1 + F.col("_n")) / (1 + F.col("df"))) + 1).alias("idf"))
-    c = count_long(df, id_col, terms, vocab, binary)
-    w = c.join(idf.select("term", "idf"), "term").withColumn("weight", F.col("value") * F.col("idf"))
+    w = per_doc.join(idf, "term")
+    tf = F.lit(1).cast("long") if binary else F.col("value")
+    w = w.withColumn("weight", tf * F.col("idf"))
     if norm:
         nrm = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_l2"))
         w = w.join(nrm, id_col).withColumn("weight", F.try_divide(F.col("weight"), F.col("_l2"))).drop("_l2")
