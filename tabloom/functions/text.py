@@ -136,10 +136,21 @@ CONTRACTIONS = (
 )
 
 
+def _word_start(pat: str) -> str:
+    """Anchor a leading word-run group at a word start.
+
+    The leftmost match of ``(\\w+)suffix`` always begins where the word run
+    begins, so the look-behind changes no result; it stops the JVM engine
+    from retrying the match at every position inside each word.
+    """
+    lead = f"([{WORD}]+)"
+    return f"(?<![{WORD}])" + pat if pat.startswith(lead) else pat
+
+
 def expand_contractions(c, rules=CONTRACTIONS) -> Column:
     x = col_(c)
     for pat, rep in rules:
-        x = F.regexp_replace(x, pat, rep)
+        x = F.regexp_replace(x, _word_start(pat), rep)
     return x
 
 

@@ -52,3 +52,19 @@ def test_pad_both_sides(spark):
     post = [r[0] for r in df.select(pad("ids", 3, "post")).collect()]
     assert pre == [[0, 0, 0], [0, 0, 1], [1, 2, 3], [2, 3, 4]]
     assert post == [[0, 0, 0], [1, 0, 0], [1, 2, 3], [1, 2, 3]]
+
+
+def test_contractions_like_python_re(spark):
+    rules = [(r"won't", "will not"), (r"can't", "cannot"), (r"i'm", "i am"), (r"ain't", "is not"),
+             (r"(\w+)'ll", r"\g<1> will"), (r"(\w+)n't", r"\g<1> not"), (r"(\w+)'ve", r"\g<1> have"),
+             (r"(\w+)'s", r"\g<1> is"), (r"(\w+)'re", r"\g<1> are"), (r"(\w+)'d", r"\g<1> would"),
+             (r"dont", "do not"), (r"wont", "will not")]
+    cases = CASES + ["don't isn't it's we're they'd", "x'll'll ab'sn't", "l'été n'est pas"]
+
+    def py(s):
+        for p, r in rules:
+            s = re.sub(p, r, s)
+        return s
+    df = spark.createDataFrame([(s,) for s in cases], "t string")
+    got = [r[0] for r in df.select(X.expand_contractions(F.col("t"))).collect()]
+    assert got == [py(s) for s in cases]
