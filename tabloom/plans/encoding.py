@@ -60,8 +60,8 @@ def q_enc_onehot_dense(spark, d):
 def q_enc_onehot_sparse(spark, d):
     c = T(spark, d, "customer").select("c_custkey", "c_mktsegment", F.col("c_nationkey").cast("string").alias("nation"))
     v = E.one_hot_vector(c, ["c_mktsegment", "nation"])
-    return v.select("c_custkey", F.expr("vector_to_array(onehot)").alias("onehot")) if False else \
-        v.select("c_custkey", F.col("onehot").cast("string").alias("onehot"))
+    from pyspark.ml.functions import vector_to_array
+    return v.select("c_custkey", vector_to_array("onehot").alias("onehot"))
 
 
 @query("enc_hash", """
