@@ -86,6 +86,8 @@ def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Append the columns of a one-row aggregate (a global statistic) to every row.
 
     The one-row side is broadcast: its size is one row by construction.
+    Spark folds the constant key and plans a broadcast nested-loop join,
+    which against a single row is a linear pass over ``df``.
     """
     return (df.withColumn("_one", F.lit(0))
             .join(F.broadcast(one_row.withColumn("_one", F.lit(0))), "_one", "inner").drop("_one"))
