@@ -39,3 +39,10 @@ def test_filter_and_projection_reach_the_scan(spark):
 def test_conditional_aggregation_scans_once(spark):
     p = _plan(E.queries()["agg_conditional"](spark, SF))
     assert p.count("FileScan parquet") == 1
+
+
+@pytest.mark.parametrize("name", ["bk_features", "enc_target_smooth", "vz_tfidf", "nm_scale", "jn_three_way",
+                                  "fs_drift", "mt_auc"])
+def test_no_cartesian_product(spark, name):
+    p = _plan(E.queries()[name](spark, SF))
+    assert "CartesianProduct" not in p
