@@ -28,7 +28,7 @@ SLOT_ROWS = 200_000
 
 
 def fill(rows: list[tuple], capacity: int, shards: int, whole: bool) -> tuple[bool, list[int]]:
-    """Greedy filling of ordered ranges ``(low, high, mass, atomic)``: (fits, the range at each cut).
+    """Greedy filling of ordered ranges ``(low, high, mass, atomic)``: (fits, the range at each cut and where filling failed).
 
     ``whole`` True cuts at range borders only, as if each range were one
     group; False lets a cut split any range that holds several groups, which
@@ -38,7 +38,7 @@ def fill(rows: list[tuple], capacity: int, shards: int, whole: bool) -> tuple[bo
     for i, (_, _, mass, atomic) in enumerate(rows):
         while load + mass > capacity:
             if len(cuts) == shards - 1 or ((whole or atomic) and mass > capacity):
-                return False, cuts
+                return False, [*cuts, i]
             cuts.append(i)
             mass, load = mass if whole or atomic else mass - (capacity - load), 0
         load += mass
@@ -78,8 +78,9 @@ def cut_points(groups: DataFrame, shards: int) -> list[int]:
             return [rows[i][0] for i in fill(rows, high, shards, True)[1]]
         # at any capacity between the two, a cut lies between its places in these two fillings
         end = len(rows) - 1
-        pairs = [(first[k] if k < len(first) else end, last[k] if k < len(last) else end) for k in range(shards - 1)]
+        pairs = [(first[min(k, len(first) - 1)] if first else 0, last[k] if k < len(last) else end) for k in range(shards - 1)]
         split = {i for x, y in pairs for i in range(min(x, y), max(x, y) + 1) if not rows[i][3]}
+        assert split, "every cut lies at a border, so both capacities agree"
         by_width: dict[int, list] = {}
         for i in split:
             by_width.setdefault(rows[i][1] - rows[i][0], []).append(rows[i][:2])
