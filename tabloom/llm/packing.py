@@ -36,8 +36,10 @@ from .common import checkpoint
 CAPACITY = 1024
 #: Id that ends a document.
 END_ID = 2
-#: Steps of one round of multiplicative weights, rounds, exponent of the price in the uncovered share, and what long pieces are worth beyond their size.
+#: Steps of one round of draining weights, rounds, exponent of the price in the uncovered share, and what long pieces are worth beyond their size.
 STEPS, ROUNDS, ETA, LONG = 2000, 8, 0.02, 0.1
+#: Steps and rate of averaging weights, and the gap to the lower bound at which they are not tried.
+AVERAGE_STEPS, AVERAGE_RATE, GAP = 600, 0.2, 0.002
 #: Pieces that one numbering task sorts, about.
 RANK_ROWS = 100_000
 
@@ -116,45 +118,80 @@ def best_configuration(price: np.ndarray, capacity: int) -> np.ndarray:
     return counts
 
 
-def solve(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[int, tuple[int, ...]]]:
-    """``(uses, lengths)`` of configurations that hold all pieces; ``counts[l]`` pieces of length l."""
-    rest = counts.astype(np.int64).copy()
-    plan = [(int(rest[capacity]), (capacity,))] if rest[capacity] else []
-    rest[capacity] = 0
-    sizes = np.arange(capacity + 1)
-    for _ in range(ROUNDS):
-        waiting = int((rest * sizes).sum())
-        if rest.sum() <= 2 * capacity or not waiting:
+def _rounded(use: dict[tuple[int, ...], float], scale: float, rest: np.ndarray, plan: list) -> bool:
+    """Round the LP's uses down and take their pieces from ``rest``; False when nothing is left of them."""
+    done = 0
+    for key, x in sorted(use.items(), key=lambda p: -p[1]):
+        ls, ks = np.unique(key, return_counts=True)
+        x = min(math.floor(x * scale + 1e-6), int((rest[ls] // ks).min()))
+        if x > 0:
+            rest[ls] -= x * ks
+            plan.append((x, key))
+            done += x
+    return done > 0
+
+
+def _draining(need: np.ndarray, capacity: int) -> tuple[dict[tuple[int, ...], float], float]:
+    """Weights close to the sizes, lengths leave the LP once covered: best where sequences can be filled to the brim."""
+    sizes, left = np.arange(capacity + 1), need.copy()
+    limit = max(1.0, float((need * sizes).sum()) / capacity / (STEPS / 2))
+    use: dict[tuple[int, ...], float] = {}
+    for _ in range(STEPS):
+        open_ = left > 1e-9
+        if not open_.any():
             break
-        need = rest.astype(float)
-        left = need.copy()
-        limit = max(1.0, waiting / capacity / (STEPS / 2))
-        use: dict[tuple[int, ...], float] = {}
-        for _ in range(STEPS):
-            open_ = left > 1e-9
-            if not open_.any():
-                break
-            share = np.divide(left, need, out=np.zeros_like(left), where=need > 0)
-            price = np.where(open_, sizes / capacity * np.exp(ETA * (share - share.max())), 0.0)
-            price *= 1 + LONG * sizes / capacity
-            a = best_configuration(price, capacity)
-            on = a > 0
-            step = min(limit, float((left[on] / a[on]).min()))
-            left[on] -= step * a[on]
-            left[left < 1e-6] = 0
+        share = np.divide(left, need, out=np.zeros_like(left), where=need > 0)
+        price = np.where(open_, sizes / capacity * (1 + LONG * sizes / capacity) * np.exp(ETA * (share - share.max())), 0.0)
+        a = best_configuration(price, capacity)
+        on = a > 0
+        step = min(limit, float((left[on] / a[on]).min()))
+        left[on] -= step * a[on]
+        left[left < 1e-6] = 0
+        key = tuple(int(x) for x in np.repeat(sizes[on], a[on])[::-1])
+        use[key] = use.get(key, 0.0) + step
+    return use, 1.0
+
+
+def _averaging(need: np.ndarray, capacity: int) -> tuple[dict[tuple[int, ...], float], float]:
+    """Weights fall with all coverage so far and uses are averaged: finds the true prices where lengths do not combine well."""
+    sizes, some = np.arange(capacity + 1), need > 0
+    log_weight, cover = np.zeros(capacity + 1), np.zeros(capacity + 1)
+    use: dict[tuple[int, ...], float] = {}
+    for t in range(AVERAGE_STEPS):
+        price = np.where(some, np.exp(log_weight - log_weight[some].max()) * sizes / capacity, 0.0)
+        a = best_configuration(price, capacity)
+        on = a > 0
+        step = float((need[on] / a[on]).min())
+        covered = np.divide(step * a, need, out=np.zeros_like(need), where=some)
+        log_weight -= AVERAGE_RATE * covered
+        if t >= AVERAGE_STEPS // 10:  # the first prices are far off
+            cover += covered
             key = tuple(int(x) for x in np.repeat(sizes[on], a[on])[::-1])
             use[key] = use.get(key, 0.0) + step
-        rounded = 0
-        for key, x in sorted(use.items(), key=lambda p: -p[1]):
-            ls, ks = np.unique(key, return_counts=True)
-            x = min(math.floor(x + 1e-6), int((rest[ls] // ks).min()))
-            if x > 0:
-                rest[ls] -= x * ks
-                plan.append((x, key))
-                rounded += x
-        if not rounded:
+    return use, 1 / max(1e-9, float(np.quantile(cover[some], 0.9)))
+
+
+def solve(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[int, tuple[int, ...]]]:
+    """``(uses, lengths)`` of configurations that hold all pieces; ``counts[l]`` pieces of length l.
+
+    Both weight updates are tried unless the first comes within ``GAP`` of
+    the least number of sequences that the total length allows.
+    """
+    least = -(-int((counts * np.arange(capacity + 1)).sum()) // capacity)
+    best: list[tuple[int, tuple[int, ...]]] | None = None
+    for weights in (_draining, _averaging):
+        rest = counts.astype(np.int64).copy()
+        plan = [(int(rest[capacity]), (capacity,))] if rest[capacity] else []
+        rest[capacity] = 0
+        for _ in range(ROUNDS):
+            if rest.sum() <= 2 * capacity or not _rounded(*weights(rest.astype(float), capacity), rest, plan):
+                break
+        plan += best_fit(rest, capacity)
+        if best is None or sum(n for n, _ in plan) < sum(n for n, _ in best):
+            best = plan
+        if sum(n for n, _ in best) <= least * (1 + GAP):
             break
-    return plan + best_fit(rest, capacity)
+    return best
 
 
 def best_fit(rest: np.ndarray, capacity: int) -> list[tuple[int, tuple[int, ...]]]:

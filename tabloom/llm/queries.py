@@ -86,7 +86,7 @@ def _rules_sql() -> str:
 QUALITY_SQL = f"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^{_SPACE}]+') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^{_SPACE}]')) AS l
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^{_SPACE}]')) AS l
   FROM documents),
 win AS (
   SELECT doc_id, i, array_to_string(list_slice(w, i, i + 7), ' ') AS g
@@ -99,10 +99,10 @@ m AS (
   SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
          length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
          len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(l) AS n_lines,
-         len(list_filter(w, x -> list_contains({_STOP}, lower(x)))) AS n_stop,
-         len(list_filter(w, x -> ends_with(x, '!!'))) AS n_shout,
-         len(list_filter(l, x -> ends_with(x, '...') OR ends_with(x, '…'))) AS n_ellipsis,
-         len(list_filter(l, x -> regexp_matches(x, '^[{_SPACE}]*[\\-*•][\\x20\\x09]'))) AS n_bullet
+         len(list_filter(w, lambda x: list_contains({_STOP}, lower(x)))) AS n_stop,
+         len(list_filter(w, lambda x: ends_with(x, '!!'))) AS n_shout,
+         len(list_filter(l, lambda x: ends_with(x, '...') OR ends_with(x, '…'))) AS n_ellipsis,
+         len(list_filter(l, lambda x: regexp_matches(x, '^[{_SPACE}]*[\\-*•][\\x20\\x09]'))) AS n_bullet
   FROM d LEFT JOIN rep USING (doc_id)),
 r AS (
   SELECT *, word_chars / greatest(n_words, 1) AS mean_word_chars, n_symbols / greatest(n_words, 1) AS symbol_ratio,

@@ -63,7 +63,10 @@ def record_id(page_id: int | None) -> str:
 
 def url_key(url: str) -> str:
     """Sort key of a URL: host names reversed, then port, path and query, in lower case; scheme, www and fragment go."""
-    parts = urlsplit(url if "//" in url else "//" + url)
+    try:
+        parts = urlsplit(url if "//" in url else "//" + url)
+    except ValueError:  # not a URL by the standard: its own key
+        return url.lower()
     try:
         host, port = (parts.hostname or "").removeprefix("www."), parts.port
     except ValueError:
