@@ -188,7 +188,7 @@ def brute_spans(texts, length):
     return out
 
 
-@pytest.mark.parametrize("hot", [5000, 2])
+@pytest.mark.parametrize("hot", [50_000, 2])
 def test_suffix_dedup_small_strings(spark, monkeypatch, hot):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
     rng = random.Random(hot)
@@ -233,7 +233,7 @@ def test_anchors_are_local():
     finally:
         suffix_dedup.STEP = step
     assert set(zip(*again)) == set(zip(p, h))
-    assert all(((p >= a) & (p <= a + 400 - 64)).any() for a in range(5000 - 400 + 1))
+    assert all(((p >= a) & (p <= a + 400 - suffix_dedup.GRAM)).any() for a in range(5000 - 400 + 1))
 
 
 # ---------------------------------------------------------------- 5
