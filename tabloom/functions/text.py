@@ -120,7 +120,7 @@ def latin_runs(c, lo: int = 2, hi: int = 15) -> Column:
 
 
 def first_word_flags(c, words: Sequence[str] = FIRST_WORDS) -> dict[str, Column]:
-    first = F.element_at(tokens(c), 1)
+    first = F.regexp_extract(col_(c), f"^[{WS}]*([^{WS}]+)", 1)  # reads one word, not the text
     return {w: F.coalesce(first == F.lit(w), F.lit(False)).cast("int") for w in words}
 
 
@@ -219,8 +219,7 @@ def truncate_words(c, n: int) -> Column:
 
 def drop_stopwords(c, words: Sequence[str]) -> Column:
     """``' '.join(w for w in x.split() if w not in words)``."""
-    ws = F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
-    return F.array_join(F.filter(tokens(c), lambda t: ~F.array_contains(ws, t)), " ")
+    return F.array_join(F.filter(tokens(c), lambda t: ~t.isin(*words)) if words else tokens(c), " ")
 
 
 def literal_replace(c, pairs: Sequence[tuple[str, str]]) -> Column:

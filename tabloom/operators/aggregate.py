@@ -22,7 +22,13 @@ from .project import NUMERIC, agg_name
 MAX_AGGS_PER_PASS = 200
 
 
+def known_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows without a NULL or NaN key: such keys form no group, in any aggregate of this module."""
+    return df.dropna(subset=list(keys)) if keys else df
+
+
 def _agg_chunked(df: DataFrame, keys: Sequence[str], exprs: list[Column]) -> DataFrame:
+    df = known_keys(df, keys)
     if len(exprs) <= MAX_AGGS_PER_PASS:
         return df.groupBy(*keys).agg(*exprs)
     parts = [df.groupBy(*keys).agg(*exprs[i:i + MAX_AGGS_PER_PASS])
@@ -61,6 +67,7 @@ def _with_medians(df: DataFrame, keys: list, spec: Mapping[str, Sequence[str]],
 def _attach_medians(out: DataFrame, df: DataFrame, keys: list, meds: list, prefix: str, median: str) -> DataFrame:
     if not meds:
         return out
+    df = known_keys(df, keys)
     names = {c: agg_name(prefix, c, "median") for c in meds}
     if median == "approx":
         m = df.groupBy(*keys).agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 10000).alias(n)
@@ -152,21 +159,21 @@ def profile_subsets(df: DataFrame, key, subsets: Mapping[str, Column],
 
 def count_when(df: DataFrame, key, conds: Mapping[str, Column]) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
-    return df.groupBy(*keys).agg(*[F.count_if(c).alias(n) for n, c in conds.items()])
+    return known_keys(df, keys).groupBy(*keys).agg(*[F.count_if(c).alias(n) for n, c in conds.items()])
 
 
 def status_counts(df: DataFrame, key: str, col: str, values: Sequence, prefix: str = "STATUS_",
                   months: str | None = None) -> DataFrame:
     """Count of each status value per key; absent statuses are NULL (as a left
-    join of per-value counts).  With ``months``, also each count / row count."""
-    p = df.groupBy(key).pivot(col, list(values)).agg(F.count(F.lit(1)))
-    ren = {str(v): f"{prefix}{v}" for v in values}
-    p = p.withColumnsRenamed(ren)
+    join of per-value counts).  ``months`` names a column of month offsets
+    (0, -1, ... back to the oldest): its greatest distance is returned as
+    ``MONTHS`` and divides each count, in the same aggregation."""
+    n = lambda v: F.count_if(F.col(col) == F.lit(v))
+    exprs = [F.when(n(v) > 0, n(v)).alias(f"{prefix}{v}") for v in values]
     if months:
-        m = df.groupBy(key).agg(F.count(F.lit(1)).alias(months))
-        p = p.join(m, key, "inner").withColumns(
-            {f"{n}_RATIO": safe_div(n, months) for n in ren.values()})
-    return p
+        exprs.append(F.abs(F.min(months)).alias("MONTHS"))
+    p = known_keys(df, [key]).groupBy(key).agg(*exprs)
+    return p.withColumns({f"{prefix}{v}_RATIO": safe_div(f"{prefix}{v}", "MONTHS") for v in values}) if months else p
 
 
 def first_last(df: DataFrame, key, order: str, col: str, first: str = "FIRST", last: str = "LAST") -> DataFrame:
@@ -232,16 +239,19 @@ def shape(df: DataFrame) -> DataFrame:
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median") -> DataFrame:
     """Exact (interpolated) median per key without gathering a group in one task.
 
-    Values are numbered within their key by the range-partitioned
-    ``row_number_by`` (a hot key is spread over many tasks); only the one or
-    two middle rows of each key survive to the final average.
+    Equal values of a key are counted first (aggregated before the shuffle,
+    so a value that fills most of a group is one row); a running sum of the
+    counts along the range-partitioned distinct values finds the one or two
+    values in the middle.  NULL and NaN keys form no group.
     """
-    from .ranking import row_number_by
+    from .ranking import cumulative_sum_by
     keys = list(keys)
-    x = df.select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    n = x.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    r = row_number_by(x, keys, ["_x"], out="_r")
+    x = known_keys(df, keys).select(*keys, F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    counted = x.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    r = cumulative_sum_by(counted, keys, ["_x"], "_c", out="_upto")
+    n = r.groupBy(*keys).agg(F.sum("_c").alias("_n"))
     lo = F.floor((F.col("_n") - 1) / 2) + 1
     hi = F.ceil((F.col("_n") - 1) / 2) + 1
-    mid = r.join(n, keys, "inner").where((F.col("_r") == lo) | (F.col("_r") == hi))
+    inside = lambda k: (F.col("_upto") - F.col("_c") < k) & (k <= F.col("_upto"))
+    mid = r.join(n, keys, "inner").where(inside(lo) | inside(hi))
     return mid.groupBy(*keys).agg(F.avg("_x").alias(out))

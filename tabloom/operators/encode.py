@@ -83,6 +83,10 @@ def one_hot(df: DataFrame, cols: Sequence[str], null_as_category: bool = True,
             n = f"{c}_{NULL_TEXT}"
             exprs[n] = F.col(c).isNull().cast("int")
             new.append(n)
+    taken = [n for n in new if n in set(df.columns) - set(cols if drop else [])]
+    clashes = sorted({n for n in new if new.count(n) > 1} | set(taken))
+    if clashes:
+        raise ValueError(f"several values give the same column name: {clashes}; rename columns or values first")
     out = df.withColumns(exprs)
     return (out.drop(*cols) if drop else out), new
 
@@ -149,9 +153,14 @@ def target_encode(train: DataFrame, test: DataFrame, col: str, target: str, min_
     return apply(train), apply(test)
 
 
-def add_noise(df: DataFrame, col: str, level: float = 0.01, seed: int = 0, out: str | None = None) -> DataFrame:
-    """col · (1 + level · N(0,1))."""
-    return df.withColumn(out or col, F.col(col) * (1 + F.lit(level) * F.randn(seed)))
+def add_noise(df: DataFrame, col: str, id_col: str, level: float = 0.01, seed: int = 0, out: str | None = None) -> DataFrame:
+    """col · (1 + level · N(0,1)); the deviate depends on (seed, id) only, so it repeats on any partitioning.
+
+    Two hashes of the id give two uniforms, Box and Muller's formula the deviate.
+    """
+    u = [(portable_hash(F.concat_ws(":", F.lit(f"{seed}.{i}"), F.col(id_col).cast("string"))) + 1) / F.lit(4294967297.0) for i in (1, 2)]
+    z = F.sqrt(-2 * F.log(u[0])) * F.cos(u[1] * F.lit(6.283185307179586))
+    return df.withColumn(out or col, F.col(col) * (1 + F.lit(level) * z))
 
 
 def cross_key(df: DataFrame, cols: Sequence[str], out: str, sep: str = " ") -> DataFrame:

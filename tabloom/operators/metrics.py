@@ -52,7 +52,7 @@ def rmse(df: DataFrame, pred: str, y: str, by: Sequence[str] = ()) -> DataFrame:
     return df.groupBy(*by).agg(F.sqrt(F.avg(F.pow(F.col(pred) - F.col(y), 2))).alias("rmse"))
 
 
-def score_table(metrics: DataFrame, step: str = "step", metric: str = "metric", value: str = "value") -> DataFrame:
-    """Long (step, metric, value) → one row per step, one column per metric."""
-    names = sorted(r[0] for r in metrics.select(metric).distinct().limit(1000).collect())
-    return metrics.groupBy(step).pivot(metric, names).agg(F.first(value))
+def score_table(metrics: DataFrame, names: Sequence[str], step: str = "step", metric: str = "metric",
+                value: str = "value") -> DataFrame:
+    """Long (step, metric, value) → one row per step, one column per metric of ``names``."""
+    return metrics.groupBy(step).pivot(metric, list(names)).agg(F.first(value))

@@ -22,12 +22,19 @@ def split(df: DataFrame, id_col: str, frac: float, seed: int = 0, out: str = "sp
     return df.withColumn(out, F.when(h < int(frac * 10000), "train").otherwise("valid"))
 
 
+def split_stratified(df: DataFrame, id_col: str, label: str, frac: float, seed: int = 0, out: str = "split") -> DataFrame:
+    """'train' for the share ``frac`` of every class, in hash order of the ids, 'valid' for the rest."""
+    r = stratified_rank(df, id_col, label, seed)
+    return r.withColumn(out, F.when(F.col("_srank") <= F.floor(F.col("_csize") * frac), "train").otherwise("valid")).drop("_srank", "_csize")
+
+
 def stratified_rank(df: DataFrame, id_col: str, label: str, seed: int = 0) -> DataFrame:
     """Rank of each row within its class in hash order (``_srank``) and class size (``_csize``)."""
     h = portable_hash(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
     x = df.withColumn("_h", h)
     r = row_number_by(x, [label], ["_h", id_col], out="_srank")
-    n = df.groupBy(label).agg(F.count(F.lit(1)).alias("_csize"))
+    # one row per class: broadcast, so that two label values do not become two tasks
+    n = F.broadcast(df.groupBy(label).agg(F.count(F.lit(1)).alias("_csize")))
     return r.join(n, label).drop("_h")
 
 
@@ -55,7 +62,7 @@ def class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    return df.join(class_weight(df, label, out), label)
+    return df.join(F.broadcast(class_weight(df, label, out)), label)  # one row per class
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
@@ -64,6 +71,7 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
 
 
 def fit_gbt(df: DataFrame, features: str, label: str, **params):
+    """Boosted trees; ``validationIndicatorCol`` (with ``validationTol``) stops early on the rows it marks."""
     from pyspark.ml.classification import GBTClassifier
     return GBTClassifier(featuresCol=features, labelCol=label, **params).fit(df)
 
@@ -149,21 +157,39 @@ def search(df: DataFrame, estimator, grid, evaluator, k: int = 3, parallelism: i
                           parallelism=parallelism, seed=seed).fit(df)
 
 
-def prune_by_model(df: DataFrame, features: Sequence[str], label: str, auc: float = 0.7, max_rounds: int = 5,
-                   **gbt) -> list[str]:
-    """Repeat: fit trees, drop features with importance > 0, until in-sample AUC ≤ ``auc``.
-    Returns the remaining features (the ones to drop, as in the reference)."""
+def random_search(df: DataFrame, features: str, label: str, id_col: str, ranges: dict, n: int = 5, k: int = 3,
+                  seed: int = 0) -> list[tuple[dict, float]]:
+    """(parameters, out-of-fold AUC) of ``n`` seeded random candidates for boosted trees.
+
+    ``ranges`` maps a parameter to (low, high) of its type or to a list of choices.
+    """
+    import random
+
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    rng = random.Random(seed)
+    labels, out = df.select(id_col, label), []
+    for _ in range(n):
+        p = {name: rng.choice(r) if isinstance(r, list) else rng.randint(*r) if isinstance(r[0], int) else rng.uniform(*r)
+             for name, r in ranges.items()}
+        oof, _, _ = cross_predict(df, df.limit(0), id_col, lambda x: fit_gbt(x, features, label, seed=seed, **p), k=k)
+        out.append((p, BinaryClassificationEvaluator(rawPredictionCol="prob", labelCol=label).evaluate(oof.join(labels, id_col))))
+    return out
+
+
+def prune_by_model(df: DataFrame, features: Sequence[str], label: str, auc: float = 0.7, **gbt) -> list[str]:
+    """Fit trees, take out the features they use, and repeat until the in-sample AUC is at most ``auc``.
+
+    Returns all features of the last fit: those without which the label could
+    already be told.  Empty when the features run out first.
+    """
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     left = list(features)
     ev = BinaryClassificationEvaluator(labelCol=label)
-    for _ in range(max_rounds):
-        if not left:
-            break
+    while left:
         x = assemble(df, left, "_f")
         m = fit_gbt(x, "_f", label, **gbt)
-        score = ev.evaluate(m.transform(x))
-        used = [n for n, v in zip(left, m.featureImportances.toArray()) if v > 0]
-        left = [n for n in left if n not in used]
-        if score <= auc or not used:
+        used = {n for n, v in zip(left, m.featureImportances.toArray()) if v > 0}
+        if ev.evaluate(m.transform(x)) <= auc or not used:
             break
+        left = [n for n in left if n not in used]
     return left

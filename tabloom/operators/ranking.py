@@ -63,6 +63,8 @@ def row_number_by(df: DataFrame, keys: Sequence[str] | str | None, order: Sequen
     ren = {k: f"__rn_k{i}" for i, k in enumerate(keys)}
     stats = stats.withColumnsRenamed(ren).withColumnRenamed("__rn_pid", "__rn_spid")
     cond = [F.col("__rn_pid") == F.col("__rn_spid")] + [F.col(k).eqNullSafe(F.col(v)) for k, v in ren.items()]
+    if not keys:  # at most one row per partition: never shuffle the table for it
+        stats = F.broadcast(stats)
     res = t.join(stats, on=cond, how="inner").drop("__rn_spid", *ren.values())
     return (res.withColumn(out, (F.col("__rn_li") - F.col("__rn_first") + F.col("__rn_before") + 1).cast("long"))
                .drop("__rn_pid", "__rn_li", "__rn_first", "__rn_before"))
@@ -148,5 +150,7 @@ def cumulative_sum_by(df: DataFrame, keys: Sequence[str] | str | None, order: Se
     ren = {k: f"__cs_k{i}" for i, k in enumerate(keys)}
     tot = tot.withColumnsRenamed(ren).withColumnRenamed("__cs_pid", "__cs_spid")
     cond = [F.col("__cs_pid") == F.col("__cs_spid")] + [F.col(k).eqNullSafe(F.col(v)) for k, v in ren.items()]
+    if not keys:  # at most one row per partition
+        tot = F.broadcast(tot)
     res = t.join(tot, on=cond, how="inner").drop("__cs_spid", *ren.values())
     return res.withColumn(out, F.col("__cs_local") + F.col("__cs_before")).drop("__cs_pid", "__cs_local", "__cs_before")

@@ -32,22 +32,27 @@ def micros(ts: str) -> Column:
 
 
 def split_base_history(df: DataFrame, ts: str, group_keys: Sequence[str], moment_us: int, k: int = 0,
-                       materialize: bool = False):
+                       materialize: bool = False, longest: int | None = None):
     """(base, history) with helper columns _t, _M (group max), _L1, _L2.
 
-    ``materialize`` checkpoints the prepared table (shared checkpoint folder)
-    when many feature blocks will read it.
+    ``longest`` is the longest horizon that will be asked for: older history
+    cannot reach any feature and is left out.  ``materialize`` checkpoints the
+    prepared table (shared checkpoint folder) when many feature blocks will
+    read it.
     """
     t = df.withColumn("_t", micros(ts))
     m = t.groupBy(*group_keys).agg(F.max("_t").alias("_M"))
     t = (t.join(m, list(group_keys), "inner")
           .withColumn("_L1", F.col("_M") - F.lit((k + 1) * moment_us))
           .withColumn("_L2", F.col("_M") - F.lit(k * moment_us)))
+    t = t.where(F.col("_t") < F.col("_L2"))
+    if longest is not None:
+        t = t.where((F.col("_t") >= F.col("_L1")) | _in_horizon(longest, moment_us, k))
     if materialize:
         from ..session import ensure_checkpoint_dir
         ensure_checkpoint_dir(t.sparkSession)
         t = t.checkpoint(eager=True)
-    base = t.where((F.col("_t") >= F.col("_L1")) & (F.col("_t") < F.col("_L2")))
+    base = t.where(F.col("_t") >= F.col("_L1"))
     hist = t.where(F.col("_t") < F.col("_L1"))
     return base, hist
 
@@ -105,6 +110,9 @@ def keyset_features(base: DataFrame, hist: DataFrame, obs_id: str, keys: Sequenc
                     decay_base: float = 0.985, unit_us: int = 15 * MINUTES, median: str = "exact") -> DataFrame:
     """All blocks sharing one key set: ONE aggregation of the history, ONE join to the base rows."""
     keys = list(keys)
+    reach = [n for b in blocks for n in (*b.get("horizons", ()), *b.get("decay_horizons", ()))]
+    if reach:  # older rows fall into no horizon; a group without rows gets the same zeros
+        hist = hist.where(_in_horizon(max(reach), moment_us, k))
     aggs, ordered = [], []
     for b in blocks:
         a, o = _block_aggs(value, b["name"], b.get("horizons", ()), b.get("decay_horizons", ()), moment_us, k,
@@ -162,7 +170,8 @@ def assemble(df: DataFrame, obs_id: str, ts: str, group_keys: Sequence[str], val
     ``decay_horizons``.  Blocks sharing a key set are computed in one
     aggregation; each key set costs one join on obs_id.
     """
-    base, hist = split_base_history(df, ts, group_keys, moment_us, k, materialize=True)
+    reach = [n for b in blocks for n in (*b.get("horizons", ()), *b.get("decay_horizons", ()))]
+    base, hist = split_base_history(df, ts, group_keys, moment_us, k, materialize=True, longest=max(reach, default=0))
     by_keys: dict[tuple, list[dict]] = {}
     for b in blocks:
         by_keys.setdefault(tuple(b["keys"]), []).append(b)

@@ -124,8 +124,9 @@ def tfidf_long(df: DataFrame, id_col: str, terms: Column, min_df: int = 1, max_f
     tf = F.lit(1).cast("long") if binary else F.col("value")
     w = w.withColumn("weight", tf * F.col("idf"))
     if norm:
-        nrm = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_l2"))
-        w = w.join(nrm, id_col).withColumn("weight", F.try_divide(F.col("weight"), F.col("_l2"))).drop("_l2")
+        # one document's terms fit one task: the norm is a window over them, one shuffle of the weights
+        l2 = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(id_col)))
+        w = w.withColumn("weight", F.try_divide(F.col("weight"), l2))
     return w.select(id_col, "term", "term_id", "weight")
 
 

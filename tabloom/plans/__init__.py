@@ -68,12 +68,6 @@ def oracle_sqls() -> dict:
 
 
 def load_all() -> dict:
-    from . import basket  # noqa: F401
-    for mod in ("relational", "aggregation", "timeseries", "encoding", "text",
-                "vocabulary", "embedding", "screening", "modeling", "io"):
-        try:
-            __import__(f"{__name__}.{mod}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if mod not in str(e):
-                raise
+    from . import (aggregation, basket, embedding, encoding, io, modeling, relational,  # noqa: F401
+                   screening, text, timeseries, vocabulary)
     return REGISTRY

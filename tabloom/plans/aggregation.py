@@ -124,10 +124,12 @@ _EV_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
 @query("agg_status_counts", "SELECT user_id, " + ", ".join(
-    f"nullif(count_if(event_type = '{v}'), 0) AS STATUS_{v}, nullif(count_if(event_type = '{v}'), 0) / count(*) AS STATUS_{v}_RATIO"
-    for v in _EV_TYPES) + ", count(*) AS n_events FROM events GROUP BY user_id")
+    f"nullif(count_if(event_type = '{v}'), 0) AS STATUS_{v}, nullif(count_if(event_type = '{v}'), 0) / nullif(abs(min(month_no)), 0) AS STATUS_{v}_RATIO"
+    for v in _EV_TYPES) + """, abs(min(month_no)) AS MONTHS
+FROM (SELECT *, (year(ts) - 2030) * 12 + month(ts) AS month_no FROM events) GROUP BY user_id""")
 def q_agg_status_counts(spark, d):
-    return A.status_counts(T(spark, d, "events"), "user_id", "event_type", _EV_TYPES, months="n_events")
+    ev = T(spark, d, "events").withColumn("month_no", ((F.year("ts") - 2030) * 12 + F.month("ts")).cast("long"))
+    return A.status_counts(ev, "user_id", "event_type", _EV_TYPES, months="month_no")
 
 
 @query("agg_first_last", """

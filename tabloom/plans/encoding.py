@@ -105,10 +105,16 @@ def q_enc_target_smooth(spark, d):
             .unionByName(te.select("c_custkey", F.lit("test").alias("split"), "c_nationkey_te")))
 
 
-@query("enc_noise")
+def _uniform_sql(i):
+    return f"((('0x' || substr(md5(concat_ws(':', '42.{i}', CAST(c_custkey AS VARCHAR))), 1, 8))::BIGINT + 1) / 4294967297.0::DOUBLE)"
+
+
+@query("enc_noise", f"""SELECT c_custkey, c_acctbal,
+  c_acctbal * (1 + 0.01::DOUBLE * sqrt(-2 * ln({_uniform_sql(1)})) * cos({_uniform_sql(2)} * 6.283185307179586::DOUBLE)) AS c_acctbal_noisy
+FROM customer""")
 def q_enc_noise(spark, d):
     c = T(spark, d, "customer").select("c_custkey", "c_acctbal")
-    return E.add_noise(c, "c_acctbal", 0.01, seed=42, out="c_acctbal_noisy")
+    return E.add_noise(c, "c_acctbal", "c_custkey", 0.01, seed=42, out="c_acctbal_noisy")
 
 
 @query("enc_concat_keys", f"""

@@ -47,6 +47,27 @@ def q_ml_stratified_half(spark, d):
     return ML.stratified_sample(table(spark, d, "labels").select("doc_id", "toxic"), "doc_id", "toxic", 0.5)
 
 
+@query("ml_split_stratified", f"""WITH {_SRANK}
+SELECT doc_id, toxic, CASE WHEN rk <= floor(n * 0.9) THEN 'train' ELSE 'valid' END AS split FROM r""")
+def q_ml_split_stratified(spark, d):
+    return ML.split_stratified(table(spark, d, "labels").select("doc_id", "toxic"), "doc_id", "toxic", 0.9)
+
+
+@query("udf_pipe", "SELECT doc_id, n_chars, 2 * n_chars AS twice FROM documents WHERE n_chars > 100")
+def q_udf_pipe(spark, d):
+    from ..operators.udf import pipe
+    return pipe(table(spark, d, "documents").select("doc_id", "n_chars"),
+                lambda df: df.where("n_chars > 100"), (lambda df, k: df.withColumn("twice", F.col("n_chars") * k), 2))
+
+
+@query("udf_partition_map", "SELECT doc_id, CAST(length(text) AS BIGINT) AS n_points, ends_with(text, '.') AS closed FROM documents")
+def q_udf_partition_map(spark, d):
+    from ..operators.udf import map_batches
+    return map_batches(table(spark, d, "documents").select("doc_id", "text"),
+                       lambda b: b.assign(n_points=b["text"].str.len(), closed=b["text"].str.endswith("."))[["doc_id", "n_points", "closed"]],
+                       "doc_id long, n_points long, closed boolean")
+
+
 @query("ml_kfold", f"""WITH {_SRANK}
 SELECT doc_id, CAST({_hash_sql('doc_id')} % 5 AS BIGINT) AS fold, CAST((rk - 1) % 5 AS BIGINT) AS sfold FROM r""")
 def q_ml_kfold(spark, d):
@@ -80,8 +101,9 @@ r AS (SELECT *, sum(n) OVER (PARTITION BY lab ORDER BY score ROWS UNBOUNDED PREC
 SELECT lab, sum(p * (cn - n + 0.5 * n)) / nullif(sum(p) * sum(n), 0) AS auc FROM r GROUP BY lab""")
 def q_mt_auc(spark, d):
     s = scored(spark, d).where(F.col("score").isNotNull())
-    x = s.select("score", F.lit("toxic").alias("lab"), F.col("toxic").alias("y")).unionByName(
-        s.select("score", F.lit("quality").alias("lab"), F.col("quality").alias("y")))
+    # both labels from one pass over the scored documents
+    pairs = F.array(*[F.struct(F.lit(c).alias("lab"), F.col(c).alias("y")) for c in ("toxic", "quality")])
+    x = s.select("score", F.inline(pairs))
     return M.roc_auc(x, "score", "y", by=["lab"])
 
 
@@ -125,19 +147,20 @@ def q_mt_scores_table(spark, d):
     f = M.f1(x.withColumn("score", F.coalesce("score", F.lit(0.0))), "score", "y", 0.7, by=["step"]) \
         .select("step", F.lit("f1").alias("metric"), F.col("f1").alias("value"))
     r = M.rmse(x, "score", "y", by=["step"]).select("step", F.lit("rmse").alias("metric"), F.col("rmse").alias("value"))
-    return M.score_table(f.unionByName(r))
+    return M.score_table(f.unionByName(r), ["f1", "rmse"])
 
 
 # ------------------------------------------------------------------ model fits (rows-only)
 def _train(spark, d):
     t = feature_table(spark, d).fillna(0.0, FEATURES)
-    return ML.assemble(ML.add_fold(t, "c_custkey", 3), FEATURES)
+    return ML.assemble(ML.add_fold(t, "c_custkey", 5), FEATURES)
 
 
 @query("ml_gbt_binary")
 def q_ml_gbt_binary(spark, d):
     t = _train(spark, d)
-    m = ML.fit_gbt(t.where("is_train = 1"), "features", "target", maxIter=10, maxDepth=3, seed=1)
+    fit = t.where("is_train = 1").withColumn("held", F.col("fold") == 0)
+    m = ML.fit_gbt(fit, "features", "target", maxIter=30, maxDepth=3, seed=1, validationIndicatorCol="held", validationTol=0.005)
     return ML.probability(m.transform(t.where("is_train = 0"))).select("c_custkey", "prob")
 
 
@@ -166,7 +189,7 @@ def q_ml_logreg(spark, d):
 def _oof(spark, d):
     t = _train(spark, d)
     return ML.cross_predict(t.where("is_train = 1"), t.where("is_train = 0"), "c_custkey",
-                            lambda x: ML.fit_gbt(x, "features", "target", maxIter=5, maxDepth=3, seed=1), k=3)
+                            lambda x: ML.fit_gbt(x, "features", "target", maxIter=5, maxDepth=3, seed=1), k=5)
 
 
 @query("ml_oof")
@@ -208,20 +231,19 @@ def q_ml_stack(spark, d):
 
 @query("ml_param_search")
 def q_ml_param_search(spark, d):
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.tuning import ParamGridBuilder
-    t = _train(spark, d).where("is_train = 1")
-    lr = LogisticRegression(featuresCol="features", labelCol="target")
-    grid = ParamGridBuilder().addGrid(lr.regParam, [0.01, 0.1]).build()
-    cv = ML.search(t, lr, grid, BinaryClassificationEvaluator(labelCol="target"), k=2)
-    return spark.createDataFrame([(float(p[lr.regParam]), float(v)) for p, v in zip(grid, cv.avgMetrics)],
-                                 "reg_param double, auc double")
+    """Seeded random candidates over nine ranges of boosted trees; out-of-fold AUC of each."""
+    t = _train(spark, d).where("is_train = 1").withColumn("fold", F.col("fold") % 3)
+    ranges = {"maxDepth": (2, 5), "maxIter": (3, 8), "maxBins": (16, 64), "minInstancesPerNode": (1, 40), "minInfoGain": (0.0, 0.01),
+              "stepSize": (0.02, 0.3), "subsamplingRate": (0.5, 1.0), "minWeightFractionPerNode": (0.0, 0.05),
+              "featureSubsetStrategy": ["all", "sqrt", "0.5"]}
+    found = ML.random_search(t, "features", "target", "c_custkey", ranges, n=4, k=3, seed=1)
+    return spark.createDataFrame([(i, ", ".join(f"{n}={v:.6g}" if isinstance(v, float) else f"{n}={v}" for n, v in sorted(p.items())), float(auc))
+                                  for i, (p, auc) in enumerate(found)], "candidate int, params string, auc double")
 
 
 @query("fs_model_loop")
 def q_fs_model_loop(spark, d):
     t = feature_table(spark, d).fillna(0.0, FEATURES)
-    left = ML.prune_by_model(t, FEATURES, "target", auc=0.7, max_rounds=2, maxIter=5, maxDepth=2, seed=1)
+    left = ML.prune_by_model(t, FEATURES, "target", auc=0.7, maxIter=5, maxDepth=2, seed=1)
     return spark.createDataFrame([(f,) for f in FEATURES], "feature string").withColumn(
         "dropped_by_model", F.col("feature").isin(left).cast("int"))

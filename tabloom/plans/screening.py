@@ -17,23 +17,23 @@ FEATURES = ["f_acctbal", "f_nation", "f_orders", "f_avg_price", "f_max_price", "
 
 FEAT_SQL = """feat AS (
   SELECT c.c_custkey, c.c_acctbal AS f_acctbal, CAST(c.c_nationkey AS DOUBLE) AS f_nation, CAST(o.n AS DOUBLE) AS f_orders,
-         o.avg_price AS f_avg_price, o.max_price AS f_max_price, 1.0 AS f_const, CAST(c.c_acctbal > 0 AS DOUBLE) AS f_pos,
+         CASE WHEN c.c_custkey % 7 <> 0 THEN o.avg_price END AS f_avg_price, CASE WHEN c.c_custkey % 7 <> 0 THEN o.max_price END AS f_max_price, 1.0 AS f_const, CAST(c.c_acctbal > 0 AS DOUBLE) AS f_pos,
          CAST(c.c_mktsegment = 'BUILDING' AS BIGINT) AS target,
          CAST(('0x' || substr(md5(CAST(c.c_custkey AS VARCHAR)), 1, 8))::BIGINT % 5 <> 0 AS BIGINT) AS is_train
   FROM customer c LEFT JOIN (SELECT o_custkey, count(*) AS n, avg(o_totalprice) AS avg_price, max(o_totalprice) AS max_price
-                             FROM orders WHERE o_orderpriority <> '5-LOW' GROUP BY 1) o ON c.c_custkey = o.o_custkey),
+                             FROM orders GROUP BY 1) o ON c.c_custkey = o.o_custkey),
 long AS (SELECT * FROM (UNPIVOT feat ON """ + ", ".join(FEATURES) + """ INTO NAME feature VALUE value) WHERE value IS NOT NULL)"""
 
 
 def feature_table(spark, d):
-    o = (table(spark, d, "orders").where(F.col("o_orderpriority") != "5-LOW").groupBy("o_custkey")
+    o = (table(spark, d, "orders").groupBy("o_custkey")
          .agg(F.count(F.lit(1)).alias("n"), F.avg("o_totalprice").alias("avg_price"),
               F.max("o_totalprice").alias("max_price")))
     c = table(spark, d, "customer")
     j = c.join(o, c.c_custkey == o.o_custkey, "left")
     return j.select("c_custkey", F.col("c_acctbal").alias("f_acctbal"), F.col("c_nationkey").cast("double").alias("f_nation"),
-                    F.col("n").cast("double").alias("f_orders"), F.col("avg_price").alias("f_avg_price"),
-                    F.col("max_price").alias("f_max_price"), F.lit(1.0).alias("f_const"),
+                    F.col("n").cast("double").alias("f_orders"), F.when(F.col("c_custkey") % 7 != 0, F.col("avg_price")).alias("f_avg_price"),
+                    F.when(F.col("c_custkey") % 7 != 0, F.col("max_price")).alias("f_max_price"), F.lit(1.0).alias("f_const"),
                     (F.col("c_acctbal") > 0).cast("double").alias("f_pos"),
                     (F.col("c_mktsegment") == "BUILDING").cast("long").alias("target"),
                     (portable_hash("c_custkey") % 5 != 0).cast("long").alias("is_train"))

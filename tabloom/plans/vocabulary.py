@@ -130,18 +130,22 @@ def _char_sql(n):
             f"lambda i: substr(t, i, {n})) ELSE [] END")
 
 
-_CH_TERMS = (f"SELECT doc_id, list_concat({_char_sql(2)}, {_char_sql(3)}, {_char_sql(4)}) AS terms "
-             f"FROM (SELECT doc_id, lower(text) AS t FROM documents)")
+_CH_TERMS = ("SELECT doc_id, list_concat(" + ", ".join(_char_sql(n) for n in range(1, 7)) + ") AS terms "
+             "FROM (SELECT doc_id, lower(text) AS t FROM documents)")
 
 
-@query("vz_char_ngram", f"""WITH {_vocab_sql(_CH_TERMS, 5, None)},
-c AS (SELECT DISTINCT x.doc_id, x.term FROM x JOIN voc USING (term))
-SELECT d.doc_id, count(c.term) AS n_grams FROM documents d LEFT JOIN c USING (doc_id) GROUP BY d.doc_id""")
+@query("vz_char_ngram", f"""WITH {_vocab_sql(_CH_TERMS, 5, 200_000)},
+c AS (SELECT DISTINCT x.doc_id, x.term, voc.term_id FROM x JOIN voc USING (term))
+SELECT d.doc_id, count(c.term) AS n_grams, coalesce(sum(c.term_id), 0)::BIGINT AS id_sum
+FROM documents d LEFT JOIN c USING (doc_id) GROUP BY d.doc_id""")
 def q_vz_char_ngram(spark, d):
+    """Binary character 1- to 6-grams against a vocabulary of 200,000; per document their number and id sum."""
     docs = table(spark, d, "documents").select("doc_id", F.lower("text").alias("t"))
-    kept = V.binary_doc_terms(V.char_ngram_rows(docs, "doc_id", "t", 2, 4), "doc_id", min_df=5)
-    n = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_grams"))
-    return docs.select("doc_id").join(n, "doc_id", "left").fillna(0, ["n_grams"])
+    counts = V.doc_term_counts(docs, "doc_id", V.char_ngram_range(F.col("t"), 1, 6))
+    voc = V.vocab_from_counts(counts, 5, 200_000)
+    kept = counts.join(voc.select("term", "term_id"), "term").select("doc_id", "term", "term_id")
+    n = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_grams"), F.sum("term_id").alias("id_sum"))
+    return docs.select("doc_id").join(n, "doc_id", "left").fillna(0, ["n_grams", "id_sum"])
 
 
 _TF_TERMS = f"SELECT doc_id, tk AS terms FROM ({DOCS_TK})"
@@ -156,6 +160,30 @@ def q_vz_tfidf(spark, d):
     return V.tfidf_long(_docs(spark, d), "doc_id", F.col("tk"), min_df=2, max_features=5000)
 
 
+def _tfidf_variant(name, lo, hi, min_df, max_features, binary, stop):
+    """Register TF-IDF of word ``lo``- to ``hi``-grams, with its SQL."""
+    grams = ", ".join(_ngram_sql(n) for n in range(lo, hi + 1))
+    base = f"SELECT doc_id, list_filter(tk, lambda t: NOT list_contains({_STOP_LIST}, t)) AS tk FROM ({DOCS_TK})" if stop else DOCS_TK
+    terms = f"SELECT doc_id, {f'list_concat({grams})' if hi > lo else grams} AS terms FROM ({base})"
+    sql = f"""WITH {_vocab_sql(terms, min_df, max_features)},
+n AS (SELECT count(*) AS n FROM documents),
+c AS (SELECT x.doc_id, x.term, voc.term_id, {1 if binary else 'count(*)'} AS value, any_value(voc.df) AS df FROM x JOIN voc USING (term) GROUP BY 1, 2, 3),
+w AS (SELECT doc_id, term, term_id, value * (ln((1 + n.n) / (1 + df)) + 1) AS weight FROM c, n)
+SELECT doc_id, term, term_id, weight / nullif(sqrt(sum(weight * weight) OVER (PARTITION BY doc_id)), 0) AS weight FROM w"""
+
+    @query(name, sql)
+    def run(spark, d):
+        docs = _docs(spark, d)
+        if stop:
+            docs = docs.withColumn("tk", F.filter("tk", lambda t: ~t.isin(["the", "a", "an", "and", "of", "to", "in", "is", "it"])))
+        return V.tfidf_long(docs, "doc_id", V.ngram_range(F.col("tk"), lo, hi), min_df=min_df, max_features=max_features, binary=binary)
+
+
+_tfidf_variant("vz_tfidf_words", 1, 1, 5, 100_000, False, False)
+_tfidf_variant("vz_tfidf_bigrams", 1, 2, 10, 15_000, False, True)
+_tfidf_variant("vz_tfidf_binary", 1, 4, 5, 200_000, True, True)
+
+
 @query("vz_union")
 def q_vz_union(spark, d):
     from ..operators.encode import hash_vector, one_hot_vector

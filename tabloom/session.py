@@ -45,12 +45,15 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is set by the deployment and only read here.  A
-    local folder is created only when nothing is configured (tests, bench).
+    On a cluster the folder is set by the deployment and only read here; a
+    missing setting is an error there.  A local folder is created only under a
+    local master when nothing is configured (tests, bench).
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
+    if not d and not (spark.sparkContext.master + "[").startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="tabloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)

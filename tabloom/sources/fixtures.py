@@ -38,7 +38,8 @@ def basket_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.when(F.col("order_number") < F.col("n_orders"), "prior")
                        .when(F.col("user_id") % 4 != 0, "train").otherwise("test"))
           .withColumn("order_number", F.col("order_number").cast("int")))
-    return o.select("order_id", "user_id", "eval_set", "order_number", "days_since_prior_order")
+    # several features read the numbered orders: the joins above are done once, not once per reader
+    return o.select("order_id", "user_id", "eval_set", "order_number", "days_since_prior_order").checkpoint()
 
 
 def basket_lines(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
@@ -52,7 +53,7 @@ def basket_lines(spark: SparkSession, sf_dir: str, orders: DataFrame | None = No
     first = j.groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first"))
     j = j.join(first, ["user_id", "product_id"])
     return j.select("order_id", "product_id", "add_to_cart_order",
-                    (F.col("order_number") > F.col("_first")).cast("int").alias("reordered"))
+                    (F.col("order_number") > F.col("_first")).cast("int").alias("reordered")).checkpoint()
 
 
 BASKET_SQL = """

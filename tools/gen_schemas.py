@@ -1,7 +1,7 @@
 """Record each registered query's Spark output schema (run at sf0.001).
 
 The SQL oracles are wrapped with this schema so both sides round doubles to
-six places and widen integers to BIGINT identically.
+eight significant digits and widen integers to BIGINT identically.
 usage: python tools/gen_schemas.py [name-substring ...]
 """
 from __future__ import annotations
