@@ -112,22 +112,24 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, id_col:
     whole = narrow.agg(F.sum("size")).first()[0] or 0
     files = max(1, -(-whole // FILE_BYTES))
     response = narrow.where(F.col("size") >= least_bytes).groupBy("digest").agg(F.max("page_id").alias("owner"))
+    # one key for the join and for dealing pages to files, so that the payloads are shuffled once
+    key = F.xxhash64("page_id", "digest").alias("key")
     marked = narrow.join(response, "digest", "left").groupBy("page_id", "digest").agg(F.max("owner").alias("owner"))
-    marked = marked.select(F.col("page_id").alias("__id"), F.col("digest").alias("__digest"), "owner")
-    both = p.withColumn("__digest", F.sha1(F.col("html").cast("binary")))
-    both = both.join(marked.withColumnRenamed("__digest", "__d"), F.col("page_id").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__d")), "left").drop("__id", "__d")
+    marked = marked.select(key, F.col("digest").alias("__digest"), "owner")
+    dealt = p.withColumn("digest", F.sha1(F.col("html").cast("binary"))).withColumn("key", key)
+    dealt = dealt.repartition(max(files, partitions(pages.sparkSession)), "key")
+    both = dealt.join(marked, (dealt["key"] == marked["key"]) & (F.col("digest") == F.col("__digest")), "left").select("page_id", "url", "html", "digest", "owner")
 
     def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for page, url, html, digest, owner in zip(b["page_id"], b["url"], b["html"], b["__digest"], b["owner"]):
+            for page, url, html, digest, owner in zip(b["page_id"], b["url"], b["html"], b["digest"], b["owner"]):
                 page, owner = (None if pd.isna(x) else int(x) for x in (page, owner))
                 d = base64.b32encode(bytes.fromhex(digest)).decode("ascii")
                 out.append(make_record(page, url, html, d, owner if owner is not None and owner != page else None))
             yield pd.DataFrame({"value": out})
 
-    dealt = both.repartition(files, F.xxhash64("page_id")) if files > 1 else both.coalesce(1)
-    dealt.mapInPandas(records, "value string").write.option("lineSep", "\r\n\r\n").option("compression", "gzip").mode("error").text(folder)
+    both.mapInPandas(records, "value string").write.option("lineSep", "\r\n\r\n").option("compression", "gzip").mode("error").text(folder)
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
@@ -194,7 +196,8 @@ def merged_index(captures: DataFrame) -> DataFrame:
     spark = captures.sparkSession
     ranges = partitions(spark)
     key = F.struct("urlkey", "timestamp", F.coalesce("page_id", F.lit(-1)).alias("page"), "file", "record_offset")
-    sampled = captures.select(key.alias("k"), F.xxhash64("file", "record_offset").alias("o")).orderBy("o").limit(SAMPLE * ranges).select("k.*").collect()
+    step = max(1, captures.count() // (SAMPLE * ranges))
+    sampled = captures.where(F.pmod(F.xxhash64("file", "record_offset"), F.lit(step)) == 0).select(key.alias("k")).select("k.*").collect()
     keys = sorted(tuple(r) for r in sampled)
     borders = [keys[i * len(keys) // ranges] for i in range(1, ranges)] if keys else []
     names = captures.columns
