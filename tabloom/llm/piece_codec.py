@@ -30,11 +30,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE_MARK = "▁"
-#: Units kept per process; the table is emptied when full.
-UNITS_KEPT = 400_000
+#: Words kept per process.
+UNITS_KEPT = 600_000
+#: Characters of a unit's beginning whose prefix table is kept.
+HEAD = 7
 _CODECS: dict = {}
 
 
+class _Words(dict):
+    """Results per word, in two generations: the older one goes when the younger is full, words in use move on."""
+
+    def __init__(self, make, most: int):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, word: str):
+        got = self.old.get(word)
+        if got is None:
+            got = self.make(word)
+        if len(self) >= self.most // 2:
+            self.old = dict(self)
+            self.clear()
+        self[word] = got
+        return got
+
+
 class PieceCodec:
     """Encoder and decoder of one SentencePiece BPE model with byte fallback."""
 
@@ -61,15 +81,20 @@ class PieceCodec:
         self.byte_ids = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == kinds.BYTE}
         self.byte_of = {i: b for b, i in self.byte_ids.items()}
         self.splits: dict[str, tuple[str, str] | None] = {}
-        self.compatible: dict[tuple[str, str], bool] = {}
+        self.compatible: list[dict[int, bool]] = [{} for _ in self.pieces]  # by right token, then left
         self.automaton = ahocorasick.Automaton()
         for p in self.ids:
             if len(p) == 1 or self._split(p) is not None:  # a piece that merging never makes ends no prefix
-                self.automaton.add_word(p, p)
+                self.automaton.add_word(p, self.ids[p])
         self.automaton.make_automaton()
-        self.units: dict[str, tuple[str, int, str]] = {}
+        self.chars = frozenset(p for p in self.ids if len(p) == 1)
+        self.lengths = [len(p) for p in self.pieces]
+        self.units = _Words(self._word, UNITS_KEPT)
+        self.odd: dict[str, str] = {}
+        self.heads: dict[str, list[int]] = {}
         inside = {a + b for p in self.ids for a, b in zip(p, p[1:])}
         self.inside = inside
+        self.closing = "".join(c for c in ".,;:!?|" if c in self.chars and not any(b == c and a.isalpha() for a, b in inside))
         self.word = re.compile(f"{SPACE_MARK}*[^{SPACE_MARK}]+|{SPACE_MARK}+") if not any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in self.ids) else None
 
     def _merge(self, text: str) -> list[str]:
@@ -99,12 +124,6 @@ class PieceCodec:
         it would have happened had its rank come before the merge that ended
         the pair (at equal rank the leftmost goes first).
         """
-        key = (left, right)
-        known = self.compatible.get(key)
-        if known is not None:
-            return known
-        if len(self.compatible) > 2_000_000:
-            self.compatible.clear()
         rank, until, known = self.rank, 1 << 60, True
         while True:
             if rank.get(left + right, 1 << 60) < until:
@@ -118,36 +137,39 @@ class PieceCodec:
                 until, left = when_left, self._split(left)[1]
             else:  # to the left of the right one, so it wins ties
                 until, right = when_right + 1, self._split(right)[0]
-        self.compatible[key] = known
         return known
 
-    def tokens(self, unit: str) -> list[str]:
-        """Encoding of one unit by the prefix table."""
+    def known_ids(self, unit: str) -> list[int]:
+        """Encoding, by the prefix table, of a unit whose characters are all in the vocabulary."""
         n = len(unit)
-        last: list[str] = [""] * (n + 1)
-        at = 0
-        fits, compatible = self._pair_fits, self.compatible
-        ends: list[list[str]] = [[] for _ in range(n)]
-        for end, piece in self.automaton.iter(unit):
-            ends[end].append(piece)
-        for at in range(n):
-            for piece in ends[at]:
-                begin = at + 1 - len(piece)
-                if begin == 0:
-                    last[at + 1] = piece
-                    break
-                before = last[begin]
-                known = compatible.get((before, piece))
-                if known or known is None and fits(before, piece):
-                    last[at + 1] = piece
-                    break
-            else:
-                last[at + 1] = unit[at]  # outside the vocabulary
-        out, at = [], n
-        while at:
-            out.append(last[at])
-            at -= len(last[at])
-        return out[::-1]
+        # the table of a prefix is the same in every unit that begins with it
+        head = unit[:HEAD]
+        last = self.heads.get(head)
+        last = [-1] * n if last is None else last + [-1] * (n - len(last))
+        compatible, pieces, lengths = self.compatible, self.pieces, self.lengths
+        for end, piece in self.automaton.iter(unit):  # ends ascend, so every shorter prefix is known
+            if last[end] < 0:
+                begin = end - lengths[piece]
+                if begin < 0:  # last[end] belongs to the prefix that ends with this character
+                    last[end] = piece
+                else:
+                    before = last[begin]
+                    fits = compatible[piece].get(before)
+                    if fits is None:
+                        fits = compatible[piece][before] = self._pair_fits(pieces[before], pieces[piece])
+                    if fits:
+                        last[end] = piece
+        if n >= HEAD and head not in self.heads:
+            if len(self.heads) >= UNITS_KEPT:
+                self.heads.clear()
+            self.heads[head] = last[:HEAD]
+        out, at = [], n - 1
+        while at >= 0:
+            piece = last[at]
+            out.append(piece)
+            at -= lengths[piece]
+        out.reverse()
+        return out
 
     def _units(self, word: str) -> list[str]:
         inside, out, begin = self.inside, [], 0
@@ -160,17 +182,12 @@ class PieceCodec:
 
     def encode_word(self, word: str) -> tuple[list[int], bool]:
         """Ids of a word, and whether all are vocabulary pieces."""
+        if self.chars.issuperset(word):
+            return self.known_ids(word), True
         ids: list[int] = []
-        plain = True
-        for unit in self._units(word):
-            for t in self.tokens(unit):
-                i = self.ids.get(t)
-                if i is not None:
-                    ids.append(i)
-                else:
-                    plain = False
-                    ids += [self.byte_ids[b] for b in t.encode("utf-8", "replace")]
-        return ids, plain
+        for unit in self._units(word):  # a character outside the vocabulary is a unit: no piece holds it
+            ids += self.known_ids(unit) if self.chars.issuperset(unit) else [self.byte_ids[b] for b in unit.encode("utf-8", "replace")]
+        return ids, False
 
     def decode(self, ids: list[int]) -> str:
         """Text of ids; broken byte sequences give U+FFFD per byte, as the library does."""
@@ -205,18 +222,23 @@ class PieceCodec:
             text = text[1:]
         return text.replace(SPACE_MARK, " ")
 
-    def _known(self, word: str) -> tuple[str, int, str]:
-        got = self.units.get(word)
-        if got is None:
-            if len(self.units) >= UNITS_KEPT:
-                self.units.clear()
-            ids, plain = self.encode_word(word)
-            if plain:
-                text = "".join([self.pieces[i] for i in ids]).replace(SPACE_MARK, " ")
-            else:
-                text = self.decode([self.ids["a"], *ids])[1:]  # inside a text no space is dropped
-            got = self.units[word] = (",".join(map(str, ids)), len(ids), text)
-        return got
+    def _word(self, word: str) -> str:
+        """Ids, joined by commas, of a word inside a text; its text goes to ``odd`` where it is not the word's own."""
+        stem = word.rstrip(self.closing)
+        if stem != word and stem[-1:].isalpha():  # no piece holds a letter and what follows it: two units
+            rest = word[len(stem):]
+            ids = f"{self.units[stem]},{self.units[rest]}"
+            if stem in self.odd or rest in self.odd:
+                self.odd[word] = self.odd.get(stem, stem) + self.odd.get(rest, rest)
+            return ids
+        ids, plain = self.encode_word(word)
+        if plain:
+            text = "".join([self.pieces[i] for i in ids])
+        else:
+            text = self.decode([self.ids["a"], *ids])[1:].replace(" ", SPACE_MARK)  # inside a text no space is dropped
+        if text != word:
+            self.odd[word] = text
+        return ",".join(map(str, ids))
 
     def listing(self, text: str) -> tuple[int, str, str]:
         """(number of ids, ids joined by commas, decoded text)."""
@@ -224,12 +246,11 @@ class PieceCodec:
             return 0, "", ""
         marked = (SPACE_MARK if self.dummy_prefix else "") + text.replace(" ", SPACE_MARK)
         words = self.word.findall(marked) if self.word else [marked]
-        get = self.units.get
-        known = [get(w) or self._known(w) for w in words]
-        decoded = "".join([k[2] for k in known])
-        if self.dummy_prefix and decoded.startswith(" "):
-            decoded = decoded[1:]
-        return sum([k[1] for k in known]), ",".join([k[0] for k in known]), decoded
+        ids = ",".join(map(self.units.__getitem__, words))
+        # a word's ids are decoded when it is first met; what differs from the word itself is kept apart
+        decoded = marked if not self.odd else "".join([self.odd.get(w, w) for w in words])
+        decoded = decoded.replace(SPACE_MARK, " ")
+        return ids.count(",") + 1, ids, decoded[1:] if self.dummy_prefix else decoded
 
     def encode(self, text: str) -> list[int]:
         ids = self.listing(text)[1]
