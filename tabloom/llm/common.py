@@ -32,7 +32,7 @@ def text_or_empty(col: str) -> Column:
 
 def split_words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a non-null text."""
-    return F.filter(F.split(text, f"[{SPACE}]+"), lambda w: w != "")
+    return F.array_remove(F.split(text, f"[{SPACE}]+"), "")
 
 
 def partitions(spark: SparkSession) -> int:

@@ -25,7 +25,10 @@ STOP_WORDS = ("the", "of", "and", "to", "in", "is", "that", "it", "was", "for",
               "le", "la", "les", "et", "de", "du", "un", "une", "que", "qui", "en", "pour", "par", "est", "dans", "sur", "au",
               "el", "los", "las", "y", "del", "se", "por", "con", "para", "una", "es", "lo", "no")
 
-#: Words in a window whose repetition within the text is counted.
+#: As they stand in texts: spelled small, with a capital and in capitals, so that words need no case folding.
+STOP_SPELLINGS = tuple(dict.fromkeys(s for w in STOP_WORDS for s in (w, w.capitalize(), w.upper())))
+
+#: Words (a power of two) in a window whose repetition within the text is counted.
 WINDOW = 8
 
 #: (rule, metric, lowest, highest): None means unbounded.
@@ -58,13 +61,16 @@ def repeat_words(words: Column, k: int = WINDOW) -> Column:
         return let(pos, lambda ps: total(F.transform(ps, lambda p, j: F.least(
             F.lit(k), F.coalesce(F.get(ps, j + 1) - p, F.lit(k))))))
 
-    def of_hashes(hs: Column) -> Column:
-        n = F.size(hs)
-        wins = F.transform(F.sequence(F.lit(0), n - k), lambda i: F.xxhash64(*[F.get(hs, i + j) for j in range(k)]))
-        return F.when(n <= k, F.lit(0).cast("long")).otherwise(let(wins, lambda w: F.when(
-            F.size(F.array_distinct(w)) == F.size(w), F.lit(0).cast("long")).otherwise(covered(w))))
+    def judged_windows(wins: Column) -> Column:
+        return F.when(F.size(F.array_distinct(wins)) == F.size(wins), F.lit(0).cast("long")).otherwise(covered(wins))
+
+    def doubled(hs: Column, width: int) -> Column:
+        """From hashes of ``width`` words to those of ``k``: two neighbours make one twice as wide."""
+        if width == k:
+            return let(F.slice(hs, 1, F.size(words) - k + 1), judged_windows)
+        return let(F.transform(hs, lambda h, i: F.xxhash64(h, F.get(hs, i + width))), lambda wider: doubled(wider, 2 * width))
 
-    return let(F.transform(words, lambda w: F.xxhash64(w)), of_hashes)
+    return F.when(F.size(words) <= k, F.lit(0).cast("long")).otherwise(let(F.transform(words, lambda w: F.xxhash64(w)), lambda hs: doubled(hs, 1)))
 
 
 def measure(docs: DataFrame, row: Column, text_col: str = "text") -> DataFrame:
@@ -80,8 +86,8 @@ def measure(docs: DataFrame, row: Column, text_col: str = "text") -> DataFrame:
         long(F.length(t) - F.length(F.translate(t, "#*$%&|<>", ""))).alias("n_symbols"),
         long(F.size(lines) - F.size(F.array_distinct(lines))).alias("n_dup_lines"),
         repeat_words(w).alias("n_repeat_words"), long(F.size(lines)).alias("n_lines"),
-        long(F.size(F.filter(w, lambda x: F.lower(x).isin(*STOP_WORDS)))).alias("n_stop_words"),
-        long(F.size(F.filter(w, lambda x: x.endswith("!!")))).alias("n_shouts"),
+        long(F.size(F.filter(w, lambda x: x.isin(*STOP_SPELLINGS)))).alias("n_stop_words"),
+        long((F.length(t) - F.length(F.replace(t, F.lit("!!"), F.lit("")))) / 2).alias("n_shouts"),
         long(F.size(F.filter(lines, lambda x: x.endswith("...") | x.endswith("…")))).alias("n_ellipsis_lines"),
         long(F.size(F.filter(lines, lambda x: x.rlike(r"^[\x20\x09-\x0D]*[\-\*•][\x20\x09]")))).alias("n_bullet_lines"))
     ratio = lambda a, b: (F.col(a) / F.greatest(F.col(b), F.lit(1))).cast("double")

@@ -72,7 +72,7 @@ QUERIES = {f.__name__: f for f in (
     op8_ngram_jaccard_join, op9_piece_codec, op10_syncmer_fingerprints, pipeline)}
 
 _SPACE = r"\x20\x09-\x0D"
-_STOP = "[" + ", ".join(f"'{w}'" for w in quality.STOP_WORDS) + "]"
+_STOP = "[" + ", ".join(f"'{w}'" for w in quality.STOP_SPELLINGS) + "]"
 
 
 def _rules_sql() -> str:
@@ -99,8 +99,8 @@ m AS (
   SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
          length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
          len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(l) AS n_lines,
-         len(list_filter(w, lambda x: list_contains({_STOP}, lower(x)))) AS n_stop,
-         len(list_filter(w, lambda x: ends_with(x, '!!'))) AS n_shout,
+         len(list_filter(w, lambda x: list_contains({_STOP}, x))) AS n_stop,
+         (length(t) - length(replace(t, '!!', ''))) // 2 AS n_shout,
          len(list_filter(l, lambda x: ends_with(x, '...') OR ends_with(x, '…'))) AS n_ellipsis,
          len(list_filter(l, lambda x: regexp_matches(x, '^[{_SPACE}]*[\\-*•][\\x20\\x09]'))) AS n_bullet
   FROM d LEFT JOIN rep USING (doc_id)),
