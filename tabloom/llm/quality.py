@@ -124,4 +124,6 @@ def judged(d: DataFrame, rules: Sequence[tuple] = RULES) -> DataFrame:
 def keep(docs: DataFrame, rules: Sequence[tuple] = RULES, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
-    return judged(measure(docs, row, text_col), rules).where("kept").select("__row.*")
+    # a filter is pushed below the projections and computes their columns anew at each use; a generated row is not
+    verdict = F.explode(F.array("kept")).alias("kept")
+    return judged(measure(docs, row, text_col), rules).select("__row", verdict).where("kept").select("__row.*")
