@@ -11,7 +11,7 @@ from tabloom.sources.fixtures import TABLES
 
 SF = "/root/testdata/sf0.001"
 FAST = os.environ.get("TABLOOM_FULL_TESTS") is None
-SLOW = {"ts_assemble", "vz_char_ngram", "ml_top_coef", "em_train", "ml_oof", "ml_importance_table",
+SLOW = {"ml_top_coef", "em_train", "ml_oof", "ml_importance_table",
         "agg_importance", "ml_param_search", "fs_model_loop", "io_write_csv"}
 
 
