@@ -11,7 +11,9 @@ Kinds: email, ip, card (Luhn), phone by fixed rules; iban (mod 97) and ssn are
 added by the method: a pattern match gets a base score, a passed checksum and
 helpful words in the ``CONTEXT`` code points before it raise it, unhelpful
 words lower it, and spans of at least ``KEEP`` stay.  Fixed kinds stay at any
-score.
+score.  An iban has exactly the length of its country, whatever follows it,
+and each place where one may begin is judged on its own; other country codes
+have no ibans.
 
 Defined results: null texts count as empty and have no spans; each input row
 gives one row; empty tables give empty tables; other columns are not read.
@@ -55,6 +57,15 @@ def _mod97(m: Column) -> Column:
     return F.length(s).between(15, 34) & (F.aggregate(F.split(moved, ""), F.lit(0).cast("long"), lambda a, ch: F.when(ch == "", a).otherwise(step(a, ch))) == 1)
 
 
+#: Characters of an IBAN by country: the register, the territories that use another country's form, and codes in use outside the register.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "AX DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE GG IE IM JE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST",
+    26: "DZ IR IS TR", 27: "BI BL CF CG CM DJ FR GA GF GP GQ GR IT KM MC MF MG MQ MR NC PF PM RE SM TD TF WF YT",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+_IBAN = "|".join(rf"(?:{'|'.join(codes.split())})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, codes in IBAN_LENGTHS.items())
+
+
 def _ssn(m: Column) -> Column:
     return ~m.rlike(r"^(?:000|666|9)|-00-|-0000$")
 
@@ -65,10 +76,12 @@ KINDS = {
     "ip": (_DIGIT_START + r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", lambda t: t.contains("."), _ip_parts, False, r"\bip\b|address|server|host", "version|release"),
     "card": (_DIGIT_START + r"[0-9](?:[\x20-]?[0-9])++", None, _luhn, True, "card|visa|master|credit|debit|pay", "order|invoice|isbn|serial"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda t: t.contains("+"), lambda m: F.length(_digits(m)).between(9, 15), False, "phone|call|tel|mobile|fax", "version"),
-    "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", None, _mod97, True, "iban|account|bank|transfer|konto", "order|serial"),
+    "iban": (rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?=((?:{_IBAN})(?![A-Za-z0-9])))[A-Z]{{2}}[0-9]{{2}}", None, _mod97, True, "iban|account|bank|transfer|konto", "order|serial"),
     "ssn": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", lambda t: t.contains("-"), _ssn, False, r"ssn|social|security|tax|\bid\b", "order|part|serial|phone"),
 }
 BASE = ("email", "ip", "card", "phone")
+#: Kinds whose pattern takes only so many characters and looks ahead over the span, its first group, so that spans may overlap.
+HEADS = {"iban": 4}
 
 
 def spans_of(kind: str, text: Column) -> Column:
@@ -81,7 +94,7 @@ def spans_of(kind: str, text: Column) -> Column:
     def placed(gaps: Column, found: Column) -> Column:
         def add(state: Column, m: Column, i: Column) -> Column:
             start = state["at"] + F.length(F.get(gaps, i))
-            return F.struct((start + F.length(m)).alias("at"), F.array_append(state["out"], F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("m"))).alias("out"))
+            return F.struct((start + HEADS.get(kind, F.length(m))).alias("at"), F.array_append(state["out"], F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("m"))).alias("out"))
         numbered = F.transform(found, lambda m, i: F.struct(m.alias("m"), i.alias("i")))
         zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,m:string>>").alias("out"))
         return F.aggregate(numbered, zero, lambda s, x: add(s, x["m"], x["i"]), lambda s: s["out"])
@@ -100,7 +113,7 @@ def spans_of(kind: str, text: Column) -> Column:
             out = F.filter(out, lambda x: x["score"] >= KEEP)
         return F.when(F.size(found) == 0, none).otherwise(out.cast(shape))
 
-    out = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), confirmed)
+    out = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(1 if kind in HEADS else 0)), confirmed)
     return out if cheap is None else F.when(cheap(text), out).otherwise(none)
 
 

@@ -326,6 +326,18 @@ def test_pii_added_kinds_and_mask(spark):
     assert [r["m"] for r in got] == ["account [IBAN] please", texts[1], "SSN: [SSN]", texts[3], texts[4], "write to [EMAIL] and [IP]!", "", "plain"]
 
 
+def test_pii_iban_before_words_and_numbers(spark):
+    """What stands behind an IBAN does not belong to it, nor hides it a failed one before."""
+    spaced, plain = "DE89 3704 0044 0532 0130 00", "DE89370400440532013000"
+    texts = [f"IBAN {spaced} BIC COBADEFFXXX", f"IBAN {plain} Thanks", f"IBAN {plain} 2024", f"{plain} {plain}", f"AT12 {spaced}", "NO93 8601 1117 947 A1", "GB29NWBK60161331926819",
+             f"{plain}1", f"X{plain}", "DE89370400440532013", "AT12 " * 2000]
+    got = rows(pii.find_pii(table(spark, texts)).withColumn("m", pii.mask(F.col("text"), F.col("__spans"))))
+    ibans = [re.sub(r"DE89(?: ?[0-9]){18}|NO93(?: ?[0-9]){11}|GB29.*", "[IBAN]", t) for t in texts[:7]] + texts[7:]
+    assert [re.sub(r"\[CARD\]", "", r["m"]).count("[IBAN]") for r in got] == [t.count("[IBAN]") for t in ibans]
+    assert [sum(s["kind"] == "iban" for s in r["__spans"]) for r in got] == [1, 1, 1, 2, 1, 1, 1, 0, 0, 0, 0]
+    assert got[0]["m"] == "IBAN [IBAN] BIC COBADEFFXXX" and got[2]["m"] == "IBAN [IBAN] 2024"
+
+
 # ---------------------------------------------------------------- 7
 def test_warc(spark, tmp_path):
     rng = random.Random(8)
