@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tabloom.llm import line_dedup as lines
 from tabloom.llm import ngram_join, packing, pii, quality
+from tabloom.llm.common import checkpoint
 from tabloom.session import ensure_checkpoint_dir
 
 
@@ -34,9 +35,14 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the row with the smallest id of each group of near duplicates."""
-    keep = ngram_join.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__keep"))
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi")
+    """Keep one row of each group of near duplicates: the one with the smallest id (of texts that share it, or have none, by text hash).
+    The table of what stays is small and written once; of rows that repeat an id and a text with a word, any one stays."""
+    stays = (ngram_join.near_duplicate_rows(docs).where("first")
+             .select(F.col("doc_id").alias("__keep"), F.col("text_hash").alias("__th"), F.expr("n_grams > 0 and n_rows > 1").alias("__many")))
+    stays = checkpoint(stays)
+    same = F.col("doc_id").eqNullSafe(F.col("__keep")) & (F.xxhash64("text") == F.col("__th"))
+    repeated = docs.join(stays.where("__many"), same).dropDuplicates(["doc_id", "__th"]).select(*docs.columns)
+    return docs.join(stays.where("not __many"), same, "left_semi").unionByName(repeated)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,8 +18,10 @@ adaptive execution splits.
 
 Defined results: lines without a word are never deleted and do not interrupt
 a run; null and empty texts are kept as they are with 0 deletions; documents
-with fewer than ``window`` such lines lose nothing; rows that repeat an id
-count as one document and get the same result; empty tables give empty ones.
+with fewer than ``window`` such lines lose nothing; a document is an id with a
+text, so rows that share an id (or have none) but not their text are cut each
+on its own, in the order of a hash of the text, and rows that repeat both get
+the same result; empty tables give empty ones.
 """
 from __future__ import annotations
 
@@ -43,23 +45,24 @@ def _windows(lines: Column, window: int) -> Column:
 
 
 def deletions(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``__id`` and the sorted numbers ``gone`` of its lines to delete; documents without any are absent."""
+    """``__id``, ``__th`` (hash of the text) and the sorted numbers ``gone`` of its lines to delete; documents without any are absent."""
     lines = F.filter(F.transform(F.split(F.col(text_col), "\n"), lambda x, i: F.when(x.rlike(r"[^\x20\x09-\x0D]"), F.struct(
         i.alias("n"), F.xxhash64(x).alias("h"), F.hash(F.reverse(x)).alias("g")))), lambda x: x.isNotNull())
-    found = (docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id"), let(lines, lambda a: _windows(a, window)).alias("w"))
-             .select("__id", F.inline("w")))
+    found = (docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__th"), let(lines, lambda a: _windows(a, window)).alias("w"))
+             .select("__id", "__th", F.inline("w")))
     repeated = found.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp")
-    near = found.join(repeated, "fp", "left_semi").select("__id", "start", "k1", "k2", "n")
-    first = (near.groupBy("k1", "k2").agg(F.min(F.struct(F.col("__id").alias("id"), F.col("start").alias("start"))).alias("first"), F.count(F.lit(1)).alias("c"))
+    near = found.join(repeated, "fp", "left_semi").select("__id", "__th", "start", "k1", "k2", "n")
+    first = (near.groupBy("k1", "k2").agg(F.min(F.struct(F.col("__id").alias("id"), F.col("__th").alias("th"), F.col("start").alias("start"))).alias("first"), F.count(F.lit(1)).alias("c"))
              .where("c > 1").select("k1", "k2", "first"))
-    later = near.join(first, ["k1", "k2"]).where(~(F.col("__id").eqNullSafe(F.col("first.id")) & (F.col("start") == F.col("first.start"))))
-    return later.groupBy("__id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("n")))).alias("gone"))
+    later = near.join(first, ["k1", "k2"]).where(
+        ~(F.col("__id").eqNullSafe(F.col("first.id")) & (F.col("__th") == F.col("first.th")) & (F.col("start") == F.col("first.start"))))
+    return later.groupBy("__id", "__th").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("n")))).alias("gone"))
 
 
 def line_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input rows with the text cut, plus ``__n_lines``, ``__n_removed`` and ``__n_runs`` (runs deleted)."""
-    gone = deletions(docs, window, id_col, text_col).select(F.col("__id").alias("__gone_id"), F.col("gone").alias("__gone"))
-    both = docs.join(gone, F.col(id_col).eqNullSafe(F.col("__gone_id")), "left")
+    gone = deletions(docs, window, id_col, text_col).select(F.col("__id").alias("__gone_id"), F.col("__th").alias("__gone_th"), F.col("gone").alias("__gone"))
+    both = docs.join(gone, F.col(id_col).eqNullSafe(F.col("__gone_id")) & (F.xxhash64(text_col) == F.col("__gone_th")), "left")
 
     def cut(lines: Column) -> Column:
         stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__gone"))
@@ -71,4 +74,4 @@ def line_dedup(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", te
             .withColumn("__n_removed", long(F.coalesce(F.when(F.col("__gone").isNotNull(), F.size("__gone")), F.lit(0))))
             .withColumn("__n_runs", long(F.coalesce(F.when(F.col("__gone").isNotNull(), runs), F.lit(0))))
             .withColumn(text_col, F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(let(F.split(F.col(text_col), "\n"), cut)))
-            .drop("__gone_id", "__gone"))
+            .drop("__gone_id", "__gone_th", "__gone"))

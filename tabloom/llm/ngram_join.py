@@ -21,8 +21,14 @@ threshold; pairs above it have more.
 
 Defined results: texts with fewer than ``n`` words are one n-gram; texts
 without a word (null and empty among them) are linked to none, also not to
-each other; rows that repeat an id count as one document (the smaller text
-hash stands for it); empty tables give empty ones.
+each other; a document is an id with a text, so rows that share an id (or have
+none) are compared each with its own text (``near_duplicate_rows``), and rows
+that repeat both are one document; ``near_duplicates`` sums the documents of an
+id up; empty tables give empty ones.
+
+A class goes by the first 64 bits of its 128-bit hash.  Its text is taken from
+one of its documents, found by id and text hash; a Python task sends each class
+once, so many rows that repeat one document do not become one large task.
 """
 from __future__ import annotations
 
@@ -111,7 +117,7 @@ def band_hashes(grams: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """__id, k1, k2 (hash of the word sequence), grams (number), bands; from columns __id and __text."""
+    """__id, __th, k1, k2 (hash of the word sequence), grams (number), bands; from columns __id, __th and __text."""
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
         for b in batches:
@@ -122,9 +128,9 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                 d = xxhash.xxh128_digest(w.tobytes())
                 k1, k2 = np.frombuffer(d, dtype=np.int64)
                 out.append((int(k1), int(k2), len(g), band_hashes(g, bands, rows).view(np.int64).tobytes() if len(g) else b""))
-            yield pd.concat([b["__id"].reset_index(drop=True), pd.DataFrame(out, columns=["k1", "k2", "grams", "bands"])], axis=1)
+            yield pd.concat([b[["__id", "__th"]].reset_index(drop=True), pd.DataFrame(out, columns=["k1", "k2", "grams", "bands"])], axis=1)
 
-    return docs.mapInPandas(sign, f"__id {docs.schema['__id'].dataType.simpleString()}, k1 long, k2 long, grams long, bands binary")
+    return docs.mapInPandas(sign, f"__id {docs.schema['__id'].dataType.simpleString()}, __th long, k1 long, k2 long, grams long, bands binary")
 
 
 def verify(sets: list[np.ndarray], threshold: float, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -210,15 +216,18 @@ def connected(edges: DataFrame) -> DataFrame:
         seen = now
 
 
-def near_duplicates(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per distinct id: doc_id, class_id (smallest id of its group), n_links (documents linked to it), n_copies (documents with the same words)."""
+def near_duplicate_rows(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document (id and text): doc_id, text_hash (``xxhash64`` of the text), class_id (smallest id of its group), n_links (documents linked to it),
+    n_copies (documents with the same words), n_rows (rows that repeat the document), n_grams and first (it has the smallest id, then hash, of its group)."""
     bands, rows = choose_bands(threshold, recall)
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+    texts = docs.select(F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__th"), F.col(text_col).alias("__text"))
     sign = checkpoint(signatures(texts, n, bands, rows))
-    ids = sign.groupBy("__id").agg(F.min(F.struct("k1", "k2", "grams")).alias("k")).select("__id", "k.*")
-    classes = ids.where("grams > 0").groupBy("k1", "k2").agg(F.min("__id").alias("cls"), F.count(F.lit(1)).alias("copies"))
+    ids = sign.groupBy("__id", "__th", "k1", "k2", "grams").agg(F.count(F.lit(1)).alias("n_rows"))
+    low = F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__th").alias("th"))
+    classes = (ids.where("grams > 0").groupBy("k1", "k2").agg(F.min(low).alias("low"), F.count(F.lit(1)).alias("copies"))
+               .select("k1", "k2", F.col("k1").alias("cls"), "low", "copies"))
     signed = sign.where("grams > 0").groupBy("k1", "k2").agg(F.first("bands").alias("bands"))
-    members = checkpoint(classes.join(signed, ["k1", "k2"]).select("cls", "copies", "k1", "k2", "bands"))
+    members = checkpoint(classes.join(signed, ["k1", "k2"]).select("cls", "copies", "k1", "k2", "bands", "low"))
 
     at = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("bands"), i * 8 + 1, F.lit(8)))))
     dealt = members.select("cls", at.alias("band", "key"))
@@ -235,11 +244,15 @@ def near_duplicates(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOL
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
         columns = ["band", "key", "block", "bi", "bj", "cls", "copies", "bands", "grams"]
+        sent = set()
         for b in batches:
             out = []
             for text, cls, copies, k1, k2, sig, tasks in zip(b["__text"], b["cls"], b["copies"], b["k1"], b["k2"], b["bands"], b["tasks"]):
+                if (k1, k2) in sent:  # another row of the same document
+                    continue
                 w = word_hashes(text)
-                if tuple(np.frombuffer(xxhash.xxh128_digest(w.tobytes()), dtype=np.int64)) == (k1, k2):  # else another row with this id
+                if tuple(np.frombuffer(xxhash.xxh128_digest(w.tobytes()), dtype=np.int64)) == (k1, k2):  # else the text hashes are equal by chance
+                    sent.add((k1, k2))
                     g = ngrams(w, n).tobytes()
                     out += [(t["band"], t["key"], t["block"], t["bi"], t["bj"], cls, copies, sig, g) for t in tasks]
                 if len(out) > 2000:
@@ -247,10 +260,9 @@ def near_duplicates(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOL
                     out = []
             yield pd.DataFrame(out, columns=columns)
 
-    kind = texts.schema["__id"].dataType.simpleString()
-    with_text = (texts.join(members.join(places, "cls"), texts["__id"] == F.col("cls")).where(F.col("__text").isNotNull())
-                 .select("__text", "cls", "copies", "k1", "k2", "bands", "tasks"))
-    sent = (with_text.mapInPandas(spread, f"band int, key long, block int, bi int, bj int, cls {kind}, copies long, bands binary, grams binary")
+    with_text = (texts.join(members.join(places, "cls"), texts["__id"].eqNullSafe(F.col("low.id")) & (texts["__th"] == F.col("low.th")))
+                 .where(F.col("__text").isNotNull()).select("__text", "cls", "copies", "k1", "k2", "bands", "tasks"))
+    sent = (with_text.mapInPandas(spread, "band int, key long, block int, bi int, bj int, cls long, copies long, bands binary, grams binary")
             .withColumn("task", F.xxhash64("band", "key", "bi", "bj")))
 
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -268,11 +280,20 @@ def near_duplicates(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOL
             if out:
                 yield pd.DataFrame(dict(zip(("cls", "links", "near"), map(np.concatenate, zip(*out)))))
 
-    links = checkpoint(sent.repartition("task").sortWithinPartitions("task").mapInPandas(link, f"cls {kind}, links long, near {kind}"))
+    links = checkpoint(sent.repartition("task").sortWithinPartitions("task").mapInPandas(link, "cls long, links long, near long"))
     roots = connected(links.select(F.col("cls").alias("a"), F.col("near").alias("b")))
     counts = links.groupBy("cls").agg(F.sum("links").alias("links"))
-    found = (classes.join(counts, "cls", "left").join(roots, F.col("cls") == F.col("node"), "left")
-             .select("k1", "k2", F.coalesce("root", "cls").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), "copies"))
+    found = (members.drop("bands").join(counts, "cls", "left").join(roots, F.col("cls") == F.col("node"), "left")
+             .select("k1", "k2", F.coalesce("root", "cls").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), "copies", "low"))
+    found = found.join(found.groupBy("root").agg(F.min("low").alias("lowest")), "root").drop("root", "low")
     joined = ids.join(found, ["k1", "k2"], "left")
-    return joined.select(F.col("__id").alias("doc_id"), F.coalesce("root", "__id").alias("class_id"),
-                         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"))
+    return joined.select(F.col("__id").alias("doc_id"), F.col("__th").alias("text_hash"), F.when(F.col("lowest").isNull(), F.col("__id")).otherwise(F.col("lowest.id")).alias("class_id"),
+                         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"), "n_rows", F.col("grams").alias("n_grams"),
+                         (F.col("lowest").isNull() | (low == F.col("lowest"))).alias("first"))
+
+
+def near_duplicates(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD, recall: float = RECALL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per distinct id: doc_id, class_id (smallest id of its group), n_links (documents linked to it), n_copies (documents with the same words).
+    An id with several texts has the smallest class id of its documents and the sums of their numbers."""
+    d = near_duplicate_rows(docs, n, threshold, recall, id_col, text_col)
+    return d.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.sum("n_links").alias("n_links"), F.sum("n_copies").alias("n_copies"))

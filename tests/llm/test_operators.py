@@ -170,6 +170,13 @@ def test_line_dedup(spark, odd, small, window):
         assert r["text"] == want[i] and r["__n_removed"] == len(gone[i]) and r["gone"] == "g"
 
 
+def test_line_dedup_rows_that_share_an_id(spark):
+    for i in (None, 7):
+        texts = ["r1\nr2\nr3\nown a", "own b\nr1\nr2\nr3", "own c\nown d\nown e\nown f"]
+        got = {r["text"]: r["__n_removed"] for r in line_dedup.line_dedup(table(spark, texts, [i] * 3)).collect()}
+        assert got in ({texts[0]: 0, "own b": 3, texts[2]: 0}, {"own a": 3, texts[1]: 0, texts[2]: 0})
+
+
 # ---------------------------------------------------------------- 4
 def brute_spans(texts, length):
     where = defaultdict(int)
@@ -429,6 +436,20 @@ def test_near_duplicates_small_table(small):
     assert got == brute_near(sorted(texts.items()))
 
 
+def test_near_duplicates_rows_that_share_an_id(spark):
+    rng = random.Random(12)
+    a, b = prose(rng, 60, 5000), prose(rng, 60, 5000)
+    texts = [a, a + " one", prose(rng, 60, 5000), a + " two", b, b + " one", prose(rng, 60, 5000)]
+    ids = [None, None, None, 5, None, None, 9]
+    for other in (None, 7):
+        d = table(spark, texts, [other if i is None else i for i in ids])
+        got = {r["doc_id"]: r for r in ngram_join.near_duplicates(d).collect()}
+        assert set(got) == {5, 9, other} and (got[5]["class_id"], got[5]["n_links"], got[9]["n_links"], got[other]["n_links"]) == (5, 2, 0, 6)
+        by_text = {r["text"]: r for r in d.withColumn("text_hash", F.xxhash64("text")).drop("doc_id").join(ngram_join.near_duplicate_rows(d), "text_hash").collect()}
+        assert [by_text[t]["class_id"] for t in texts] == [5, 5, other, 5, other, other, 9]
+        assert [by_text[t]["n_links"] for t in texts] == [2, 2, 0, 2, 1, 1, 0]
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(30)] + [(rng.randrange(40, 90), rng.randrange(40, 90)) for _ in range(35)]

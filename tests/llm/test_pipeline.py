@@ -1,4 +1,5 @@
 """The corpus pipeline's stages, and the SQL of the registered queries."""
+import random
 import re
 
 import duckdb
@@ -52,6 +53,16 @@ def test_near_duplicate_stage(stages):
     assert set(as_map(after)) == {d for d, (c, _) in want.items() if c == d}
 
 
+def test_near_duplicate_stage_keeps_one_row_of_each_group(spark):
+    from test_operators import prose, table
+    rng = random.Random(13)
+    a, b, c, d, e = (prose(rng, 60, 5000) for _ in range(5))
+    texts = [a, a + " one", a + " two", b, b + " one", c, c, d, e, e, "", ""]
+    docs = table(spark, texts, [None, None, 5, None, None, None, None, None, 9, 9, None, None])
+    got = sorted(r["text"] for r in P.near_duplicate_stage(spark, docs, SF).collect())
+    assert got in (sorted([a + " two", x, c, d, e, "", ""]) for x in (b, b + " one"))
+
+
 def test_pii_stage(stages):
     from test_operators import brute_pii
     _, before, after = stages[3]
