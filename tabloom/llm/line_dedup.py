@@ -3,13 +3,14 @@
 The lines with a word of each document are hashed.  Of every window of
 ``window`` consecutive lines the smallest hash (the rightmost of ties) is the
 window's fingerprint, so a run of ``window`` lines that occurs twice has the
-same fingerprint in both places, and most positions need never be compared.
-Positions are joined on fingerprints that occur more than once.  A match is
-extended both ways through the windows around the fingerprint: a window whose
-lines equal those of an earlier window continues the run.  The lines of all
-windows that have an earlier equal (lower id, or higher up in the document)
-are deleted: the later copies of every repeated run of at least ``window``
-lines, at its full length.
+same fingerprint in both places.  Windows whose fingerprint stands at a single
+position of a single document are dropped (``candidates``).  The rest are
+grouped by two hashes of all their lines; positions are not joined and matches
+are not extended: a longer run is found as its overlapping windows.  The lines
+of all windows that have an earlier equal (lower id, or higher up in the
+document) are deleted: the later copies of every repeated run of at least
+``window`` lines, at its full length.  Shorter runs stay, however long their
+lines are.
 
 Each window is compared with the first of its kind only, so a run found in a
 third of all documents costs one row per occurrence; counts and firsts are
@@ -35,23 +36,30 @@ WINDOW = 3
 
 
 def _windows(lines: Column, window: int) -> Column:
-    """Array of (fingerprint, start, two hashes of the window, its line numbers) of an array of (number, hash)."""
+    """Array of (fingerprint, its line number, start, two hashes of the window, its line numbers) of an array of (number, hash)."""
     def at(i):
         rows = [F.get(lines, i + j) for j in range(window)]
         least = F.least(*[F.struct(r["h"].alias("h"), (-r["n"]).alias("n")) for r in rows]) if window > 1 else F.struct(rows[0]["h"].alias("h"), (-rows[0]["n"]).alias("n"))
-        return F.struct(least["h"].alias("fp"), rows[0]["n"].alias("start"), F.xxhash64(*[r["h"] for r in rows]).alias("k1"),
+        return F.struct(least["h"].alias("fp"), (-least["n"]).alias("at"), rows[0]["n"].alias("start"), F.xxhash64(*[r["h"] for r in rows]).alias("k1"),
                         F.xxhash64(F.lit(window), *[r["g"] for r in rows]).alias("k2"), F.array(*[r["n"] for r in rows]).alias("n"))
     return F.when(F.size(lines) >= window, F.transform(F.sequence(F.lit(0), F.size(lines) - window), at))
 
 
-def deletions(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``__id``, ``__th`` (hash of the text) and the sorted numbers ``gone`` of its lines to delete; documents without any are absent."""
+def candidates(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The windows whose fingerprint stands at more than one position: ``__id``, ``__th`` (hash of the text), ``start``, ``k1``, ``k2``, ``n``."""
     lines = F.filter(F.transform(F.split(F.col(text_col), "\n"), lambda x, i: F.when(x.rlike(r"[^\x20\x09-\x0D]"), F.struct(
         i.alias("n"), F.xxhash64(x).alias("h"), F.hash(F.reverse(x)).alias("g")))), lambda x: x.isNotNull())
     found = (docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__th"), let(lines, lambda a: _windows(a, window)).alias("w"))
              .select("__id", "__th", F.inline("w")))
-    repeated = found.groupBy("fp").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp")
-    near = found.join(repeated, "fp", "left_semi").select("__id", "__th", "start", "k1", "k2", "n")
+    # Equal windows hold their fingerprint at the same place, so two of them hold it at two positions.
+    place = F.xxhash64("__id", "__th", "at")
+    repeated = found.groupBy("fp").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("fp")
+    return found.join(repeated, "fp", "left_semi").select("__id", "__th", "start", "k1", "k2", "n")
+
+
+def deletions(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``__id``, ``__th`` (hash of the text) and the sorted numbers ``gone`` of its lines to delete; documents without any are absent."""
+    near = candidates(docs, window, id_col, text_col)
     first = (near.groupBy("k1", "k2").agg(F.min(F.struct(F.col("__id").alias("id"), F.col("__th").alias("th"), F.col("start").alias("start"))).alias("first"), F.count(F.lit(1)).alias("c"))
              .where("c > 1").select("k1", "k2", "first"))
     later = near.join(first, ["k1", "k2"]).where(

@@ -170,6 +170,13 @@ def test_line_dedup(spark, odd, small, window):
         assert r["text"] == want[i] and r["__n_removed"] == len(gone[i]) and r["gone"] == "g"
 
 
+def test_line_dedup_compares_repeated_fingerprints_only(spark):
+    """A fingerprint at one position counts once, however many windows it wins."""
+    own = "\n".join(f"line {i}" for i in range(200))
+    assert line_dedup.candidates(table(spark, [own])).count() == 0
+    assert line_dedup.candidates(table(spark, [own, own])).count() == 2 * 198
+
+
 def test_line_dedup_rows_that_share_an_id(spark):
     for i in (None, 7):
         texts = ["r1\nr2\nr3\nown a", "own b\nr1\nr2\nr3", "own c\nown d\nown e\nown f"]
