@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import line_dedup as lines
-from . import ngram_join, packing, piece_codec, pii, quality, shards, suffix_dedup, syncmers, warc
+from . import ngram_join, packing, piece_codec, pii, quality, shards, suffix_dedup, syncmers, variants, warc
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -62,6 +62,10 @@ def op10_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -69,7 +73,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_sharding, op3_line_dedup, op4_suffix_dedup, op5_best_fit_packing, op6_pii, op7_warc,
-    op8_ngram_jaccard_join, op9_piece_codec, op10_syncmer_fingerprints, pipeline)}
+    op8_ngram_jaccard_join, op9_piece_codec, op10_syncmer_fingerprints, op11_spelling_variants, pipeline)}
 
 _SPACE = r"\x20\x09-\x0D"
 _STOP = "[" + ", ".join(f"'{w}'" for w in quality.STOP_SPELLINGS) + "]"
