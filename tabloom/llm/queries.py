@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import decontam
 from . import line_dedup as lines
 from . import ngram_join, packing, piece_codec, pii, quality, shards, suffix_dedup, syncmers, variants, warc
 
@@ -66,6 +67,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(_table(spark, sf_dir, "documents"))
 
 
+def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -73,7 +78,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_sharding, op3_line_dedup, op4_suffix_dedup, op5_best_fit_packing, op6_pii, op7_warc,
-    op8_ngram_jaccard_join, op9_piece_codec, op10_syncmer_fingerprints, op11_spelling_variants, pipeline)}
+    op8_ngram_jaccard_join, op9_piece_codec, op10_syncmer_fingerprints, op11_spelling_variants,
+    op13_benchmark_decontamination, pipeline)}
 
 _SPACE = r"\x20\x09-\x0D"
 _STOP = "[" + ", ".join(f"'{w}'" for w in quality.STOP_SPELLINGS) + "]"
@@ -138,4 +144,29 @@ SELECT a.doc_id, coalesce(len(a.ls), 0)::BIGINT AS n_lines, coalesce(g.c, 0)::BI
 FROM a LEFT JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS c FROM gone GROUP BY doc_id) g USING (doc_id)
 """
 
-ORACLES = {"op1_quality_rules": QUALITY_SQL.strip(), "op3_line_dedup": LINE_DEDUP_SQL.strip()}
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_ITEM_WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+DECONTAMINATION_SQL = f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), {_ITEM_WORD}) AS w FROM documents),
+b AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), {_ITEM_WORD}) AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item, least(len(w), 10) AS l, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') AS g
+  FROM (SELECT item, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM b WHERE len(w) > 0)),
+pos AS (
+  SELECT doc_id, i, l, array_to_string(list_slice(w, i, i + l - 1), ' ') AS g
+  FROM (SELECT doc_id, w, l, unnest(generate_series(1, len(w) - l + 1)) AS i FROM d, (SELECT DISTINCT l FROM win) WHERE len(w) >= l)),
+hit AS (
+  SELECT doc_id, i, l, item FROM pos JOIN win USING (g, l)),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + l - 1)) AS p FROM (SELECT DISTINCT doc_id, i, l FROM hit)) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n, sha256(string_agg(item, ',' ORDER BY item)) AS s FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_hit, coalesce(f.n, 0)::BIGINT AS n_items,
+       coalesce(f.s, sha256('')) AS items_sha256, c.n IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN found f USING (doc_id)
+"""
+
+ORACLES = {"op1_quality_rules": QUALITY_SQL.strip(), "op3_line_dedup": LINE_DEDUP_SQL.strip(),
+           "op13_benchmark_decontamination": DECONTAMINATION_SQL.strip()}
