@@ -287,10 +287,10 @@ def _merge(borders: dict):
     def run(batches):
         import pandas as pd
 
-        b = pd.concat(list(batches), ignore_index=True)
-        if not len(b):
+        b = [x for x in batches if len(x)]
+        if not b:
             return
-        b = b.sort_values(["pid", "ref"], kind="stable").reset_index(drop=True)
+        b = pd.concat(b, ignore_index=True).sort_values(["pid", "ref"], kind="stable").reset_index(drop=True)
         place = {(p, r): i for i, (p, r) in enumerate(zip(b["pid"], b["ref"]))}
         depth = [int(d) for d in b["depth"]]
         edges = [(i, place[p, a], depth[place[p, a]]) for i, (p, a) in enumerate(zip(b["pid"], b["above"])) if a >= 0]

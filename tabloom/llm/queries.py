@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from . import decontam
 from . import line_dedup as lines
-from . import ngram_join, packing, piece_codec, pii, quality, shards, suffix_dedup, syncmers, variants, warc
+from . import ngram_join, packing, piece_codec, pii, prefix_trie, quality, shards, suffix_dedup, syncmers, variants, warc
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -67,6 +67,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(_table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuilt_sequences(_table(spark, sf_dir, "conversations")))
+
+
 def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -79,7 +83,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_sharding, op3_line_dedup, op4_suffix_dedup, op5_best_fit_packing, op6_pii, op7_warc,
     op8_ngram_jaccard_join, op9_piece_codec, op10_syncmer_fingerprints, op11_spelling_variants,
-    op13_benchmark_decontamination, pipeline)}
+    op12_prefix_trie, op13_benchmark_decontamination, pipeline)}
 
 _SPACE = r"\x20\x09-\x0D"
 _STOP = "[" + ", ".join(f"'{w}'" for w in quality.STOP_SPELLINGS) + "]"
