@@ -172,5 +172,80 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN found f USING (doc_id)
 """
 
+# CRC-32 of a string: the table of the reflected polynomial, then one step per byte.
+_CRC_TABLE = """(SELECT list(v ORDER BY i) FROM (SELECT i, list_reduce(list_prepend(i::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS v FROM range(256) t(i)))"""
+
+
+def _crc_sql(text: str) -> str:
+    h = f"hex(encode({text}))"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, len({h}) // 2), lambda i: ('0x' || substr({h}, (2 * i + 1)::BIGINT, 2))::BIGINT)), "
+            f"lambda a, b: xor(a >> 8, crc_table[(xor(a, b) & 255) + 1])), 4294967295)")
+
+
+VARIANTS_SQL = f"""
+WITH RECURSIVE crc AS (SELECT {_CRC_TABLE} AS crc_table),
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+each AS (
+  SELECT id, run, count(*) AS c FROM runs WHERE length(run) >= 6 GROUP BY id, run),
+hashed AS (
+  SELECT run, c, {_crc_sql("id || ':' || run")} AS h FROM each, crc),
+words AS (
+  SELECT word, sum(c)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS d FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM cut a JOIN cut b ON a.i = b.i AND a.d = b.d AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.d = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.d = b.word),
+ranked AS (
+  SELECT word, other, m, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY m DESC, other) AS r FROM near),
+linked AS (
+  SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * n THEN other END AS form, CASE WHEN m >= 5 * n THEN m END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.r = 1),
+followed(word, top) AS (
+  SELECT word, word FROM linked
+  UNION ALL SELECT f.word, l.form FROM followed f JOIN linked l ON l.word = f.top WHERE l.form IS NOT NULL)
+SELECT l.word, l.form, f.top AS root, l.n, l.n_near::BIGINT AS n_near, l.form_n
+FROM linked l JOIN followed f USING (word) JOIN linked e ON e.word = f.top AND e.form IS NULL
+"""
+
+TRIE_SQL = f"""
+WITH crc AS (SELECT {_CRC_TABLE} AS crc_table),
+t AS (
+  SELECT conv_id, turn, md5(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS k, strlen(coalesce(text, '')) AS size
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS p FROM t),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS first, {_crc_sql("conv_id::VARCHAR")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM t), crc),
+r AS (
+  SELECT c.conv_id, o.p, o.k, o.size FROM c JOIN o ON o.conv_id = c.first AND o.p <= c.h
+  UNION ALL SELECT c.conv_id, o.p + 1000000, o.k, o.size FROM c JOIN o ON o.conv_id = c.conv_id AND o.p > c.h),
+s AS (
+  SELECT c.conv_id, coalesce(list(k ORDER BY p) FILTER (k IS NOT NULL), []) AS ks, coalesce(list(size ORDER BY p) FILTER (k IS NOT NULL), []) AS sizes
+  FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id),
+x AS (
+  SELECT conv_id, d, len(ks) AS l, array_to_string(list_slice(ks, 1, d), '') AS path, CASE WHEN d > 0 THEN array_to_string(list_slice(ks, 1, d - 1), '') END AS over,
+         CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS size
+  FROM (SELECT *, unnest(generate_series(0, len(ks))) AS d FROM s)),
+n AS (
+  SELECT d, path, min(over) AS over, min(conv_id) AS conv_id, count(*) AS n_convs, min(size) AS size,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (l = d), '')) AS ends_sha256
+  FROM x GROUP BY d, path),
+kids AS (
+  SELECT over AS path, count(*) AS c FROM n WHERE d > 0 GROUP BY over),
+sums AS (
+  SELECT x.path, sum((n.n_convs - 1) * n.size) AS saved, count(*) FILTER (kids.c IS NULL) AS leaves
+  FROM n LEFT JOIN kids USING (path) JOIN x ON x.conv_id = n.conv_id AND x.d <= n.d GROUP BY x.path)
+SELECT n.conv_id, n.d::BIGINT AS depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.c, 0)::BIGINT AS n_children, sums.leaves::BIGINT AS n_leaves,
+       sums.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM n LEFT JOIN n up ON up.path = n.over LEFT JOIN kids ON kids.path = n.path JOIN sums ON sums.path = n.path
+"""
+
 ORACLES = {"op1_quality_rules": QUALITY_SQL.strip(), "op3_line_dedup": LINE_DEDUP_SQL.strip(),
+           "op11_spelling_variants": VARIANTS_SQL.strip(), "op12_prefix_trie": TRIE_SQL.strip(),
            "op13_benchmark_decontamination": DECONTAMINATION_SQL.strip()}
