@@ -154,3 +154,68 @@ def cumulative_sum_by(df: DataFrame, keys: Sequence[str] | str | None, order: Se
         tot = F.broadcast(tot)
     res = t.join(tot, on=cond, how="inner").drop("__cs_spid", *ren.values())
     return res.withColumn(out, F.col("__cs_local") + F.col("__cs_before")).drop("__cs_pid", "__cs_local", "__cs_before")
+
+
+def value_cuts(df: DataFrame, value: str, slices: int | None = None) -> list[float]:
+    """Borders of ``slices`` ranges of a numeric column that hold about equally many rows (one pass, Spark's quantile sketch)."""
+    n = slices or min(256, max(16, _num_partitions(df, None)))
+    cuts = df.select(F.col(value).cast("double").alias("x")).approxQuantile("x", [i / n for i in range(1, n)], 0.002)
+    return sorted({c for c in cuts if c == c and abs(c) != float("inf")})
+
+
+def _sliced(df: DataFrame, value: str, cuts: Sequence[float], out: str) -> DataFrame:
+    """Number of the range each value lies in; NULL and NaN count as beyond the last."""
+    if not cuts:
+        return df.withColumn(out, F.lit(0))
+    from pyspark.ml.feature import Bucketizer
+    x = df.withColumn("__vs", F.coalesce(F.col(value).cast("double"), F.lit(float("nan"))))
+    b = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="__vs", outputCol=out, handleInvalid="keep")
+    return b.transform(x).withColumn(out, F.col(out).cast("int")).drop("__vs")
+
+
+def running_totals(df: DataFrame, keys: Sequence[str] | str, value: str, weights: Sequence[str], cuts: Sequence[float] | None = None) -> DataFrame:
+    """Adds ``{w}_upto`` (sum of w within ``keys`` up to and with this ``value``) and ``{w}_all`` (over the key).
+
+    ``df`` has one row per (keys, value), keys not NULL.  Rows are dealt by
+    (keys, value range), so a key that holds most rows is split over many
+    tasks; ranges are summed locally and shifted by the totals of the earlier
+    ranges of their key, a small table.  ``cuts`` (``value_cuts``) are numbers
+    fixed beforehand, so every reader of the result sees the same ranges; if
+    they are not given, ``df`` should be a written table, which is read once more.
+    """
+    keys = _names(keys)
+    d = _sliced(df, value, value_cuts(df, value) if cuts is None else cuts, "__slice")
+    w = Window.partitionBy(*keys, "__slice").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    local = d.withColumns({f"{x}_upto": F.sum(x).over(w) for x in weights})
+    tot = d.groupBy(*keys, "__slice").agg(*[F.sum(x).alias(f"__t_{x}") for x in weights])
+    before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy(*keys)
+    tot = tot.select(*keys, "__slice", *[F.coalesce(F.sum(f"__t_{x}").over(before), F.lit(0)).alias(f"__b_{x}") for x in weights],
+                     *[F.sum(f"__t_{x}").over(every).alias(f"{x}_all") for x in weights])
+    out = local.join(tot, [*keys, "__slice"])
+    return out.withColumns({f"{x}_upto": F.col(f"{x}_upto") + F.col(f"__b_{x}") for x in weights}) \
+              .drop("__slice", *[f"__b_{x}" for x in weights])
+
+
+def ordered_pass(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str], lag: Sequence[str] = (), cuts: Sequence[float] | None = None) -> DataFrame:
+    """One ordered pass per key: adds ``rn`` (1-based), ``n`` (rows of the key) and ``prev_{c}`` (c of the row before) for ``lag``.
+
+    Rows are dealt by (keys, range of the first ``order`` column, a number,
+    date or timestamp) and numbered within their range; the small table of
+    (keys, range) passes on how many rows came before and what the last of
+    them held.  ``order`` must make rows unique within a key; keys not NULL.
+    """
+    keys = _names(keys)
+    x = df.withColumn("__x", F.unix_micros(F.col(order[0]).cast("timestamp")) if dict(df.dtypes)[order[0]] in ("date", "timestamp") else F.col(order[0]).cast("double"))
+    x = _sliced(x, "__x", value_cuts(x, "__x") if cuts is None else cuts, "__slice").drop("__x")
+    w = Window.partitionBy(*keys, "__slice").orderBy(*order)
+    local = x.withColumn("rn", F.row_number().over(w)).withColumns({f"prev_{c}": F.lag(c).over(w) for c in lag})
+    edge = F.max_by(F.struct(*[F.col(c) for c in lag]), F.struct(*order)) if lag else F.lit(None)
+    t = x.groupBy(*keys, "__slice").agg(F.count(F.lit(1)).alias("__c"), edge.alias("__edge"))
+    by = Window.partitionBy(*keys).orderBy("__slice")
+    t = t.select(*keys, "__slice", F.coalesce(F.sum("__c").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
+                 F.sum("__c").over(Window.partitionBy(*keys)).alias("n"), F.lag("__edge").over(by).alias("__prev"))
+    out = local.join(t, [*keys, "__slice"])
+    first = F.col("rn") == 1
+    return (out.withColumns({f"prev_{c}": F.when(first, F.col("__prev")[c]).otherwise(F.col(f"prev_{c}")) for c in lag})
+               .withColumn("rn", (F.col("rn") + F.col("__before")).cast("long")).drop("__slice", "__before", "__prev"))

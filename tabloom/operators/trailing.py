@@ -7,20 +7,26 @@ For step ``k`` and a row whose (group_keys) group ends at ``M`` (max ts):
 * horizon n:    history rows with ts >= M-(k+n)·m
 
 ``M`` is always the row's own group maximum, also when features are grouped
-by coarser keys.  Each block is ONE grouped aggregation with one
-conditional aggregate per (horizon, statistic) — the history is scanned
-once per key set, not once per horizon — and is left-joined onto the base
-rows by its keys; missing features are 0.
+by coarser keys.  Horizons are nested, so each history row belongs to
+exactly one *ring* between two neighbouring horizons.  One aggregation per
+(key set, keys, ring) gives mergeable parts (count, mean, centred moments,
+extremes, decayed sums); a horizon is the merge of its rings.  Medians come
+from value counts per ring along one running sum (``running_totals``), so no
+group is gathered in a task.  All key sets go through the same pass as
+grouping sets.  Base rows without history under a key get 0.
 """
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.semantics import safe_div, stat_expr
-from .aggregate import exact_median
+from ..session import ensure_checkpoint_dir
+from .ranking import running_totals, value_cuts
 
 STATS7 = ("min", "mean", "median", "max", "count", "std", "skew")
 MINUTES = 60 * 1_000_000
@@ -32,13 +38,13 @@ def micros(ts: str) -> Column:
 
 
 def split_base_history(df: DataFrame, ts: str, group_keys: Sequence[str], moment_us: int, k: int = 0,
-                       materialize: bool = False, longest: int | None = None):
+                       materialize: bool = True, longest: int | None = None):
     """(base, history) with helper columns _t, _M (group max), _L1, _L2.
 
     ``longest`` is the longest horizon that will be asked for: older history
     cannot reach any feature and is left out.  ``materialize`` checkpoints the
-    prepared table (shared checkpoint folder) when many feature blocks will
-    read it.
+    prepared table (shared checkpoint folder), which every feature block reads
+    several times.
     """
     t = df.withColumn("_t", micros(ts))
     m = t.groupBy(*group_keys).agg(F.max("_t").alias("_M"))
@@ -49,7 +55,6 @@ def split_base_history(df: DataFrame, ts: str, group_keys: Sequence[str], moment
     if longest is not None:
         t = t.where((F.col("_t") >= F.col("_L1")) | _in_horizon(longest, moment_us, k))
     if materialize:
-        from ..session import ensure_checkpoint_dir
         ensure_checkpoint_dir(t.sparkSession)
         t = t.checkpoint(eager=True)
     base = t.where(F.col("_t") >= F.col("_L1"))
@@ -61,127 +66,191 @@ def _in_horizon(n: int, moment_us: int, k: int) -> Column:
     return F.col("_t") >= F.col("_M") - F.lit((k + n) * moment_us)
 
 
-def trailing_aggs(value: str, name: str, horizons: Sequence[int], moment_us: int, k: int = 0,
-                  stats: Sequence[str] = STATS7, skip: Sequence[str] = ()) -> list[Column]:
-    out = []
-    for n in horizons:
-        cond = _in_horizon(n, moment_us, k)
-        for s in stats:
-            if s in skip:
-                continue
-            out.append(stat_expr(s, F.when(cond, F.col(value))).alias(f"{name}_{s}{n}"))
-    return out
-
-
-def decay_aggs(value: str, name: str, horizons: Sequence[int], moment_us: int, k: int = 0,
-               base: float = 0.985, unit_us: int = 15 * MINUTES) -> list[Column]:
-    """Σ v·w / Σ w with w = base^((M-k·m - ts) / unit) over each horizon."""
-    w = F.pow(F.lit(base), (F.col("_L2") - F.col("_t")).cast("double") / F.lit(float(unit_us)))
-    out = []
-    for n in horizons:
-        cond = _in_horizon(n, moment_us, k)
-        out.append(safe_div(F.sum(F.when(cond, F.col(value) * w)), F.sum(F.when(cond, w)))
-                   .alias(f"{name}_exp_mean{n}"))
-    return out
-
-
-def _median_blocks(hist: DataFrame, keys, value, name, horizons, moment_us, k):
-    """Exact medians per (keys, horizon) with the skew-safe distributed median."""
-    hz = F.array(*[F.when(_in_horizon(n, moment_us, k), F.lit(n)) for n in horizons])
-    e = (hist.select(*keys, value, F.explode(F.filter(hz, lambda x: x.isNotNull())).alias("_h")))
-    med = exact_median(e, [*keys, "_h"], value, "_med")
-    return (med.groupBy(*keys).pivot("_h", list(horizons)).agg(F.first("_med"))
-            .withColumnsRenamed({str(n): f"{name}_median{n}" for n in horizons}))
-
-
-def _block_aggs(value, name, horizons, decay_horizons, moment_us, k, stats, decay_base, unit_us, median):
-    skip = ("median",) if median in ("distributed", "approx") else ()
-    aggs = trailing_aggs(value, name, horizons, moment_us, k, stats, skip)
-    if median == "approx" and "median" in stats:
-        aggs += [F.percentile_approx(F.when(_in_horizon(n, moment_us, k), F.col(value)), 0.5, 10000)
-                 .cast("double").alias(f"{name}_median{n}") for n in horizons]
-    aggs += decay_aggs(value, name, decay_horizons, moment_us, k, decay_base, unit_us)
-    ordered = [f"{name}_{s}{n}" for n in horizons for s in stats] + [f"{name}_exp_mean{n}" for n in decay_horizons]
-    return aggs, ordered
-
-
-def keyset_features(base: DataFrame, hist: DataFrame, obs_id: str, keys: Sequence[str], value: str,
-                    blocks: Sequence[dict], moment_us: int, k: int = 0, stats: Sequence[str] = STATS7,
-                    decay_base: float = 0.985, unit_us: int = 15 * MINUTES, median: str = "exact") -> DataFrame:
-    """All blocks sharing one key set: ONE aggregation of the history, ONE join to the base rows."""
-    keys = list(keys)
-    reach = [n for b in blocks for n in (*b.get("horizons", ()), *b.get("decay_horizons", ()))]
-    if reach:  # older rows fall into no horizon; a group without rows gets the same zeros
-        hist = hist.where(_in_horizon(max(reach), moment_us, k))
-    aggs, ordered = [], []
-    for b in blocks:
-        a, o = _block_aggs(value, b["name"], b.get("horizons", ()), b.get("decay_horizons", ()), moment_us, k,
-                           stats, decay_base, unit_us, median)
-        aggs += a
-        ordered += o
-    res = hist.groupBy(*keys).agg(*aggs)
-    if median == "distributed" and "median" in stats:
-        for b in blocks:
-            if b.get("horizons"):
-                res = res.join(_median_blocks(hist, keys, value, b["name"], b["horizons"], moment_us, k), keys, "left")
-    feats = set(res.columns) - set(keys)
-    out = base.select(obs_id, *keys).join(res, keys, "left")
-    return out.select(obs_id, *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ordered if c in feats])
+def _rings(horizons: Sequence[int], moment_us: int, k: int) -> Column:
+    """Number of the ring a history row lies in: between two neighbouring horizons; NULL beyond the last."""
+    ring = F.when(_in_horizon(horizons[0], moment_us, k), F.lit(0))
+    for i, n in enumerate(horizons[1:], 1):
+        ring = ring.when(_in_horizon(n, moment_us, k), F.lit(i))
+    return ring
+
+
+def _mark(number: Column, cols: Sequence[str], within: Sequence[str] | None = None) -> list[Column]:
+    """Two 64-bit hashes that stand for (number of the key set, its keys); columns outside the set count as NULL."""
+    parts = [F.struct(number, *[F.col(c) if within is None or c in within else F.when(F.lit(False), F.col(c)) for c in cols])]
+    return [F.xxhash64(*parts).alias("_g1"), F.xxhash64(F.lit("2"), *parts).alias("_g2")]
+
+
+def _grouped(df: DataFrame, sets: Sequence[Sequence[str]], cols: Sequence[str], inner: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
+    """Aggregates per (key set, its keys, inner), every key set in one pass (grouping sets): _g1, _g2, inner, aggregates.
+
+    NULL keys form no group.
+    """
+    every = [*cols, *inner]
+    g = df.groupingSets([[*s, *inner] for s in sets], *every).agg(F.grouping_id().alias("_gid"), *aggs)
+    # a column outside the grouping set is a bit, the first column's the highest
+    gid = [sum(1 << (len(every) - 1 - i) for i, c in enumerate(every) if c not in s and c not in inner) for s in sets]
+    number, known = F.lit(None).cast("int"), F.lit(False)
+    for i, s in enumerate(sets):
+        hit = F.col("_gid") == gid[i]
+        number = F.when(hit, i).otherwise(number)
+        known = F.when(hit, reduce(and_, [F.col(c).isNotNull() for c in s])).otherwise(known)
+    rest = [c for c in g.columns if c not in cols and c != "_gid"]
+    return g.where(known).select(*_mark(number, cols), *rest)
+
+
+_PARTS = ("n", "mean", "m2", "m3", "low", "high", "vw", "w")
+#: Two disjoint parts (a: merged so far, b: the next ring) taken together: count, mean, centred second and third moment, extremes, decayed sums.
+_MERGE = {
+    "n": "a_n + b_n",
+    "mean": "if(a_n + b_n > 0, a_mean + (b_mean - a_mean) * b_n / (a_n + b_n), 0D)",
+    "m2": "a_m2 + b_m2 + if(a_n + b_n > 0, pow(b_mean - a_mean, 2) * a_n * b_n / (a_n + b_n), 0D)",
+    "m3": "a_m3 + b_m3 + if(a_n + b_n > 0, pow(b_mean - a_mean, 3) * a_n * b_n * (a_n - b_n) / pow(a_n + b_n, 2)"
+          " + 3 * (b_mean - a_mean) * (a_n * b_m2 - b_n * a_m2) / (a_n + b_n), 0D)",
+    "low": "least(a_low, b_low)", "high": "greatest(a_high, b_high)",
+    "vw": "coalesce(a_vw + b_vw, a_vw, b_vw)", "w": "coalesce(a_w + b_w, a_w, b_w)"}
+_STATS = {
+    "count": "n", "sum": "if(n > 0, mean * n, NULL)", "mean": "if(n > 0, mean, NULL)", "min": "low", "max": "high",
+    "var": "if(n > 1, m2 / (n - 1), NULL)", "std": "if(n > 1, sqrt(m2 / (n - 1)), NULL)", "sem": "if(n > 1, sqrt(m2 / (n - 1) / n), NULL)",
+    "skew": "if(n > 2 and m2 > 0, sqrt(n) * m3 / pow(m2, 1.5D) * sqrt(n * (n - 1)) / (n - 2), NULL)"}
+
+
+def _ring_parts(hist: DataFrame, sets, cols, rings: int, moments: bool, weights: bool) -> DataFrame:
+    """Per (key set, keys): for each horizon j the parts of rings 0..j merged, as columns ``{part}{j}``."""
+    x = F.col("_v")
+    n = F.count(x).cast("double")
+    aggs = {"n": n, "mean": F.avg(x)}
+    if moments:
+        aggs |= {"m2": F.var_pop(x) * n, "skew": F.skewness(x), "low": F.min(x), "high": F.max(x)}
+    if weights:
+        aggs |= {"vw": F.sum(x * F.col("_w")), "w": F.sum("_w")}
+    part = _grouped(hist, sets, cols, ["_ring"], [e.alias(c) for c, e in aggs.items()])
+    if moments:
+        part = part.withColumn("m3", F.expr("coalesce(if(m2 > 0, skew * pow(m2, 1.5D) / sqrt(n), 0D), 0D)"))
+    # one row per key, the rings side by side
+    have = [c for c in _PARTS if c in part.columns]
+    g = part.groupBy("_g1", "_g2").agg(*[F.expr(f"max({c}) FILTER (WHERE _ring = {r})").alias(f"{c}{r}") for r in range(rings) for c in have])
+    zero = {c: "0D" if c in ("n", "mean", "m2", "m3") else "CAST(NULL AS DOUBLE)" for c in _PARTS}
+    g = g.selectExpr("_g1", "_g2", *[(f"coalesce({c}{r}, {zero[c]})" if c in have else zero[c]) + f" AS {c}{r}" for r in range(rings) for c in _PARTS])
+    for j in range(1, rings):
+        merged = {f"{c}{j}": e.replace("a_", f"_a{j - 1}_").replace("b_", f"_b{j}_") for c, e in _MERGE.items()}
+        merged = {c: re.sub(r"_[ab](\d+)_([a-z]+\d?)", r"\2\1", e) for c, e in merged.items()}
+        g = g.selectExpr(*[f"{merged[c]} AS {c}" if c in merged else c for c in g.columns])
+    return g
+
+
+def _ring_medians(hist: DataFrame, sets, cols, rings: int) -> DataFrame:
+    """Per (key set, keys): exact medians of the horizons, as columns ``median{j}``.
+
+    Equal values are counted per ring first; one running sum per ring along
+    the sorted values then serves every horizon.
+    """
+    hist = hist.where("_v is not null")
+    c = [f"c{r}" for r in range(rings)]
+    v = _grouped(hist, sets, cols, ["_v"], [F.count_if(F.col("_ring") == r).alias(x) for r, x in enumerate(c)])
+    t = running_totals(v, ["_g1", "_g2"], "_v", c, cuts=value_cuts(hist, "_v"))
+    add = lambda j, suffix="": "(" + " + ".join(x + suffix for x in c[:j + 1]) + ")"
+    t = t.selectExpr("_g1", "_g2", "_v", *[f"{add(j, '_upto')} - {add(j)} AS under{j}" for j in range(rings)], *[f"{add(j, '_upto')} AS upto{j}" for j in range(rings)],
+                     *[f"{add(j, '_all')} AS n{j}" for j in range(rings)])
+    at = lambda j, p: f"under{j} < {p} AND {p} <= upto{j}"
+    low, high = [[at(j, p.format(j)) for j in range(rings)] for p in ("(n{0} + 1) div 2", "(n{0} div 2 + 1)")]
+    return t.where(" OR ".join(f"({x})" for x in low + high)).groupBy("_g1", "_g2").agg(
+        *[F.expr(f"(max(_v) FILTER (WHERE {a}) + max(_v) FILTER (WHERE {b})) / 2").alias(f"median{j}") for j, (a, b) in enumerate(zip(low, high))])
+
+
+def _features(hist: DataFrame, sets: Sequence[tuple], blocks: Sequence[Sequence[dict]], value: str, moment_us: int, k: int,
+              stats: Sequence[str], decay_base: float, unit_us: int) -> tuple[DataFrame, list[list[tuple[str, int, str]]]]:
+    """(_g1, _g2, vec) for all key sets, and for each set its features: name, place in ``vec``, type."""
+    cols = list(dict.fromkeys(c for s in sets for c in s))
+    trail = {n for bl in blocks for b in bl for n in b.get("horizons", ())}
+    decay = {n for bl in blocks for b in bl for n in b.get("decay_horizons", ())}
+    horizons = sorted(trail | decay)
+    unknown = [s for s in stats if s not in _STATS and s != "median"]
+    if unknown:
+        raise ValueError(f"unknown statistics {unknown}")
+    w = F.pow(F.lit(decay_base), (F.col("_L2") - F.col("_t")).cast("double") / F.lit(float(unit_us)))
+    h = hist.select(*cols, F.col(value).cast("double").alias("_v"), w.alias("_w"), _rings(horizons, moment_us, k).alias("_ring")).where("_ring is not null")
+    out = _ring_parts(h, sets, cols, len(horizons), bool(trail), bool(decay))
+    if trail and "median" in stats:
+        out = out.join(_ring_medians(h, sets, cols, len(horizons)), ["_g1", "_g2"], "left")
+    vec, place = [], {}
+    for j, n in enumerate(horizons):
+        for s in stats if n in trail else ():
+            place[n, s] = len(vec)
+            vec.append(f"median{j}" if s == "median" else re.sub(r"\b(n|mean|m2|m3|low|high)\b", rf"\g<1>{j}", _STATS[s]))
+        if n in decay:
+            place[n, "exp_mean"] = len(vec)
+            vec.append(f"try_divide(vw{j}, w{j})")
+    picks = []
+    for bl in blocks:
+        own = []
+        for b in bl:
+            own += [(f"{b['name']}_{s}{n}", place[n, s], "BIGINT" if s == "count" else "DOUBLE") for n in b.get("horizons", ()) for s in stats]
+            own += [(f"{b['name']}_exp_mean{n}", place[n, "exp_mean"], "DOUBLE") for n in b.get("decay_horizons", ())]
+        picks.append(own)
+    return out.selectExpr("_g1", "_g2", f"array({', '.join(f'coalesce({e}, 0D)' for e in vec)}) AS vec"), picks
+
+
+def _named(vec: str, picks: Sequence[tuple[str, int, str]]) -> list[str]:
+    """Features by name, 0 where there is none; counts as integers."""
+    return [f"CAST(coalesce(get({vec}, {i}), 0D) AS {kind}) AS `{c}`" for c, i, kind in picks]
+
+
+def keyset_features(base: DataFrame, hist: DataFrame, obs_id: str, sets: Sequence[Sequence[str]], value: str,
+                    blocks: Sequence[Sequence[dict]], moment_us: int, k: int = 0, stats: Sequence[str] = STATS7,
+                    decay_base: float = 0.985, unit_us: int = 15 * MINUTES) -> DataFrame:
+    """(obs_id, features) of the base rows; ``blocks[i]`` are the blocks of key set ``sets[i]``."""
+    sets = [tuple(s) for s in sets]
+    cols = list(dict.fromkeys(c for s in sets for c in s))
+    feats, picks = _features(hist, sets, blocks, value, moment_us, k, stats, decay_base, unit_us)
+    on = ["_g1", "_g2"]
+    if len(sets) == 1:
+        return base.select(obs_id, *_mark(F.lit(0), cols)).join(feats, on, "left").selectExpr(f"`{obs_id}`", *_named("vec", picks[0]))
+    # one row per (base row, key set), one join for all sets, and back to one row
+    b = base.select(obs_id, F.explode(F.array(*[F.struct(F.lit(i).alias("set"), *_mark(F.lit(i), cols, s)) for i, s in enumerate(sets)])).alias("x"))
+    j = b.select(obs_id, "x.*").join(feats, on, "left").groupBy(obs_id).agg(*[F.expr(f"first(vec, true) FILTER (WHERE set = {i})").alias(f"_v{i}") for i in range(len(sets))])
+    return j.selectExpr(f"`{obs_id}`", *[c for i in range(len(sets)) for c in _named(f"_v{i}", picks[i])])
 
 
 def feature_block(base: DataFrame, hist: DataFrame, obs_id: str, keys: Sequence[str], value: str,
                   name: str, horizons: Sequence[int] = (), decay_horizons: Sequence[int] = (),
                   moment_us: int = 16 * 15 * MINUTES, k: int = 0, stats: Sequence[str] = STATS7,
-                  decay_base: float = 0.985, unit_us: int = 15 * MINUTES,
-                  median: str = "exact") -> DataFrame:
-    """(obs_id, features…) for the base rows: trailing stats and decay means by ``keys``.
-
-    ``median``: "exact" (Spark's median; holds a group's values in one task),
-    "distributed" (exact, range-partitioned — for hot or coarse keys) or
-    "approx" (percentile_approx).
-    """
-    return keyset_features(base, hist, obs_id, keys, value,
-                           [{"name": name, "horizons": horizons, "decay_horizons": decay_horizons}],
-                           moment_us, k, stats, decay_base, unit_us, median)
+                  decay_base: float = 0.985, unit_us: int = 15 * MINUTES) -> DataFrame:
+    """(obs_id, features…) for the base rows: trailing stats and decay means by ``keys``."""
+    return keyset_features(base, hist, obs_id, [list(keys)], value, [[{"name": name, "horizons": horizons, "decay_horizons": decay_horizons}]],
+                           moment_us, k, stats, decay_base, unit_us)
 
 
 def trailing_stats(df: DataFrame, obs_id: str, ts: str, group_keys: Sequence[str], keys: Sequence[str],
                    value: str, horizons: Sequence[int], name: str, moment_us: int = 16 * 15 * MINUTES,
-                   k: int = 0, stats: Sequence[str] = STATS7, median: str = "exact") -> DataFrame:
-    base, hist = split_base_history(df, ts, group_keys, moment_us, k)
-    return feature_block(base, hist, obs_id, keys, value, name, horizons, (), moment_us, k, stats, median=median)
+                   k: int = 0, stats: Sequence[str] = STATS7) -> DataFrame:
+    base, hist = split_base_history(df, ts, group_keys, moment_us, k, longest=max(horizons, default=None))
+    return feature_block(base, hist, obs_id, keys, value, name, horizons, (), moment_us, k, stats)
 
 
 def decayed_mean(df: DataFrame, obs_id: str, ts: str, group_keys: Sequence[str], keys: Sequence[str],
                  value: str, horizons: Sequence[int], name: str, moment_us: int = 16 * 15 * MINUTES,
                  k: int = 0, base: float = 0.985, unit_us: int = 15 * MINUTES) -> DataFrame:
-    b, hist = split_base_history(df, ts, group_keys, moment_us, k)
+    b, hist = split_base_history(df, ts, group_keys, moment_us, k, longest=max(horizons, default=None))
     return feature_block(b, hist, obs_id, keys, value, name, (), horizons, moment_us, k,
                          decay_base=base, unit_us=unit_us)
 
 
 def assemble(df: DataFrame, obs_id: str, ts: str, group_keys: Sequence[str], value: str,
              blocks: Sequence[dict], moment_us: int, k: int = 0, decay_base: float = 0.985,
-             unit_us: int = 15 * MINUTES, median: str = "exact",
-             median_by_keys: dict | None = None) -> DataFrame:
-    """All blocks → one wide row per base obs_id.
+             unit_us: int = 15 * MINUTES) -> DataFrame:
+    """All blocks → one wide row per base obs_id (which identifies a row).
 
     ``blocks``: dicts with ``keys``, ``name``, ``horizons`` and/or
-    ``decay_horizons``.  Blocks sharing a key set are computed in one
-    aggregation; each key set costs one join on obs_id.
+    ``decay_horizons``.  All key sets share one pass over the history, one
+    sorted table of value counts and one join.
     """
     reach = [n for b in blocks for n in (*b.get("horizons", ()), *b.get("decay_horizons", ()))]
-    base, hist = split_base_history(df, ts, group_keys, moment_us, k, materialize=True, longest=max(reach, default=0))
+    base, hist = split_base_history(df, ts, group_keys, moment_us, k, longest=max(reach, default=0))
     by_keys: dict[tuple, list[dict]] = {}
     for b in blocks:
         by_keys.setdefault(tuple(b["keys"]), []).append(b)
-    out = base.select(obs_id)
-    for keys, bl in by_keys.items():
-        med = median_by_keys.get(keys, median) if median_by_keys else median
-        blk = keyset_features(base, hist, obs_id, list(keys), value, bl, moment_us, k,
-                              decay_base=decay_base, unit_us=unit_us, median=med)
-        out = out.join(blk, obs_id, "left")
-    return out
+    return keyset_features(base, hist, obs_id, list(by_keys), value, list(by_keys.values()), moment_us, k,
+                           decay_base=decay_base, unit_us=unit_us)
 
 
 def calendar(df: DataFrame, ts: str, prefix: str = "") -> DataFrame:

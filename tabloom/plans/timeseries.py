@@ -37,11 +37,6 @@ BLOCKS = {
     "ts_decay_sf_hour": ("Site_Forecast_Hour", ["site", "forecast", "hour"], [], [6, 17]),
     "ts_decay_sf_day": ("Site_Forecast_Day", ["site", "forecast", "day"], [], [6, 17]),
 }
-# Single-key sets (one site or one forecast may hold a large share of the
-# rows) use the range-partitioned exact median instead of gathering a group
-# in one task; finer key sets keep Spark's median.
-DISTRIBUTED_MEDIAN = {"ts_trail_forecast", "ts_trail_site"}
-
 _SQL_STAT = {"min": "min({v})", "mean": "avg({v})", "median": "median({v})", "max": "max({v})",
              "count": "count({v})", "std": "stddev_samp({v})", "skew": "skewness({v})"}
 
@@ -78,12 +73,10 @@ def _block_sql(name, keys, hz, dhz):
 
 def _make(qname, spec):
     name, keys, hz, dhz = spec
-    med = "distributed" if qname in DISTRIBUTED_MEDIAN else "exact"
 
     def fn(spark, d):
-        base, hist = TR.split_base_history(energy(spark, d), "ts", GROUP, DAY_US, K)
-        return TR.feature_block(base, hist, "obs_id", keys, "value", name, hz, dhz, DAY_US, K,
-                                unit_us=UNIT_US, median=med)
+        base, hist = TR.split_base_history(energy(spark, d), "ts", GROUP, DAY_US, K, longest=max([*hz, *dhz]))
+        return TR.feature_block(base, hist, "obs_id", keys, "value", name, hz, dhz, DAY_US, K, unit_us=UNIT_US)
     fn.__name__ = f"q_{qname}"
     query(qname, _block_sql(name, keys, hz, dhz))(fn)
 
@@ -97,7 +90,7 @@ SELECT obs_id, CASE WHEN _t >= _M - {(K + 1) * DAY_US} AND _t < _M - {K * DAY_US
                     WHEN _t < _M - {(K + 1) * DAY_US} THEN 'history' ELSE 'after' END AS part
 FROM t""")
 def q_ts_split(spark, d):
-    base, hist = TR.split_base_history(energy(spark, d), "ts", GROUP, DAY_US, K)
+    base, hist = TR.split_base_history(energy(spark, d), "ts", GROUP, DAY_US, K, materialize=False)
     t = base.select("obs_id", F.lit("base").alias("part")).unionByName(hist.select("obs_id", F.lit("history").alias("part")))
     allrows = energy(spark, d).select("obs_id")
     after = allrows.join(t, "obs_id", "left_anti").withColumn("part", F.lit("after"))
@@ -126,8 +119,7 @@ def _assemble_sql():
 @query("ts_assemble", _assemble_sql())
 def q_ts_assemble(spark, d):
     blocks = [{"name": n, "keys": k, "horizons": h, "decay_horizons": dh} for (n, k, h, dh) in BLOCKS.values()]
-    return TR.assemble(energy(spark, d), "obs_id", "ts", GROUP, "value", blocks, DAY_US, K, unit_us=UNIT_US,
-                       median_by_keys={("forecast",): "distributed", ("site",): "distributed"})
+    return TR.assemble(energy(spark, d), "obs_id", "ts", GROUP, "value", blocks, DAY_US, K, unit_us=UNIT_US)
 
 
 @query("ts_calendar", """
