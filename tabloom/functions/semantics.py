@@ -115,6 +115,14 @@ SQL_ROUND_SIG = ("CASE WHEN {x} IS NULL OR isnan({x}) OR {x} = 0 OR isinf({x}) T
                  "ELSE floor({x} * pow(10.0, {k} - floor(log10(abs({x})))) + 0.5001234567) / pow(10.0, {k} - floor(log10(abs({x})))) END")
 
 
+def _round_sql(x: str, digits: int) -> str:
+    """``round_sig`` as SQL text: a wide result needs one parse instead of thousands of calls into the JVM."""
+    k, e, cut = digits - 1, f"floor(log10(abs({x})))", f"{_CUT}D"
+    return (f"CASE WHEN {x} IS NULL OR isnan({x}) OR {x} = 0 OR abs({x}) = double('Infinity') THEN {x} "
+            f"WHEN {e} >= {k} THEN floor({x} / pow(10D, {e} - {k}) + {cut}) * pow(10D, {e} - {k}) "
+            f"ELSE floor({x} * pow(10D, {k} - {e}) + {cut}) / pow(10D, {k} - {e}) END")
+
+
 def round_outputs(df: DataFrame, digits: int = 8) -> DataFrame:
     """Round doubles/floats to significant digits and widen integral columns to bigint.
 
@@ -123,14 +131,13 @@ def round_outputs(df: DataFrame, digits: int = 8) -> DataFrame:
     """
     out = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = round_sig(c, digits)
-        elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
-            c = c.cast("bigint")
-        elif isinstance(f.dataType, T.DecimalType):
-            c = round_sig(c, digits)
-        elif isinstance(f.dataType, T.BooleanType):
-            c = c.cast("bigint")
-        out.append(c.alias(f.name))
-    return df.select(*out)
+        name = "`" + f.name.replace("`", "``") + "`"
+        c = name
+        if isinstance(f.dataType, T.DoubleType):
+            c = _round_sql(name, digits)
+        elif isinstance(f.dataType, (T.FloatType, T.DecimalType)):
+            c = _round_sql(f"CAST({name} AS DOUBLE)", digits)
+        elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.BooleanType)):
+            c = f"CAST({name} AS BIGINT)"
+        out.append(f"{c} AS {name}")
+    return df.selectExpr(*out)

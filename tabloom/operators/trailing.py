@@ -98,68 +98,60 @@ def _grouped(df: DataFrame, sets: Sequence[Sequence[str]], cols: Sequence[str],
     return g.where(known).select(*_mark(number, cols), *rest)
 
 
-_PARTS = ("n", "mean", "m2", "m3", "low", "high", "vw", "w")
-#: Two disjoint parts (a: merged so far, b: the next ring) taken together: count, mean, centred second and third moment, extremes, decayed sums.
-_MERGE = {
-    "n": "a_n + b_n",
-    "mean": "if(a_n + b_n > 0, a_mean + (b_mean - a_mean) * b_n / (a_n + b_n), 0D)",
-    "m2": "a_m2 + b_m2 + if(a_n + b_n > 0, pow(b_mean - a_mean, 2) * a_n * b_n / (a_n + b_n), 0D)",
-    "m3": "a_m3 + b_m3 + if(a_n + b_n > 0, pow(b_mean - a_mean, 3) * a_n * b_n * (a_n - b_n) / pow(a_n + b_n, 2)"
-          " + 3 * (b_mean - a_mean) * (a_n * b_m2 - b_n * a_m2) / (a_n + b_n), 0D)",
-    "low": "least(a_low, b_low)", "high": "greatest(a_high, b_high)",
-    "vw": "coalesce(a_vw + b_vw, a_vw, b_vw)", "w": "coalesce(a_w + b_w, a_w, b_w)"}
+#: Statistics of a horizon from the running sums of its rings.  d is a ring's mean less the mean of the key's first ring,
+#: s1..s3 the sums of n, n d^2, n d^3 in that order, t1 the sum of d m2; from them the centred moments M2 and M3 of all rings.
 _STATS = {
-    "count": "n", "sum": "if(n > 0, mean * n, NULL)", "mean": "if(n > 0, mean, NULL)", "min": "low", "max": "high",
-    "var": "if(n > 1, m2 / (n - 1), NULL)", "std": "if(n > 1, sqrt(m2 / (n - 1)), NULL)", "sem": "if(n > 1, sqrt(m2 / (n - 1) / n), NULL)",
-    "skew": "if(n > 2 and m2 > 0, sqrt(n) * m3 / pow(m2, 1.5D) * sqrt(n * (n - 1)) / (n - 2), NULL)"}
+    "count": "n", "sum": "if(n > 0, n * (a + s1 / n), NULL)", "mean": "if(n > 0, a + s1 / n, NULL)", "min": "low", "max": "high",
+    "var": "if(n > 1, greatest(m2, 0D) / (n - 1), NULL)", "std": "if(n > 1, sqrt(greatest(m2, 0D) / (n - 1)), NULL)",
+    "sem": "if(n > 1, sqrt(greatest(m2, 0D) / (n - 1) / n), NULL)",
+    "skew": "if(n > 2 and m2 > 0, sqrt(n) * m3 / pow(m2, 1.5D) * sqrt(n * (n - 1)) / (n - 2), NULL)", "exp_mean": "try_divide(vw, w)"}
 
 
-def _ring_parts(hist: DataFrame, sets, cols, rings: int, moments: bool, weights: bool) -> DataFrame:
-    """Per (key set, keys): for each horizon j the parts of rings 0..j merged, as columns ``{part}{j}``."""
+def _ring_stats(hist: DataFrame, sets, cols, rings: int, stats: Sequence[str], moments: bool, weights: bool) -> DataFrame:
+    """Per (key set, keys): the statistics of each horizon j, rings 0..j taken together, as arrays ``h{j}``."""
     x = F.col("_v")
-    n = F.count(x).cast("double")
-    aggs = {"n": n, "mean": F.avg(x)}
+    aggs = {"rn": F.count(x).cast("double"), "mean": F.avg(x)}
     if moments:
-        aggs |= {"m2": F.var_pop(x) * n, "skew": F.skewness(x), "low": F.min(x), "high": F.max(x)}
+        aggs |= {"var": F.var_pop(x), "skew": F.skewness(x), "rlow": F.min(x), "rhigh": F.max(x)}
     if weights:
-        aggs |= {"vw": F.sum(x * F.col("_w")), "w": F.sum("_w")}
+        aggs |= {"rvw": F.sum(x * F.col("_w")), "rw": F.sum("_w")}
     part = _grouped(hist, sets, cols, ["_ring"], [e.alias(c) for c, e in aggs.items()])
+    upto = "OVER (PARTITION BY _g1, _g2 ORDER BY _ring ROWS UNBOUNDED PRECEDING)"
+    run = {"n": "sum(rn)"}
     if moments:
-        part = part.withColumn("m3", F.expr("coalesce(if(m2 > 0, skew * pow(m2, 1.5D) / sqrt(n), 0D), 0D)"))
-    # one row per key, the rings side by side
-    have = [c for c in _PARTS if c in part.columns]
-    g = part.groupBy("_g1", "_g2").agg(*[F.expr(f"max({c}) FILTER (WHERE _ring = {r})").alias(f"{c}{r}") for r in range(rings) for c in have])
-    zero = {c: "0D" if c in ("n", "mean", "m2", "m3") else "CAST(NULL AS DOUBLE)" for c in _PARTS}
-    g = g.selectExpr("_g1", "_g2", *[(f"coalesce({c}{r}, {zero[c]})" if c in have else zero[c]) + f" AS {c}{r}" for r in range(rings) for c in _PARTS])
-    for j in range(1, rings):
-        merged = {f"{c}{j}": e.replace("a_", f"_a{j - 1}_").replace("b_", f"_b{j}_") for c, e in _MERGE.items()}
-        merged = {c: re.sub(r"_[ab](\d+)_([a-z]+\d?)", r"\2\1", e) for c, e in merged.items()}
-        g = g.selectExpr(*[f"{merged[c]} AS {c}" if c in merged else c for c in g.columns])
-    return g
+        part = part.selectExpr("*", f"first_value(mean, true) {upto} AS a", "coalesce(var * rn, 0D) AS rm2")
+        part = part.selectExpr("*", "coalesce(mean - a, 0D) AS d", "coalesce(skew * pow(rm2, 1.5D) / sqrt(rn), 0D) AS rm3")
+        run |= {"s1": "sum(rn * d)", "s2": "sum(rn * d * d)", "s3": "sum(rn * d * d * d)", "t0": "sum(rm2)", "t1": "sum(d * rm2)", "u": "sum(rm3)",
+                "low": "min(rlow)", "high": "max(rhigh)"}
+    if weights:
+        run |= {"vw": "sum(rvw)", "w": "sum(rw)"}
+    part = part.selectExpr("_g1", "_g2", "_ring", *(["a"] if moments else []), *[f"{e} {upto} AS {c}" for c, e in run.items()])
+    if moments:
+        part = part.selectExpr("*", "if(n > 0, s1 / n, 0D) AS mu").selectExpr(
+            "*", "t0 + s2 - n * mu * mu AS m2", "u + 3 * (t1 - mu * t0) + s3 - 3 * mu * s2 + 3 * mu * mu * s1 - n * mu * mu * mu AS m3")
+    part = part.selectExpr("_g1", "_g2", "_ring", f"array({', '.join(f'coalesce({_STATS[s]}, 0D)' for s in stats)}) AS h")
+    # rings without rows: a horizon ends at the last ring below it
+    return part.groupBy("_g1", "_g2").agg(*[F.expr(f"max_by(h, _ring) FILTER (WHERE _ring <= {j})").alias(f"h{j}") for j in range(rings)])
 
 
 def _ring_medians(hist: DataFrame, sets, cols, rings: int) -> DataFrame:
-    """Per (key set, keys): exact medians of the horizons, as columns ``median{j}``.
+    """Per (key set, keys): exact medians of the horizons, as array ``medians``.
 
-    Equal values are counted per ring first; one running sum per ring along
-    the sorted values then serves every horizon.
+    Equal values are counted first; one running sum per horizon along the
+    sorted values then finds the one or two values in the middle.
     """
     hist = hist.where("_v is not null")
-    c = [f"c{r}" for r in range(rings)]
-    v = _grouped(hist, sets, cols, ["_v"], [F.count_if(F.col("_ring") == r).alias(x) for r, x in enumerate(c)])
+    c = [f"c{j}" for j in range(rings)]
+    v = _grouped(hist, sets, cols, ["_v"], [F.count_if(F.col("_ring") <= j).alias(x) for j, x in enumerate(c)])
     t = running_totals(v, ["_g1", "_g2"], "_v", c, cuts=value_cuts(hist, "_v"))
-    add = lambda j, suffix="": "(" + " + ".join(x + suffix for x in c[:j + 1]) + ")"
-    t = t.selectExpr("_g1", "_g2", "_v", *[f"{add(j, '_upto')} - {add(j)} AS under{j}" for j in range(rings)], *[f"{add(j, '_upto')} AS upto{j}" for j in range(rings)],
-                     *[f"{add(j, '_all')} AS n{j}" for j in range(rings)])
-    at = lambda j, p: f"under{j} < {p} AND {p} <= upto{j}"
-    low, high = [[at(j, p.format(j)) for j in range(rings)] for p in ("(n{0} + 1) div 2", "(n{0} div 2 + 1)")]
-    return t.where(" OR ".join(f"({x})" for x in low + high)).groupBy("_g1", "_g2").agg(
-        *[F.expr(f"(max(_v) FILTER (WHERE {a}) + max(_v) FILTER (WHERE {b})) / 2").alias(f"median{j}") for j, (a, b) in enumerate(zip(low, high))])
+    at = lambda x, p: f"max(_v) FILTER (WHERE {x}_upto - {x} < {p} AND {p} <= {x}_upto)"
+    mid = [f"({at(x, f'({x}_all + 1) div 2')} + {at(x, f'({x}_all div 2 + 1)')}) / 2" for x in c]
+    return t.groupBy("_g1", "_g2").agg(F.expr(f"array({', '.join(f'coalesce({m}, 0D)' for m in mid)})").alias("medians"))
 
 
 def _features(hist: DataFrame, sets: Sequence[tuple], blocks: Sequence[Sequence[dict]], value: str, moment_us: int, k: int,
-              stats: Sequence[str], decay_base: float, unit_us: int) -> tuple[DataFrame, list[list[tuple[str, int, str]]]]:
-    """(_g1, _g2, vec) for all key sets, and for each set its features: name, place in ``vec``, type."""
+              stats: Sequence[str], decay_base: float, unit_us: int) -> tuple[DataFrame, list[list[tuple[str, str, str]]]]:
+    """(_g1, _g2, h) for all key sets, and for each set its features: name, place in ``h``, type."""
     cols = list(dict.fromkeys(c for s in sets for c in s))
     trail = {n for bl in blocks for b in bl for n in b.get("horizons", ())}
     decay = {n for bl in blocks for b in bl for n in b.get("decay_horizons", ())}
@@ -169,30 +161,24 @@ def _features(hist: DataFrame, sets: Sequence[tuple], blocks: Sequence[Sequence[
         raise ValueError(f"unknown statistics {unknown}")
     w = F.pow(F.lit(decay_base), (F.col("_L2") - F.col("_t")).cast("double") / F.lit(float(unit_us)))
     h = hist.select(*cols, F.col(value).cast("double").alias("_v"), w.alias("_w"), _rings(horizons, moment_us, k).alias("_ring")).where("_ring is not null")
-    out = _ring_parts(h, sets, cols, len(horizons), bool(trail), bool(decay))
-    if trail and "median" in stats:
+    own = [s for s in stats if s != "median"] if trail else []
+    own += ["exp_mean"] if decay else []
+    out = _ring_stats(h, sets, cols, len(horizons), own, bool(trail), bool(decay))
+    with_median = trail and "median" in stats
+    if with_median:
         out = out.join(_ring_medians(h, sets, cols, len(horizons)), ["_g1", "_g2"], "left")
-    vec, place = [], {}
-    for j, n in enumerate(horizons):
-        for s in stats if n in trail else ():
-            place[n, s] = len(vec)
-            vec.append(f"median{j}" if s == "median" else re.sub(r"\b(n|mean|m2|m3|low|high)\b", rf"\g<1>{j}", _STATS[s]))
-        if n in decay:
-            place[n, "exp_mean"] = len(vec)
-            vec.append(f"try_divide(vw{j}, w{j})")
-    picks = []
-    for bl in blocks:
-        own = []
-        for b in bl:
-            own += [(f"{b['name']}_{s}{n}", place[n, s], "BIGINT" if s == "count" else "DOUBLE") for n in b.get("horizons", ()) for s in stats]
-            own += [(f"{b['name']}_exp_mean{n}", place[n, "exp_mean"], "DOUBLE") for n in b.get("decay_horizons", ())]
-        picks.append(own)
-    return out.selectExpr("_g1", "_g2", f"array({', '.join(f'coalesce({e}, 0D)' for e in vec)}) AS vec"), picks
-
-
-def _named(vec: str, picks: Sequence[tuple[str, int, str]]) -> list[str]:
+    place = {n: i for i, n in enumerate(horizons)}
+    at = {s: i for i, s in enumerate(own)}
+    where = lambda n, s: f"medians[{place[n]}]" if s == "median" else f"h{place[n]}[{at[s]}]"
+    picks = [[x for b in bl for x in [
+        *[(f"{b['name']}_{s}{n}", where(n, s), "BIGINT" if s == "count" else "DOUBLE") for n in b.get("horizons", ()) for s in stats],
+        *[(f"{b['name']}_exp_mean{n}", where(n, "exp_mean"), "DOUBLE") for n in b.get("decay_horizons", ())]]] for bl in blocks]
+    return out.selectExpr("_g1", "_g2", f"struct({', '.join([f'h{j}' for j in range(len(horizons))] + (['medians'] if with_median else []))}) AS h"), picks
+
+
+def _named(h: str, picks: Sequence[tuple[str, str, str]]) -> list[str]:
     """Features by name, 0 where there is none; counts as integers."""
-    return [f"CAST(coalesce(get({vec}, {i}), 0D) AS {kind}) AS `{c}`" for c, i, kind in picks]
+    return [f"CAST(coalesce({h}.{place}, 0D) AS {kind}) AS `{c}`" for c, place, kind in picks]
 
 
 def keyset_features(base: DataFrame, hist: DataFrame, obs_id: str, sets: Sequence[Sequence[str]], value: str,
@@ -204,10 +190,10 @@ def keyset_features(base: DataFrame, hist: DataFrame, obs_id: str, sets: Sequenc
     feats, picks = _features(hist, sets, blocks, value, moment_us, k, stats, decay_base, unit_us)
     on = ["_g1", "_g2"]
     if len(sets) == 1:
-        return base.select(obs_id, *_mark(F.lit(0), cols)).join(feats, on, "left").selectExpr(f"`{obs_id}`", *_named("vec", picks[0]))
+        return base.select(obs_id, *_mark(F.lit(0), cols)).join(feats, on, "left").selectExpr(f"`{obs_id}`", *_named("h", picks[0]))
     # one row per (base row, key set), one join for all sets, and back to one row
     b = base.select(obs_id, F.explode(F.array(*[F.struct(F.lit(i).alias("set"), *_mark(F.lit(i), cols, s)) for i, s in enumerate(sets)])).alias("x"))
-    j = b.select(obs_id, "x.*").join(feats, on, "left").groupBy(obs_id).agg(*[F.expr(f"first(vec, true) FILTER (WHERE set = {i})").alias(f"_v{i}") for i in range(len(sets))])
+    j = b.select(obs_id, "x.*").join(feats, on, "left").groupBy(obs_id).agg(*[F.expr(f"first(h, true) FILTER (WHERE set = {i})").alias(f"_v{i}") for i in range(len(sets))])
     return j.selectExpr(f"`{obs_id}`", *[c for i in range(len(sets)) for c in _named(f"_v{i}", picks[i])])
 
 
