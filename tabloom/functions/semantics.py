@@ -15,6 +15,12 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bound(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row: a lambda variable is bound once,
+    where the optimiser would inline a column into every lambda that reads it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def safe_div(a, b) -> Column:
     """a / b as double; NULL when b is 0 or NULL (never raises under ANSI)."""
     return F.try_divide(col_(a).cast("double"), col_(b).cast("double"))

@@ -219,3 +219,53 @@ def ordered_pass(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str],
     first = F.col("rn") == 1
     return (out.withColumns({f"prev_{c}": F.when(first, F.col("__prev")[c]).otherwise(F.col(f"prev_{c}")) for c in lag})
                .withColumn("rn", (F.col("rn") + F.col("__before")).cast("long")).drop("__slice", "__before", "__prev"))
+
+
+#: Up to this many rows a top-k is sorted and numbered in one place; beyond, by a cut-off count and by range.
+SMALL_TOP = 10_000
+#: Cells of one histogram of counts.
+CELLS = 4096
+
+
+def count_cut(df: DataFrame, count: str, k: int) -> int | None:
+    """Largest c such that at least ``k`` rows of the written table ``df`` have ``count`` >= c; None if it has fewer rows.
+
+    A histogram of the counts of ``CELLS`` cells at most is read, then one of
+    the cell in which the k-th row lies, and so on: two or three passes.
+    """
+    low, high = df.agg(F.min(count), F.max(count)).first()
+    above = 0
+    while low is not None:
+        step = -(-(high - low + 1) // CELLS)
+        cell = F.floor((F.col(count) - low) / step)
+        hist = dict(map(tuple, df.where(F.col(count).between(low, high)).groupBy(cell.alias("c")).count().collect()))
+        for c in sorted(hist, reverse=True):
+            if above + hist[c] >= k:
+                break
+            above += hist[c]
+        else:
+            return None
+        low, high = low + c * step, min(high, low + c * step + step - 1)
+        if low == high:
+            return low
+    return None
+
+
+def top_by_count(df: DataFrame, count: str, ties: Sequence[str], k: int, out: str = "rank") -> DataFrame:
+    """The ``k`` rows with the largest ``count`` (an integer; ties by ``ties`` ascending), numbered from 1 in that order."""
+    order = [F.col(count).desc(), *[F.col(t) for t in ties]]
+    if k <= SMALL_TOP:
+        return numbered_small(df.orderBy(*order).limit(k), [-F.col(count), *ties], out)
+    ensure_checkpoint_dir(df.sparkSession)
+    t = df.checkpoint()
+    cut = count_cut(t, count, k)
+    if cut is not None:
+        t = t.where(F.col(count) >= cut)
+    return row_number_by(t, None, order, out=out).where(F.col(out) <= k)
+
+
+def numbered_small(df: DataFrame, order: Sequence, out: str, start: int = 1) -> DataFrame:
+    """Rows of a table known to be small (``SMALL_TOP``), numbered in ``order`` by sorting one array of them."""
+    rows = F.array_sort(F.collect_list(F.struct(*[col_(o).alias(f"__o{i}") for i, o in enumerate(order)], F.struct(*df.columns).alias("__r"))))
+    x = df.agg(rows.alias("__a")).select(F.posexplode("__a").alias("__p", "__x"))
+    return x.select(*[F.col(f"__x.__r.{c}").alias(c) for c in df.columns], (F.col("__p") + start).cast("long").alias(out))

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import attach_row
-from .ranking import row_number_by
+from ..session import ensure_checkpoint_dir
+from .ranking import SMALL_TOP, numbered_small, row_number_by, top_by_count
 
 
 def ngrams(tokens: Column, n: int) -> Column:
@@ -81,8 +82,9 @@ def vocab_from_counts(per_doc: DataFrame, min_df: int = 1, max_features: int | N
     st = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("value").alias("tf")) \
         .where(F.col("df") >= min_df)
     if max_features:
-        top = st.orderBy(F.col("tf").desc(), F.col("term")).limit(max_features)
-        return top.withColumn("term_id", F.row_number().over(Window.orderBy("term")) - 1)
+        st = top_by_count(st, "tf", ["term"], max_features, out="_rank").drop("_rank")
+        if max_features <= SMALL_TOP:
+            return numbered_small(st, ["term"], "term_id", start=0)
     st = row_number_by(st, None, ["term"], out="term_id")
     return st.withColumn("term_id", F.col("term_id") - 1)
 
@@ -91,10 +93,8 @@ def select_vocab(df: DataFrame, id_col: str, terms: Column, min_df: int = 1, max
     """(term, df, tf, term_id): terms with df ≥ min_df; the ``max_features`` most
     frequent (corpus count desc, term asc); ids 0.. in term order.
 
-    With ``max_features`` the top terms come from a distributed top-k
-    (per-partition top-k, then a merge of at most k rows per partition), and
-    numbering the ≤ k survivors is bounded; without it the numbering is the
-    range-partitioned ``row_number_by``.
+    With ``max_features`` a histogram of the counts gives the cut-off count
+    (``top_by_count``); what reaches it is numbered by range.
     """
     return vocab_from_counts(doc_term_counts(df, id_col, terms), min_df, max_features)
 
@@ -111,11 +111,12 @@ def tfidf_long(df: DataFrame, id_col: str, terms: Column, min_df: int = 1, max_f
                binary: bool = False, norm: bool = True) -> DataFrame:
     """(doc, term, weight): tf · (ln((1+n)/(1+df)) + 1), L2-normalised per document (smooth idf).
 
-    The (doc, term) counts are computed once and feed both the vocabulary
+    The (doc, term) counts are written once and feed both the vocabulary
     and the weights; the vocabulary side of the join is small when bounded
     by ``max_features`` and adaptive execution broadcasts it.
     """
-    per_doc = doc_term_counts(df, id_col, terms)
+    ensure_checkpoint_dir(df.sparkSession)
+    per_doc = doc_term_counts(df, id_col, terms).checkpoint()
     vocab = vocab_from_counts(per_doc, min_df, max_features)
     n = df.agg(F.count(F.lit(1)).alias("_n"))
     idf = attach_row(vocab, n).select("term", "term_id",

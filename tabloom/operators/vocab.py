@@ -1,16 +1,17 @@
 """Vocabulary, document frequency and integer sequences.
 
-Vocabularies are DataFrames.  Token re-assembly (posexplode → join →
-ordered collect) happens per document, so a group is one document's
-tokens; hot tokens ("the") only meet the vocabulary in a join that
-adaptive execution broadcasts or skew-splits.
+Vocabularies are DataFrames.  Bounded ones are searched inside the row
+(``lookup``).  Where tokens meet a larger table they are exploded, joined and
+put together again per document, so a group is one document's tokens.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import row_number_by
+from ..functions.semantics import bound
+from .lookup import constant_map, first_known, known
+from .ranking import row_number_by, top_by_count
 
 
 def doc_freq(df: DataFrame, id_col: str, tokens: Column | str, word: str = "word", out: str = "df") -> DataFrame:
@@ -32,13 +33,10 @@ def build_vocab(df: DataFrame, tokens: Column | str, max_size: int | None = None
     words whose id would reach ``max_size`` are left out (Keras ``num_words``)."""
     tf = term_freq(df, tokens, word, "_cnt")
     if max_size:
-        # bounded: distributed top-k of at most max_size - start rows, numbered after
-        top = tf.orderBy(F.col("_cnt").desc(), F.col(word)).limit(max(max_size - start, 0))
-        r = top.withColumn(idx, F.row_number().over(Window.orderBy(F.col("_cnt").desc(), F.col(word))))
+        r = top_by_count(tf, "_cnt", [word], max(max_size - start, 0), out=idx)
     else:
         r = row_number_by(tf, None, [F.col("_cnt").desc(), F.col(word)], out=idx)
-    r = r.withColumn(idx, F.col(idx) + (start - 1))
-    return r.select(word, idx)
+    return r.select(word, (F.col(idx) + (start - 1)).alias(idx))
 
 
 def build_vocab_sorted(vocab_words: DataFrame, word: str = "word", idx: str = "idx", start: int = 0) -> DataFrame:
@@ -66,13 +64,20 @@ def drop_rare(df: DataFrame, id_col: str, tokens: Column | str, min_df: int = 5,
 
 
 def encode(df: DataFrame, id_col: str, tokens: Column | str, vocab: DataFrame, max_len: int | None = None,
-           word: str = "word", idx: str = "idx", out: str = "ids") -> DataFrame:
-    """Token list → id list; unknown tokens dropped; first ``max_len`` ids kept."""
-    v = vocab.select(F.col(word).alias("_tok"), F.col(idx).alias("_id"))
-    j = _explode_pos(df, id_col, tokens).join(v, "_tok", "inner")
-    r = _reassemble(df, j, id_col, "_id", out, F.array().cast(f"array<{vocab.schema[idx].dataType.simpleString()}>"))
+           word: str = "word", idx: str = "idx", out: str = "ids", last: bool = False) -> DataFrame:
+    """Token list → id list; unknown tokens dropped; the first (``last``: the last) ``max_len`` ids kept.
+
+    A vocabulary within the bounds of ``lookup`` is searched inside the row,
+    which ends early once ``max_len`` ids are found.  A larger one is joined.
+    """
+    t = F.col(tokens) if isinstance(tokens, str) else tokens
+    look = constant_map(vocab, word, idx)
+    if look:
+        return df.select(id_col, (first_known(t, look, max_len, last) if max_len else bound(t, lambda x: known(x, look))).alias(out))
+    v = vocab.select(F.col(word).alias("_tok"), F.col(idx).cast("long").alias("_id"))
+    r = _reassemble(df, _explode_pos(df, id_col, t).join(v, "_tok", "inner"), id_col, "_id", out, F.array().cast("array<bigint>"))
     if max_len:
-        r = r.withColumn(out, F.slice(out, 1, max_len))
+        r = r.withColumn(out, F.slice(out, F.greatest(F.size(out) - max_len, F.lit(0)) + 1, max_len) if last else F.slice(out, 1, max_len))
     return r
 
 

@@ -65,28 +65,28 @@ e AS (SELECT doc_id, list(idx ORDER BY pos) AS ids FROM tok JOIN vocab ON tok.t
 enc AS (SELECT d.doc_id, coalesce(e.ids, []) AS ids FROM documents d LEFT JOIN e USING (doc_id))"""
 
 
-def _encoded(spark, d):
+def _encoded(spark, d, n, last=False):
     docs = _docs(spark, d)
-    return VO.encode(docs, "doc_id", "tk", VO.build_vocab(docs, "tk", max_size=2000))
+    return VO.encode(docs, "doc_id", "tk", VO.build_vocab(docs, "tk", max_size=2000), n, last=last)
 
 
 @query("sq_encode", _ENC_SQL + """
 SELECT doc_id, array_to_string(list_slice(ids, 1, 40), ' ') AS ids FROM enc""")
 def q_sq_encode(spark, d):
-    return _encoded(spark, d).select("doc_id", _ids_str(F.slice("ids", 1, 40)).alias("ids"))
+    return _encoded(spark, d, 40).select("doc_id", _ids_str(F.col("ids")).alias("ids"))
 
 
 @query("sq_pad_pre", _ENC_SQL + """
 SELECT doc_id, array_to_string(list_concat(list_resize([]::BIGINT[], greatest(100 - len(ids), 0), 0),
        CASE WHEN len(ids) > 100 THEN list_slice(ids, len(ids) - 99, len(ids)) ELSE ids END), ' ') AS padded FROM enc""")
 def q_sq_pad_pre(spark, d):
-    return _encoded(spark, d).select("doc_id", _ids_str(VO.pad("ids", 100, "pre")).alias("padded"))
+    return _encoded(spark, d, 100, last=True).select("doc_id", _ids_str(VO.pad("ids", 100, "pre")).alias("padded"))
 
 
 @query("sq_pad_post", _ENC_SQL + """
 SELECT doc_id, array_to_string(list_concat(list_slice(ids, 1, 100), list_resize([]::BIGINT[], greatest(100 - len(ids), 0), 0)), ' ') AS padded FROM enc""")
 def q_sq_pad_post(spark, d):
-    return _encoded(spark, d).select("doc_id", _ids_str(VO.pad("ids", 100, "post")).alias("padded"))
+    return _encoded(spark, d, 100).select("doc_id", _ids_str(VO.pad("ids", 100, "post")).alias("padded"))
 
 
 def _vocab_sql(terms_sql, min_df, max_features):
@@ -141,7 +141,7 @@ FROM documents d LEFT JOIN c USING (doc_id) GROUP BY d.doc_id""")
 def q_vz_char_ngram(spark, d):
     """Binary character 1- to 6-grams against a vocabulary of 200,000; per document their number and id sum."""
     docs = table(spark, d, "documents").select("doc_id", F.lower("text").alias("t"))
-    counts = V.doc_term_counts(docs, "doc_id", V.char_ngram_range(F.col("t"), 1, 6))
+    counts = V.doc_term_counts(docs, "doc_id", V.char_ngram_range(F.col("t"), 1, 6)).checkpoint()
     voc = V.vocab_from_counts(counts, 5, 200_000)
     kept = counts.join(voc.select("term", "term_id"), "term").select("doc_id", "term", "term_id")
     n = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_grams"), F.sum("term_id").alias("id_sum"))

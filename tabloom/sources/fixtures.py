@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ranking import row_number_by
+from ..operators.ranking import ordered_pass
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -26,19 +26,13 @@ def basket_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
         F.to_date("o_orderdate").alias("order_date"))
-    o = row_number_by(o, "user_id", ["order_date", "order_id"], out="order_number")
-    prev = o.select("user_id", (F.col("order_number") + 1).alias("order_number"),
-                    F.col("order_date").alias("prev_date"))
-    last = o.groupBy("user_id").agg(F.max("order_number").alias("n_orders"))
-    o = (o.join(prev, ["user_id", "order_number"], "left")
-          .join(last, "user_id")
-          .withColumn("days_since_prior_order",
-                      F.datediff("order_date", "prev_date").cast("double"))
+    o = ordered_pass(o, "user_id", ["order_date", "order_id"], lag=["order_date"])
+    o = (o.withColumn("days_since_prior_order", F.datediff("order_date", "prev_order_date").cast("double"))
           .withColumn("eval_set",
-                      F.when(F.col("order_number") < F.col("n_orders"), "prior")
+                      F.when(F.col("rn") < F.col("n"), "prior")
                        .when(F.col("user_id") % 4 != 0, "train").otherwise("test"))
-          .withColumn("order_number", F.col("order_number").cast("int")))
-    # several features read the numbered orders: the joins above are done once, not once per reader
+          .withColumn("order_number", F.col("rn").cast("int")))
+    # several features read the numbered orders: the pass is done once, not once per reader
     return o.select("order_id", "user_id", "eval_set", "order_number", "days_since_prior_order").checkpoint()
 
 
