@@ -153,6 +153,37 @@ def target_encode(train: DataFrame, test: DataFrame, col: str, target: str, min_
     return apply(train), apply(test)
 
 
+def target_encode_oof(df: DataFrame, col: str, target: str, fold: str, min_samples_leaf: int = 1, smoothing: float = 1.0,
+                      noise_level: float = 0.0, id_col: str | None = None, seed: int = 0, out: str | None = None) -> DataFrame:
+    """Smoothed target mean of each row's category over the *other* folds, so no row sees its own target.
+
+    One aggregation by (category, fold); a fold's statistics are the totals
+    less its own, nothing is fitted per fold.  The prior of a fold is the mean
+    target of the others.  Rows with a NULL category or fold, and categories
+    that no other fold has, get the prior (of all rows for a NULL fold).  With
+    ``noise_level`` the result is multiplied by ``1 + level * N(0, 1)``, which
+    depends on (``seed``, ``id_col``) only.
+    """
+    out = out or f"{col}_te"
+    y = F.col(target).cast("double")
+    st = df.where(F.col(fold).isNotNull()).groupBy(F.col(col).alias("_v"), F.col(fold).alias("_f")).agg(F.count(y).alias("_n"), F.sum(y).alias("_s"))
+    every = df.agg(F.count(y).alias("_N"), F.sum(y).alias("_S"))
+    per_fold = st.groupBy("_f").agg(F.sum("_n").alias("_fn"), F.sum("_s").alias("_fs"))
+    prior = attach_row(per_fold, every).select("_f", F.try_divide(F.col("_S") - F.coalesce("_fs", F.lit(0.0)), F.col("_N") - F.col("_fn")).alias("_prior"))
+    whole = st.where(F.col("_v").isNotNull()).groupBy("_v").agg(F.sum("_n").alias("_vn"), F.sum("_s").alias("_vs"))
+    other = st.join(whole, "_v").select("_v", "_f", (F.col("_vn") - F.col("_n")).alias("_n"), (F.coalesce("_vs", F.lit(0.0)) - F.coalesce("_s", F.lit(0.0))).alias("_s"))
+    s = 1 / (1 + F.exp(-(F.col("_n") - F.lit(min_samples_leaf)) / F.lit(float(smoothing))))
+    enc = other.where("_n > 0").join(prior, "_f").select("_v", "_f", (F.col("_prior") * (1 - s) + F.col("_s") / F.col("_n") * s).alias("_enc"))
+    j = df.join(enc, (F.col(col) == F.col("_v")) & (F.col(fold) == F.col("_f")), "left").drop("_v", "_f").join(prior, F.col(fold) == F.col("_f"), "left").drop("_f")
+    j = attach_row(j, every.select(F.try_divide("_S", "_N").alias("_mean")))
+    j = j.withColumn(out, F.coalesce("_enc", "_prior", "_mean")).drop("_enc", "_prior", "_mean")
+    if not noise_level:
+        return j
+    if id_col is None:
+        raise ValueError("noise needs id_col, so that it repeats on any partitioning")
+    return add_noise(j, out, id_col, noise_level, seed)
+
+
 def add_noise(df: DataFrame, col: str, id_col: str, level: float = 0.01, seed: int = 0, out: str | None = None) -> DataFrame:
     """col · (1 + level · N(0,1)); the deviate depends on (seed, id) only, so it repeats on any partitioning.
 

@@ -8,6 +8,7 @@ forms hold the vocabulary in each task and need a bounded ``vocab_size``.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -118,6 +119,10 @@ def tfidf_long(df: DataFrame, id_col: str, terms: Column, min_df: int = 1, max_f
     ensure_checkpoint_dir(df.sparkSession)
     per_doc = doc_term_counts(df, id_col, terms).checkpoint()
     vocab = vocab_from_counts(per_doc, min_df, max_features)
+    return _weighted(per_doc, vocab, df, id_col, binary, norm)
+
+
+def _weighted(per_doc: DataFrame, vocab: DataFrame, df: DataFrame, id_col: str, binary: bool = False, norm: bool = True) -> DataFrame:
     n = df.agg(F.count(F.lit(1)).alias("_n"))
     idf = attach_row(vocab, n).select("term", "term_id",
                                       (F.log((1 + F.col("_n")) / (1 + F.col("df"))) + 1).alias("idf"))
@@ -155,6 +160,78 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataF
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
 
 
+@dataclass(frozen=True)
+class Block:
+    """A block of features in long form: ``rows`` (id, index from 0, value) and the number of its features,
+    a number or a one-row table with column ``width``."""
+    name: str
+    rows: DataFrame
+    width: int | DataFrame
+
+
+def dense_block(df: DataFrame, id_col: str, cols: Sequence[str], name: str = "dense") -> Block:
+    """Numeric columns as they are, one feature each."""
+    values = F.array(*[F.col(c).cast("double") for c in cols])
+    return Block(name, df.select(id_col, F.posexplode(values).alias("index", "value")), len(cols))
+
+
+def hash_block(df: DataFrame, id_col: str, cols: Sequence[str], buckets: int = 3000, name: str = "hash") -> Block:
+    """Hashing trick: the bucket of each ``column=value`` counts one."""
+    from .encode import hash_bucket
+    at = F.array(*[hash_bucket(c, F.col(c), buckets) for c in cols])
+    return Block(name, df.select(id_col, F.explode(at).alias("index"), F.lit(1.0).alias("value")), buckets)
+
+
+def one_hot_block(df: DataFrame, id_col: str, col: str, name: str | None = None) -> Block:
+    """One feature per distinct value, in value order (NULL as text); the dictionary is joined, not collected."""
+    from .encode import NULL_TEXT, dictionary
+    d = dictionary(df, col).checkpoint()
+    rows = df.select(id_col, F.coalesce(F.col(col).cast("string"), F.lit(NULL_TEXT)).alias("_v")).join(d, "_v")
+    return Block(name or f"onehot_{col}", rows.select(id_col, F.col("_code").alias("index"), F.lit(1.0).alias("value")), d.agg(F.count(F.lit(1)).alias("width")))
+
+
+def text_block(df: DataFrame, id_col: str, terms: Column, name: str, min_df: int, max_features: int, tfidf: bool = False) -> Block:
+    """Bag of terms over a bounded vocabulary: presence, or TF-IDF weights (L2 norm per document)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = doc_term_counts(df, id_col, terms).checkpoint()
+    vocab = vocab_from_counts(counts, min_df, max_features).checkpoint()
+    rows = _weighted(counts, vocab, df, id_col) if tfidf else counts.join(vocab.select("term", "term_id"), "term").withColumn("weight", F.lit(1.0))
+    return Block(name, rows.select(id_col, F.col("term_id").alias("index"), F.col("weight").alias("value")), vocab.agg(F.count(F.lit(1)).alias("width")))
+
+
+def sparse_union(blocks: Sequence[Block], id_col: str) -> DataFrame:
+    """(id, size, indices, values): one sparse vector per document, the blocks side by side in the order given.
+
+    Each block's rows are shifted by the widths of the blocks before it and
+    one aggregation puts a document's rows together; no vocabulary or vector
+    passes through the driver.  Features that meet in an index (hashing) are
+    added; zeros and NULLs are left out.
+    """
+    width = [b.width if isinstance(b.width, DataFrame) else None for b in blocks]
+    first = next((w for w in width if w is not None), None)
+    spark = blocks[0].rows.sparkSession
+    one = first.select(F.lit(0).alias("_z")) if first is not None else spark.range(1).select(F.lit(0).alias("_z"))
+    offset, names = F.lit(0).cast("long"), []
+    for i, b in enumerate(blocks):
+        names.append(offset.alias(f"_o{i}"))
+        if width[i] is not None:
+            one = attach_row(one, width[i].select(F.col("width").alias(f"_w{i}")))
+            offset = offset + F.col(f"_w{i}")
+        else:
+            offset = offset + F.lit(b.width)
+    offsets = one.select(*names, offset.alias("size"))
+    rows = None
+    for i, b in enumerate(blocks):
+        r = b.rows.select(id_col, F.lit(i).alias("_b"), F.col("index").cast("long").alias("index"), F.col("value").cast("double").alias("value"))
+        rows = r if rows is None else rows.unionByName(r)
+    shift = F.element_at(F.array(*[F.col(f"_o{i}") for i in range(len(blocks))]), F.col("_b") + 1)
+    rows = attach_row(rows, offsets).select(id_col, "size", (F.col("index") + shift).alias("index"), "value")
+    cells = rows.groupBy(id_col, "size", "index").agg(F.sum("value").alias("value"))
+    pairs = F.array_sort(F.filter(F.collect_list(F.struct("index", "value")), lambda x: F.coalesce(x["value"], F.lit(0.0)) != 0))
+    v = cells.groupBy(id_col).agg(F.max("size").alias("size"), pairs.alias("_p"))
+    return v.select(id_col, "size", F.transform("_p", lambda x: x["index"]).alias("indices"), F.transform("_p", lambda x: x["value"]).alias("values"))
+
+
 def scale(df: DataFrame, cols: Sequence[str], log1p: bool = False, suffix: str = "") -> DataFrame:
     """Standardise with the population std (one stats row, attached by broadcast); constant → 0."""
     src = {c: (F.log1p(F.col(c).cast("double")) if log1p else F.col(c).cast("double")) for c in cols}

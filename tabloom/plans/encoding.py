@@ -109,6 +109,22 @@ def _uniform_sql(i):
     return f"((('0x' || substr(md5(concat_ws(':', '42.{i}', CAST(c_custkey AS VARCHAR))), 1, 8))::BIGINT + 1) / 4294967297.0::DOUBLE)"
 
 
+@query("enc_target_oof", f"""
+WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 50 <> 0 THEN c_nationkey END AS v, CAST(c_mktsegment = 'BUILDING' AS BIGINT) AS target,
+                  ('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 8))::BIGINT % 5 AS fold FROM customer),
+f AS (SELECT DISTINCT fold FROM c),
+pr AS (SELECT f.fold, avg(target) AS prior FROM f JOIN c ON c.fold <> f.fold GROUP BY f.fold),
+st AS (SELECT f.fold, v, count(*) AS n, avg(target) AS m FROM f JOIN c ON c.fold <> f.fold WHERE v IS NOT NULL GROUP BY f.fold, v),
+e AS (SELECT c_custkey, c.fold, coalesce(prior * (1 - 1 / (1 + exp(-(n - 10) / 5.0))) + m * (1 / (1 + exp(-(n - 10) / 5.0))), prior) AS te
+      FROM c JOIN pr USING (fold) LEFT JOIN st ON st.fold = c.fold AND st.v = c.v)
+SELECT c_custkey, fold, te, te * (1 + 0.02::DOUBLE * sqrt(-2 * ln({_uniform_sql(1)})) * cos({_uniform_sql(2)} * 6.283185307179586::DOUBLE)) AS te_noisy FROM e""")
+def q_enc_target_oof(spark, d):
+    from ..functions.semantics import portable_hash
+    c = _cust(spark, d).select("c_custkey", F.when(F.col("c_custkey") % 50 != 0, F.col("c_nationkey")).alias("v"), "target").withColumn("fold", portable_hash("c_custkey") % 5)
+    plain = E.target_encode_oof(c, "v", "target", "fold", min_samples_leaf=10, smoothing=5.0, out="te")
+    return E.add_noise(plain, "te", "c_custkey", 0.02, seed=42, out="te_noisy").select("c_custkey", "fold", "te", "te_noisy")
+
+
 @query("enc_noise", f"""SELECT c_custkey, c_acctbal,
   c_acctbal * (1 + 0.01::DOUBLE * sqrt(-2 * ln({_uniform_sql(1)})) * cos({_uniform_sql(2)} * 6.283185307179586::DOUBLE)) AS c_acctbal_noisy
 FROM customer""")

@@ -247,3 +247,24 @@ def q_fs_model_loop(spark, d):
     left = ML.prune_by_model(t, FEATURES, "target", auc=0.7, maxIter=5, maxDepth=2, seed=1)
     return spark.createDataFrame([(f,) for f in FEATURES], "feature string").withColumn(
         "dropped_by_model", F.col("feature").isin(left).cast("int"))
+
+
+@query("ml_saved_pipeline", """
+WITH c AS (SELECT c_custkey, c_nationkey, CASE WHEN c_custkey % 9 <> 0 THEN c_acctbal END AS bal, CAST(c_nationkey AS DOUBLE) AS nat FROM customer),
+f AS (SELECT c_custkey, c_nationkey, coalesce(bal, avg(bal) OVER ()) AS bal, nat FROM c),
+s AS (SELECT avg(bal) AS mb, stddev_samp(bal) AS sb, avg(nat) AS mn, stddev_samp(nat) AS sn FROM f)
+SELECT c_custkey, round((bal - mb) / sb, 9) + 0.0::DOUBLE AS z_bal, round((nat - mn) / sn, 9) + 0.0::DOUBLE AS z_nat FROM f, s""")
+def q_ml_saved_pipeline(spark, d):
+    """A fitted pipeline (column choice, imputer, assembler, scaler) written, loaded and applied."""
+    import uuid
+
+    from pyspark.ml.functions import vector_to_array
+
+    from ..operators import pipelines as P
+    from ..session import ensure_checkpoint_dir
+    c = table(spark, d, "customer")
+    c = c.withColumn("bal", F.when(F.col("c_custkey") % 9 != 0, F.col("c_acctbal"))).withColumn("nat", F.col("c_nationkey").cast("double"))
+    model = P.scaled_features(["c_custkey"], ["bal", "nat"]).fit(c)
+    loaded = P.save_and_load(model, f"{ensure_checkpoint_dir(spark).rstrip('/')}/tabloom-stage/pipeline-{uuid.uuid4().hex}")
+    z = vector_to_array("features")
+    return loaded.transform(c).select("c_custkey", *[(F.round(z[i], 9) + 0.0).alias(n) for i, n in enumerate(["z_bal", "z_nat"])])

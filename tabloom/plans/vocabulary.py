@@ -184,13 +184,50 @@ _tfidf_variant("vz_tfidf_bigrams", 1, 2, 10, 15_000, False, True)
 _tfidf_variant("vz_tfidf_binary", 1, 4, 5, 200_000, True, True)
 
 
-@query("vz_union")
+def _bag_sql(terms, min_df, max_features, tfidf=False):
+    """(rows, width) of a text block."""
+    voc = _vocab_sql(terms, min_df, max_features)
+    if tfidf:
+        rows = f"""WITH {voc}, n AS (SELECT count(*) AS n FROM documents),
+c AS (SELECT x.doc_id, voc.term_id, count(*) * (ln((1 + any_value(n.n)) / (1 + any_value(voc.df))) + 1) AS w FROM x JOIN voc USING (term), n GROUP BY 1, 2)
+SELECT doc_id, term_id AS i, w / nullif(sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 0) AS v FROM c"""
+    else:
+        rows = f"WITH {voc} SELECT DISTINCT x.doc_id, voc.term_id AS i, 1.0::DOUBLE AS v FROM x JOIN voc USING (term)"
+    return rows, f"SELECT count(*) FROM (WITH {voc} SELECT * FROM voc)"
+
+
+_HEAD_TERMS = f"SELECT doc_id, list_filter(list_slice(tk, 1, 12), lambda t: NOT list_contains({_STOP_LIST}, t)) AS terms FROM ({DOCS_TK})"
+_UNI_BI = f"SELECT doc_id, list_concat({_ngram_sql(1)}, {_ngram_sql(2)}) AS terms FROM (SELECT doc_id, list_filter(tk, lambda t: NOT list_contains({_STOP_LIST}, t)) AS tk FROM ({DOCS_TK}))"
+_PARAMS = f"SELECT doc_id, list_concat({_ngram_sql(2)}, {_ngram_sql(3)}) AS terms FROM (SELECT doc_id, [lang, source] || list_slice({TK}, 1, 2) AS tk FROM documents)"
+_BUCKET = "('0x' || substr(md5('{c}=' || coalesce(CAST({c} AS VARCHAR), 'nan')), 1, 8))::BIGINT % 3000"
+
+
+def _union_sql():
+    blocks = [("SELECT doc_id, unnest([0, 1]) AS i, unnest([length(text), n_chars])::DOUBLE AS v FROM documents", "SELECT 2"),
+              (f"SELECT doc_id, unnest([{_BUCKET.format(c='source')}, {_BUCKET.format(c='lang')}]) AS i, 1.0::DOUBLE AS v FROM documents", "SELECT 3000"),
+              ("SELECT doc_id, k - 1 AS i, 1.0::DOUBLE AS v FROM documents JOIN (SELECT lang, row_number() OVER (ORDER BY lang) AS k FROM (SELECT DISTINCT lang FROM documents)) USING (lang)",
+               "SELECT count(DISTINCT lang) FROM documents"),
+              _bag_sql(_HEAD_TERMS, 10, 2500), _bag_sql(_UNI_BI, 10, 15000, True), _bag_sql(_PARAMS, 25, 30)]
+    ctes = ", ".join(f"b{k} AS ({rows}), w{k} AS (SELECT ({width}) AS w)" for k, (rows, width) in enumerate(blocks))
+    off = lambda k: " + ".join(["0", *[f"(SELECT w FROM w{j})" for j in range(k)]])
+    union = " UNION ALL ".join(f"SELECT doc_id, i + {off(k)} AS i, v FROM b{k}" for k in range(len(blocks)))
+    return f"""WITH {ctes}, u AS ({union})
+SELECT doc_id, ({off(len(blocks))})::BIGINT AS size, i::BIGINT AS index, sum(v) AS value FROM u GROUP BY doc_id, i HAVING sum(v) <> 0"""
+
+
+@query("vz_union", _union_sql())
 def q_vz_union(spark, d):
-    from ..operators.encode import hash_vector, one_hot_vector
-    docs = table(spark, d, "documents").select("doc_id", "lang", "source", F.length("text").alias("n_chars"))
-    x = one_hot_vector(docs, ["lang"], out="oh")
-    x = hash_vector(x, ["source"], 64, out="hs")
-    return V.assemble(x, ["n_chars", "oh", "hs"]).select("doc_id", F.col("features").cast("string").alias("features"))
+    """Two numbers, 3,000 hash buckets, a one-hot and three text blocks in one sparse vector per document, given out cell by cell."""
+    docs = table(spark, d, "documents").select("doc_id", X.tokens(F.lower("text")).alias("tk"), "text", "lang", "source", "n_chars")
+    plain = F.filter("tk", lambda t: ~t.isin(["the", "a", "an", "and", "of", "to", "in", "is", "it"]))
+    head = F.filter(F.slice("tk", 1, 12), lambda t: ~t.isin(["the", "a", "an", "and", "of", "to", "in", "is", "it"]))
+    params = F.concat(F.array("lang", "source"), F.slice("tk", 1, 2))
+    blocks = [V.dense_block(docs.withColumn("n_text", F.length("text")), "doc_id", ["n_text", "n_chars"]), V.hash_block(docs, "doc_id", ["source", "lang"], 3000),
+              V.one_hot_block(docs, "doc_id", "lang"), V.text_block(docs, "doc_id", head, "head", 10, 2500),
+              V.text_block(docs.withColumn("plain", plain), "doc_id", V.ngram_range(F.col("plain"), 1, 2), "body", 10, 15000, tfidf=True),
+              V.text_block(docs.withColumn("params", params), "doc_id", V.ngram_range(F.col("params"), 2, 3), "params", 25, 30)]
+    v = V.sparse_union(blocks, "doc_id")
+    return v.select("doc_id", "size", F.explode(F.arrays_zip("indices", "values")).alias("x")).select("doc_id", "size", F.col("x.indices").alias("index"), F.col("x.values").alias("value"))
 
 
 @query("nm_log1p_scale", """
