@@ -136,12 +136,21 @@ def profile_two_level(df: DataFrame, inner, outer, spec: Mapping[str, Sequence[s
 def profile_children(child: DataFrame, parent: DataFrame, pid: str, cid: str,
                      child_spec: Mapping[str, Sequence[str]],
                      parent_stats: Sequence[str] = ("mean",), child_prefix: str = "",
-                     prefix: str = "") -> DataFrame:
-    """child → per parent id → left join parent → per customer id."""
+                     prefix: str = "", parent_cols: Sequence[str] = (), parent_onehot: Sequence[str] = ()) -> DataFrame:
+    """child → per parent id → left join parent → per customer id.
+
+    The parent's own numeric columns (``parent_cols``) get the same statistics
+    as the children's; its categories (``parent_onehot``) one mean per value.
+    """
+    from .encode import one_hot
     c = profile(child, pid, child_spec, child_prefix)
-    p = parent.select(pid, cid).join(c, pid, "left").drop(pid)
-    cols = [x for x in p.columns if x != cid]
-    return profile(p, cid, {x: list(parent_stats) for x in cols}, prefix)
+    p = parent.select(pid, cid, *parent_cols, *parent_onehot)
+    flags: list[str] = []
+    if parent_onehot:
+        p, flags = one_hot(p, parent_onehot)
+    p = p.join(c, pid, "left").drop(pid)
+    cols = [x for x in p.columns if x != cid and x not in flags]
+    return profile(p, cid, {x: list(parent_stats) for x in cols} | {x: ["mean"] for x in flags}, prefix)
 
 
 def profile_subsets(df: DataFrame, key, subsets: Mapping[str, Column],

@@ -1,9 +1,8 @@
 """Equi-joins.
 
-Broadcast hints are only given after a size check (``sized_broadcast``);
-otherwise the join is left to the planner, where adaptive execution turns
-it into a broadcast when the shuffled side is measured to be small and
-splits skewed partitions of a sort-merge join.
+Joins carry no broadcast hints: adaptive execution turns one into a broadcast
+when the shuffled side is measured (in bytes) to be small, and splits skewed
+partitions of a sort-merge join.
 """
 from __future__ import annotations
 
@@ -12,19 +11,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def row_count_at_most(df: DataFrame, limit: int) -> bool:
-    """True when df has at most ``limit`` rows (reads at most limit+1 rows)."""
-    return df.limit(limit + 1).count() <= limit
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven ≤ max_rows, else df unchanged."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
 def join(df: DataFrame, other: DataFrame, keys, how: str = "inner") -> DataFrame:
     return df.join(other, keys, how)
 
@@ -41,12 +27,11 @@ def join_features(base: DataFrame, tables: Sequence[DataFrame], key) -> DataFram
     return out
 
 
-def join_dims(fact: DataFrame, dims: Mapping[str, DataFrame], drop_keys: bool = True,
-              max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Inner-join small dimension tables on their keys (broadcast when small)."""
+def join_dims(fact: DataFrame, dims: Mapping[str, DataFrame], drop_keys: bool = True) -> DataFrame:
+    """Inner-join dimension tables on their keys."""
     out = fact
     for key, dim in dims.items():
-        out = out.join(sized_broadcast(dim, max_rows), key, "inner")
+        out = out.join(dim, key, "inner")
         if drop_keys:
             out = out.drop(key)
     return out
@@ -58,11 +43,10 @@ def basket_join(users: DataFrame, products: DataFrame, pairs: DataFrame,
     return users.join(products.join(pairs, product_key, "inner"), user_key, "inner")
 
 
-def lookup(df: DataFrame, col: str, table: DataFrame, key: str, value: str, out: str,
-           max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def lookup(df: DataFrame, col: str, table: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """``series.map(dict)``: left join against a (key, value) table."""
     t = table.select(F.col(key).alias("_lk"), F.col(value).alias(out))
-    return df.join(sized_broadcast(t, max_rows), F.col(col) == F.col("_lk"), "left").drop("_lk")
+    return df.join(t, F.col(col) == F.col("_lk"), "left").drop("_lk")
 
 
 def missing_ids(df: DataFrame, other: DataFrame, key: str, other_key: str | None = None) -> DataFrame:

@@ -15,20 +15,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.semantics import bound
-from ..session import ensure_checkpoint_dir
 
 #: Largest dictionary that becomes a constant: entries, and bytes of their keys.
 MAX_ROWS, MAX_BYTES = 200_000, 8 << 20
 
 
-def constant_map(pairs: DataFrame, key: str, value: str, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> Callable[[Column], Column] | None:
-    """``key -> value`` (integers) as a function on columns, NULL for unknown keys; None when the table exceeds the bounds.
+def constant_map(pairs: DataFrame, key: str, value: str, kind: str = "bigint", max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> Callable[[Column], Column] | None:
+    """``key -> value`` (of type ``kind``: bigint or string) as a function on columns, NULL for unknown keys; None when the table exceeds the bounds.
 
-    ``pairs`` is written first, so that measuring and reading it see the same rows.
+    ``pairs`` should be a written table: it is measured first and read then.  Of repeated keys one counts.
     """
-    ensure_checkpoint_dir(pairs.sparkSession)
-    p = pairs.select(F.col(key).alias("k"), F.col(value).cast("long").alias("v")).where("k is not null and v is not null").checkpoint()
-    n, size = p.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("k")), F.lit(0))).first()
+    p = pairs.select(F.col(key).alias("k"), F.col(value).cast(kind).alias("v")).where("k is not null and v is not null")
+    n, size = p.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("k") + F.octet_length(F.col("v").cast("string"))), F.lit(0))).first()
     if n > max_rows or size > max_bytes:
         return None
     buckets = 1 << max(0, (n - 1).bit_length())
@@ -36,7 +34,7 @@ def constant_map(pairs: DataFrame, key: str, value: str, max_rows: int = MAX_ROW
     table: list[dict] = [{} for _ in range(buckets)]
     for b, k, v in p.select(spot(F.col("k")), "k", "v").collect():
         table[b].setdefault(k, v)
-    constant = F.from_json(F.lit(json.dumps(table)), "array<map<string,bigint>>")
+    constant = F.from_json(F.lit(json.dumps(table)), f"array<map<string,{kind}>>")
     return lambda c: F.try_element_at(F.get(constant, spot(c)), c)
 
 
@@ -61,3 +59,27 @@ def first_known(tokens: Column, look: Callable[[Column], Column], n: int, last:
             return bound(whole, lambda w: F.slice(w, F.greatest(F.size(w) - n, F.lit(0)) + 1, n) if last else F.slice(w, 1, n))
         return bound(known(at, look), enough)
     return bound(tokens, search)
+
+
+#: A token in this share of all tokens is heavy; there are at most ``1 / HEAVY`` of them.
+HEAVY = 0.002
+
+
+def heavy_values(df: DataFrame, col: str, share: float = HEAVY) -> list[str]:
+    """Values that may hold ``share`` of the rows or more, found by a counted sketch in one pass (all that do, and perhaps a few others)."""
+    return [x for x in (df.where(F.col(col).isNotNull()).freqItems([col], share).first()[0] or []) if x is not None]
+
+
+def split_join(df: DataFrame, table: DataFrame, key: str, how: str = "left", share: float = HEAVY) -> DataFrame:
+    """``df.join(table, key, how)`` (left, inner or left_semi) with heavy keys kept out of the shuffle.
+
+    The few heavy keys meet their rows of ``table`` as a broadcast side, whose
+    size the sketch bounds when ``table`` has a row per key; the others are
+    shuffled, and no task gets more than its share of them.
+    """
+    heavy = heavy_values(df, key, share)
+    if not heavy:
+        return df.join(table, key, how)
+    is_heavy = F.coalesce(F.col(key).isin(heavy), F.lit(False))
+    return (df.where(is_heavy).join(F.broadcast(table.where(F.col(key).isin(heavy))), key, how)
+            .unionByName(df.where(~is_heavy).join(table.where(~F.col(key).isin(heavy)), key, how)))

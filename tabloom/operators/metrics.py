@@ -26,6 +26,11 @@ def roc_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> Da
     return s.select(*by, safe_div("_u", F.col("_P") * F.col("_N")).alias("auc"))
 
 
+def macro_auc(df: DataFrame, score: str, label: str, by: str) -> DataFrame:
+    """One row: the mean of the groups' AUC (groups where it is not defined left out) and their number."""
+    return roc_auc(df, score, label, [by]).agg(F.avg("auc").alias("macro_auc"), F.count("auc").alias("n_labels"))
+
+
 def confusion(df: DataFrame, pred: str, label: str, by: Sequence[str] = ()) -> DataFrame:
     p, y = F.col(pred), F.col(label)
     return df.groupBy(*by).agg(F.count_if((p == 1) & (y == 1)).alias("tp"), F.count_if((p == 1) & (y == 0)).alias("fp"),

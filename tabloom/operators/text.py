@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import ensure_checkpoint_dir
+from .lookup import constant_map, split_join
 
 
 def english_stopwords() -> list[str]:
@@ -81,15 +83,19 @@ def normalize_tokens(df: DataFrame, id_col: str, col: str, dictionary: DataFrame
                      lemma: str = "lemma", out: str | None = None) -> DataFrame:
     """Replace each token by its dictionary lemma (unknown tokens unchanged).
 
-    Tokens are exploded with their position, left-joined to the dictionary
-    (broadcast by adaptive execution when small; a sort-merge join with
-    skew splitting otherwise — hot tokens such as "the" are handled there)
-    and re-assembled in position order.  Rows with no tokens keep ''.
+    A dictionary within the bounds of ``lookup`` replaces tokens inside the
+    row.  A larger one (one lemma per form) meets the exploded tokens in a join
+    that keeps heavy words out of the shuffle, and the tokens are put together
+    again in position order.  Rows with no tokens keep ''.
     """
     out = out or col
+    ensure_checkpoint_dir(df.sparkSession)
+    d = dictionary.select(F.col(form).alias("_tok"), F.col(lemma).alias("_lem")).checkpoint()
+    look = constant_map(d, "_tok", "_lem", "string")
+    if look:
+        return df.withColumn(out, F.array_join(F.transform(X.tokens(F.col(col)), lambda t: F.coalesce(look(t), t)), " "))
     t = df.select(id_col, F.posexplode(X.tokens(F.col(col))).alias("_pos", "_tok"))
-    d = dictionary.select(F.col(form).alias("_tok"), F.col(lemma).alias("_lem"))
-    j = t.join(d, "_tok", "left").withColumn("_w", F.coalesce("_lem", "_tok"))
+    j = split_join(t, d, "_tok", "left").withColumn("_w", F.coalesce("_lem", "_tok"))
     back = (j.groupBy(id_col)
              .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_w"))),
                                            lambda s: s["_w"]), " ").alias("_norm")))

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.semantics import bound
-from .lookup import constant_map, first_known, known
+from ..session import ensure_checkpoint_dir
+from .lookup import constant_map, first_known, known, split_join
 from .ranking import row_number_by, top_by_count
 
 
@@ -57,9 +58,18 @@ def _reassemble(df: DataFrame, j: DataFrame, id_col: str, value: str, out: str,
 
 
 def drop_rare(df: DataFrame, id_col: str, tokens: Column | str, min_df: int = 5, out: str = "kept") -> DataFrame:
-    """Tokens with document frequency ≥ min_df, in their original order (array)."""
-    vocab = doc_freq(df, id_col, tokens, "_tok").where(F.col("df") >= min_df).select("_tok")
-    j = _explode_pos(df, id_col, tokens).join(vocab, "_tok", "left_semi")
+    """Tokens with document frequency ≥ min_df, in their original order (array).
+
+    A vocabulary within the bounds of ``lookup`` filters inside the row; a
+    larger one meets the tokens in a join that keeps heavy words apart.
+    """
+    t = F.col(tokens) if isinstance(tokens, str) else tokens
+    ensure_checkpoint_dir(df.sparkSession)
+    vocab = doc_freq(df, id_col, t, "_tok").where(F.col("df") >= min_df).select("_tok", "df").checkpoint()
+    look = constant_map(vocab, "_tok", "df")
+    if look:
+        return df.select(id_col, F.filter(t, lambda w: look(w).isNotNull()).alias(out))
+    j = split_join(_explode_pos(df, id_col, t), vocab.select("_tok"), "_tok", "left_semi")
     return _reassemble(df, j, id_col, "_tok", out, F.array().cast("array<string>"))
 
 
@@ -71,11 +81,13 @@ def encode(df: DataFrame, id_col: str, tokens: Column | str, vocab: DataFrame, m
     which ends early once ``max_len`` ids are found.  A larger one is joined.
     """
     t = F.col(tokens) if isinstance(tokens, str) else tokens
+    ensure_checkpoint_dir(df.sparkSession)
+    vocab = vocab.checkpoint()
     look = constant_map(vocab, word, idx)
     if look:
         return df.select(id_col, (first_known(t, look, max_len, last) if max_len else bound(t, lambda x: known(x, look))).alias(out))
     v = vocab.select(F.col(word).alias("_tok"), F.col(idx).cast("long").alias("_id"))
-    r = _reassemble(df, _explode_pos(df, id_col, t).join(v, "_tok", "inner"), id_col, "_id", out, F.array().cast("array<bigint>"))
+    r = _reassemble(df, split_join(_explode_pos(df, id_col, t), v, "_tok", "inner"), id_col, "_id", out, F.array().cast("array<bigint>"))
     if max_len:
         r = r.withColumn(out, F.slice(out, F.greatest(F.size(out) - max_len, F.lit(0)) + 1, max_len) if last else F.slice(out, 1, max_len))
     return r

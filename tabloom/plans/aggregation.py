@@ -81,8 +81,11 @@ def q_agg_two_level(spark, d):
 @query("agg_nested_children", """
 WITH c AS (SELECT l_orderkey AS o_orderkey, sum(l_quantity) AS LI_l_quantity_SUM, max(l_quantity) AS LI_l_quantity_MAX,
                   avg(l_discount) AS LI_l_discount_MEAN FROM lineitem GROUP BY l_orderkey),
-p AS (SELECT o.o_custkey, c.* EXCLUDE (o_orderkey) FROM orders o LEFT JOIN c USING (o_orderkey))
-SELECT o_custkey, avg(LI_l_quantity_SUM) AS CC_LI_l_quantity_SUM_MEAN, max(LI_l_quantity_SUM) AS CC_LI_l_quantity_SUM_MAX,
+p AS (SELECT o.o_custkey, o.o_totalprice, o.o_orderstatus, c.* EXCLUDE (o_orderkey) FROM orders o LEFT JOIN c USING (o_orderkey))
+SELECT o_custkey, avg(o_totalprice) AS CC_o_totalprice_MEAN, max(o_totalprice) AS CC_o_totalprice_MAX,
+       avg((o_orderstatus = 'F')::INT) AS CC_o_orderstatus_F_MEAN, avg((o_orderstatus = 'O')::INT) AS CC_o_orderstatus_O_MEAN,
+       avg((o_orderstatus = 'P')::INT) AS CC_o_orderstatus_P_MEAN, avg((o_orderstatus IS NULL)::INT) AS CC_o_orderstatus_nan_MEAN,
+       avg(LI_l_quantity_SUM) AS CC_LI_l_quantity_SUM_MEAN, max(LI_l_quantity_SUM) AS CC_LI_l_quantity_SUM_MAX,
        avg(LI_l_quantity_MAX) AS CC_LI_l_quantity_MAX_MEAN, max(LI_l_quantity_MAX) AS CC_LI_l_quantity_MAX_MAX,
        avg(LI_l_discount_MEAN) AS CC_LI_l_discount_MEAN_MEAN, max(LI_l_discount_MEAN) AS CC_LI_l_discount_MEAN_MAX
 FROM p GROUP BY o_custkey""")
@@ -90,7 +93,8 @@ def q_agg_nested_children(spark, d):
     child = T(spark, d, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
     return A.profile_children(child, T(spark, d, "orders"), "o_orderkey", "o_custkey",
                               {"l_quantity": ["sum", "max"], "l_discount": ["mean"]},
-                              parent_stats=["mean", "max"], child_prefix="LI_", prefix="CC_")
+                              parent_stats=["mean", "max"], child_prefix="LI_", prefix="CC_",
+                              parent_cols=["o_totalprice"], parent_onehot=["o_orderstatus"])
 
 
 def _cond_sql(pre, cond):

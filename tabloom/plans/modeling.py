@@ -93,18 +93,29 @@ def q_ml_vote_mean(spark, d):
     return ML.vote(s, "doc_id", ["m1", "m2", "m3"])
 
 
-@query("mt_auc", f"""WITH {SCORE_SQL},
+_AUC_SQL = f"""WITH {SCORE_SQL},
 x AS (SELECT score, 'toxic' AS lab, toxic AS y FROM sc WHERE score IS NOT NULL
       UNION ALL SELECT score, 'quality', quality FROM sc WHERE score IS NOT NULL),
 c AS (SELECT lab, score, count_if(y = 1) AS p, count_if(y = 0) AS n FROM x GROUP BY 1, 2),
 r AS (SELECT *, sum(n) OVER (PARTITION BY lab ORDER BY score ROWS UNBOUNDED PRECEDING) AS cn FROM c)
-SELECT lab, sum(p * (cn - n + 0.5 * n)) / nullif(sum(p) * sum(n), 0) AS auc FROM r GROUP BY lab""")
+SELECT lab, sum(p * (cn - n + 0.5 * n)) / nullif(sum(p) * sum(n), 0) AS auc FROM r GROUP BY lab"""
+
+
+@query("mt_auc", _AUC_SQL)
 def q_mt_auc(spark, d):
+    return M.roc_auc(_labelled(spark, d), "score", "y", by=["lab"])
+
+
+def _labelled(spark, d):
+    """Both labels from one pass over the scored documents."""
     s = scored(spark, d).where(F.col("score").isNotNull())
-    # both labels from one pass over the scored documents
     pairs = F.array(*[F.struct(F.lit(c).alias("lab"), F.col(c).alias("y")) for c in ("toxic", "quality")])
-    x = s.select("score", F.inline(pairs))
-    return M.roc_auc(x, "score", "y", by=["lab"])
+    return s.select("score", F.inline(pairs))
+
+
+@query("mt_auc_macro", f"""SELECT avg(auc) AS macro_auc, count(auc) AS n_labels FROM ({_AUC_SQL})""")
+def q_mt_auc_macro(spark, d):
+    return M.macro_auc(_labelled(spark, d), "score", "y", "lab")
 
 
 @query("mt_f1", f"""WITH {SCORE_SQL}
@@ -153,7 +164,8 @@ def q_mt_scores_table(spark, d):
 # ------------------------------------------------------------------ model fits (rows-only)
 def _train(spark, d):
     t = feature_table(spark, d).fillna(0.0, FEATURES)
-    return ML.assemble(ML.add_fold(t, "c_custkey", 5), FEATURES)
+    # every fit and every prediction reads it: written once
+    return ML.assemble(ML.add_fold(t, "c_custkey", 5), FEATURES).checkpoint()
 
 
 @query("ml_gbt_binary")
@@ -189,7 +201,7 @@ def q_ml_logreg(spark, d):
 def _oof(spark, d):
     t = _train(spark, d)
     return ML.cross_predict(t.where("is_train = 1"), t.where("is_train = 0"), "c_custkey",
-                            lambda x: ML.fit_gbt(x, "features", "target", maxIter=5, maxDepth=3, seed=1), k=5)
+                            lambda x: ML.fit_gbt(x, "features", "target", maxIter=10, maxDepth=3, seed=1), k=5)
 
 
 @query("ml_oof")
@@ -215,7 +227,6 @@ def q_ml_top_coef(spark, d):
     from ..operators import vectorize as V
     docs = table(spark, d, "documents").select("doc_id", X.tokens(F.lower("text")).alias("tk"))
     lab = docs.join(table(spark, d, "labels").select("doc_id", "toxic"), "doc_id")
-    voc = V.select_vocab(lab, "doc_id", F.col("tk"), 5, 2000)
     vec, cv = V.count_vector(lab, "tk", "features", binary=True, min_df=5.0, vocab_size=2000)
     m = ML.fit_logreg(vec, "features", "toxic", C=20.0)
     vocab = spark.createDataFrame(list(enumerate(cv.vocabulary)), "term_id long, term string")
@@ -243,7 +254,7 @@ def q_ml_param_search(spark, d):
 
 @query("fs_model_loop")
 def q_fs_model_loop(spark, d):
-    t = feature_table(spark, d).fillna(0.0, FEATURES)
+    t = feature_table(spark, d).fillna(0.0, FEATURES).checkpoint()
     left = ML.prune_by_model(t, FEATURES, "target", auc=0.7, maxIter=5, maxDepth=2, seed=1)
     return spark.createDataFrame([(f,) for f in FEATURES], "feature string").withColumn(
         "dropped_by_model", F.col("feature").isin(left).cast("int"))

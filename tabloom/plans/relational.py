@@ -178,6 +178,14 @@ def q_prj_narrow_schema(spark, d):
     return P.narrow_plan_table(li)
 
 
+@query("prj_narrow_table", """
+SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_partkey AS BIGINT) AS l_partkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+       CAST(l_quantity AS FLOAT) AS l_quantity, CAST(l_extendedprice AS FLOAT) AS l_extendedprice, CAST(l_discount AS FLOAT) AS l_discount FROM lineitem""")
+def q_prj_narrow_table(spark, d):
+    """The table itself in the types of its plan."""
+    return P.narrow_schema(T(spark, d, "lineitem").select(*_NARROW_COLS))
+
+
 # ------------------------------------------------------------------ filters / nulls
 @query("flt_predicate", """
 SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem

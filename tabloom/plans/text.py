@@ -217,3 +217,19 @@ def q_cl_lemma_join(spark, d):
     docs = _docs(spark, d)
     low = docs.select("doc_id", F.lower("text").alias("text"))
     return TO.normalize_tokens(low, "doc_id", "text", lemma_table(docs), out="clean").select("doc_id", "clean")
+
+
+_FULL = X.full_steps(STOP)
+_CUT = [n for n, _ in _FULL].index("stopwords") + 1
+
+
+@query("cl_profile_full_lemma", f"""WITH {_LEMMA_SQL.strip()},
+pre AS ({clean_sql(_FULL[:_CUT])}),
+tok AS (SELECT doc_id, unnest(tk) AS t, generate_subscripts(tk, 1) AS pos FROM (SELECT doc_id, {s_tokens('clean')} AS tk FROM pre)),
+n AS (SELECT doc_id, string_agg(coalesce(lem.lemma, tok.t), ' ' ORDER BY pos) AS x FROM tok LEFT JOIN lem ON tok.t = lem.form GROUP BY doc_id),
+lemmas AS (SELECT pre.doc_id, coalesce(n.x, '') AS text FROM pre LEFT JOIN n USING (doc_id))
+SELECT doc_id, clean FROM ({clean_sql(_FULL[_CUT:]).replace("FROM documents", "FROM lemmas")})""")
+def q_cl_profile_full_lemma(spark, d):
+    """The whole cleaner with its lemma step between stop words and the last strips."""
+    docs = _docs(spark, d)
+    return TO.clean_full(docs, "text", STOP, out="clean", lemmas=lemma_table(docs), id_col="doc_id").select("doc_id", "clean")
