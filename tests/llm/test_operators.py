@@ -202,6 +202,24 @@ def brute_spans(texts, length):
     return out
 
 
+def brute_shared(texts, length):
+    """(bytes covered by a string that also stands in a different text, longest run of them)."""
+    data = [(t or "").encode() for t in texts]
+    where = defaultdict(set)
+    for b in set(data):
+        for p in range(len(b) - length + 1):
+            where[b[p:p + length]].add(b)
+    out = []
+    for b in data:
+        cover = np.zeros(len(b) + 1, dtype=bool)
+        for p in range(len(b) - length + 1):
+            if len(where[b[p:p + length]]) > 1:
+                cover[p:p + length] = True
+        runs = [len(x) for x in re.findall("1+", "".join("1" if x else "0" for x in cover))]
+        out.append((sum(runs), max(runs, default=0)))
+    return out
+
+
 @pytest.mark.parametrize("hot", [50_000, 2])
 def test_suffix_dedup_small_strings(spark, monkeypatch, hot):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
@@ -215,14 +233,17 @@ def test_suffix_dedup_small_strings(spark, monkeypatch, hot):
             a, z = sorted(rng.randrange(len(c) + 1) for _ in range(2))
             t += rng.choice([c, c[a:z], "".join(rng.choice("abcdé") for _ in range(rng.randrange(25)))])
         texts.append(t)
-    got = rows(suffix_dedup.dedup(table(spark, texts), 20, 6))
-    assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got] == brute_spans(texts, 20)
+    for shared in (20, 13):
+        got = rows(suffix_dedup.dedup(table(spark, texts), 20, 6, shared=shared))
+        assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got] == brute_spans(texts, 20)
+        assert [(r["n_shared"], r["longest_shared"]) for r in got] == brute_shared(texts, shared)
 
 
 def test_suffix_dedup_default(spark, odd, small):
     texts = odd + list(small[1].values())
     got = rows(suffix_dedup.dedup(table(spark, texts)))
     assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got] == brute_spans(texts, 400)
+    assert [(r["n_shared"], r["longest_shared"]) for r in got] == brute_shared(texts, 200)
 
 
 def test_deep_shallow_order():
