@@ -517,6 +517,23 @@ def test_piece_codec(spark, odd, small):
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_long_words_are_not_kept(monkeypatch):
+    """Texts without blanks are one word each: what is kept between texts must not grow with them."""
+    import sentencepiece
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp, c, rng = sentencepiece.SentencePieceProcessor(model_file=path), piece_codec.PieceCodec(path), random.Random(9)
+    monkeypatch.setattr(piece_codec, "UNITS_KEPT", 50)
+    monkeypatch.setattr(piece_codec, "PAIRS_KEPT", 500)
+    for i in range(200):
+        t = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(500)) + (f" \u2028odd{i}\u200b." if i % 2 else "")
+        ids = sp.encode(t)
+        assert c.listing(t) == (len(ids), ",".join(map(str, ids)), sp.decode(ids))
+        assert max(map(len, [*c.units, *c.units.old, *c.odd]), default=0) <= piece_codec.LONGEST
+        assert len(c.odd) <= 60 and c.pairs <= 5000
+        ngram_join.word_hashes(t)
+    assert max(map(len, ngram_join._WORD_HASHES)) <= 48
+
+
 def test_piece_decode_of_any_ids():
     import sentencepiece
     sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
@@ -545,31 +562,52 @@ def test_fingerprints(spark, odd, small, monkeypatch, range_rows):
 
         def near(a, b):
             a, b = ({x[k:k + 16] for k in range(0, len(x), 16)} for x in (a, b))
-            both = sorted(a | b, key=lambda h: int(h, 16) - (1 << 64) * (h[0] in "89abcdef"))[:syncmers.SIZE]
-            return len(set(both) & a & b) / len(both) if both else 1.0
+            return len(a & b) / len(a | b) if a | b else 1.0
         assert r["near_edited"] == pytest.approx(near(r["fingerprint"], r["edited_fingerprint"]))
         assert r["near_next"] == pytest.approx(near(r["fingerprint"], got[i - 1]["fingerprint"]))
     assert all(len(f) == 1 for f in by_text.values())
     longer = [r for r in got if r["n_chars"] > 2000]
     assert sum(r["near_edited"] > r["near_next"] for r in longer) >= 0.9 * len(longer)
+    assert all(r["placed_edited"] >= 0.2 for r in longer if len(r["fingerprint"]) > 1600)
+
+
+def brute_anchors(spark, text, k=syncmers.K, s=syncmers.S):
+    """{(k-mer's words, place)} of the closed syncmers, with the engine's hashes of the inner substrings."""
+    w = WORD.findall(text)
+    subs = {tuple(w[i:i + s]) for i in range(len(w) - s + 1)}
+    hashed = spark.createDataFrame([(list(x),) for x in subs], "w array<string>").select("w", F.xxhash64(*[F.xxhash64(F.col("w")[j]) for j in range(s)]).alias("h")) if subs else None
+    h = {tuple(r["w"]): r["h"] for r in hashed.collect()} if subs else {}
+    out = set()
+    for i in range(len(w) - k + 1):
+        inner = [h[tuple(w[i + j:i + j + s])] for j in range(k - s + 1)]
+        if min(inner) in (inner[0], inner[-1]):
+            out.add((tuple(w[i:i + k]), i))
+    return out
 
 
-def test_anchors_against_brute_force(spark):
-    rng = random.Random(7)
-    words = [f"w{i}" for i in range(60)]
-    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(0, 40))) for _ in range(40)]
-    vocab = {r["w"]: r["h"] for r in spark.createDataFrame([(w,) for w in words], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
-    d = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
-    subs = d.select("i", F.split("t", " ").alias("w")).select("i", F.posexplode(F.transform("w", lambda w: F.xxhash64(w))).alias("p", "h")).where("h is not null")
-    hs = defaultdict(dict)
-    for r in subs.collect():
-        hs[r["i"]][r["p"]] = r["h"]
-    pair = {(r["a"], r["b"]): r["x"] for r in spark.createDataFrame([(vocab[a], vocab[b]) for a in words for b in words], "a long, b long").select("a", "b", F.xxhash64("a", "b").alias("x")).collect()}
-    for r in d.select("i", syncmers.anchors(F.col("t"), 4, 2).alias("a")).collect():
-        w = texts[r["i"]].split()
-        want = []
-        for p in range(len(w) - 3):
-            inner = [pair[vocab[w[p + j]], vocab[w[p + j + 1]]] for j in range(3)]
-            if min(inner[0], inner[-1]) <= inner[1]:
-                want.append(p)
-        assert [x["position"] for x in r["a"]] == want
+def test_fingerprints_see_one_word_in_a_long_text(spark):
+    rng = random.Random(8)
+    a = " ".join(f"w{rng.randrange(5000)}" for _ in range(20_000)).split(" ")
+    b = a[:9000] + ["other"] + a[9001:]
+    got = rows(syncmers.fingerprints(table(spark, [" ".join(a), " ".join(b)], [2, 1])))
+    near = {r["doc_id"]: r for r in got}
+    assert near[1]["fingerprint"] != near[2]["fingerprint"]
+    x, y = ({g for g, _ in brute_anchors(spark, " ".join(t))} for t in (a, b))
+    assert near[2]["near_next"] == pytest.approx(len(x & y) / len(x | y)) and near[2]["near_next"] < 1
+    x, y = (brute_anchors(spark, " ".join(t)) for t in (a, b))
+    assert near[2]["placed_next"] == pytest.approx(len(x & y) / len(x | y))
+
+
+def test_fingerprints_of_any_ids(spark, monkeypatch):
+    monkeypatch.setattr(syncmers, "RANGE_ROWS", 3)
+    texts = [f"text number {i} of some {i * 7} words" for i in range(40)]
+    ids = [None if i % 3 == 0 else f"id{i // 2:02d}" for i in range(40)]
+    d = spark.createDataFrame(list(zip(ids, texts)), "doc_id string, text string").repartition(3)
+    got = syncmers.fingerprints(d).collect()
+    tie = {r["text"]: r["h"] for r in d.select("text", F.xxhash64("text").alias("h")).collect()}
+    order = sorted(zip(ids, texts), key=lambda r: (r[0] is not None, r[0] or "", -1 - tie[r[1]]), reverse=True)
+    want = Counter()
+    for (i, t), (_, n) in zip(order, order[1:] + order[:1]):
+        half = len(t) // 2
+        want[i, hashlib.sha256((t[:len(t) - half] + n[:half]).encode()).hexdigest()] += 1
+    assert Counter((r["doc_id"], r["edited_sha256"]) for r in got) == want
