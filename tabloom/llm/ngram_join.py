@@ -66,11 +66,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class _WordHashes(dict):
+    """Hashes of words; short ones are kept, so many at most."""
+
     def __missing__(self, word: str) -> int:
         import xxhash
-        if len(self) > 500_000:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
+        h = xxhash.xxh64_intdigest(word)
+        if len(word) <= 48:
+            if len(self) > 500_000:
+                self.clear()
+            self[word] = h
         return h
 
 

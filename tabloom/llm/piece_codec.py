@@ -30,15 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE_MARK = "▁"
-#: Words kept per process.
-UNITS_KEPT = 600_000
+#: Words kept per process, the longest that are, and pairs of pieces kept.
+UNITS_KEPT, LONGEST, PAIRS_KEPT = 600_000, 48, 4_000_000
 #: Characters of a unit's beginning whose prefix table is kept.
 HEAD = 7
 _CODECS: dict = {}
 
 
 class _Words(dict):
-    """Results per word, in two generations: the older one goes when the younger is full, words in use move on."""
+    """Results per word, in two generations: the older one goes when the younger is full, words in use move on.  Long words are not kept."""
 
     def __init__(self, make, most: int):
         super().__init__()
@@ -48,6 +48,8 @@ class _Words(dict):
         got = self.old.get(word)
         if got is None:
             got = self.make(word)
+        if len(word) > LONGEST:
+            return got
         if len(self) >= self.most // 2:
             self.old = dict(self)
             self.clear()
@@ -91,6 +93,8 @@ class PieceCodec:
         self.lengths = [len(p) for p in self.pieces]
         self.units = _Words(self._word, UNITS_KEPT)
         self.odd: dict[str, str] = {}
+        self.odd_here: dict[str, str] = {}  # the same of words that are not kept: for the text at hand
+        self.pairs = 0
         self.heads: dict[str, list[int]] = {}
         inside = {a + b for p in self.ids for a, b in zip(p, p[1:])}
         self.inside = inside
@@ -157,6 +161,7 @@ class PieceCodec:
                     fits = compatible[piece].get(before)
                     if fits is None:
                         fits = compatible[piece][before] = self._pair_fits(pieces[before], pieces[piece])
+                        self.pairs += 1
                     if fits:
                         last[end] = piece
         if n >= HEAD and head not in self.heads:
@@ -228,8 +233,9 @@ class PieceCodec:
         if stem != word and stem[-1:].isalpha():  # no piece holds a letter and what follows it: two units
             rest = word[len(stem):]
             ids = f"{self.units[stem]},{self.units[rest]}"
-            if stem in self.odd or rest in self.odd:
-                self.odd[word] = self.odd.get(stem, stem) + self.odd.get(rest, rest)
+            text = self._decoded(stem) + self._decoded(rest)
+            if text != word:
+                (self.odd if len(word) <= LONGEST else self.odd_here)[word] = text
             return ids
         ids, plain = self.encode_word(word)
         if plain:
@@ -237,18 +243,32 @@ class PieceCodec:
         else:
             text = self.decode([self.ids["a"], *ids])[1:].replace(" ", SPACE_MARK)  # inside a text no space is dropped
         if text != word:
-            self.odd[word] = text
+            (self.odd if len(word) <= LONGEST else self.odd_here)[word] = text
         return ",".join(map(str, ids))
 
+    def _decoded(self, word: str) -> str:
+        return self.odd_here.get(word) or self.odd.get(word, word)
+
+    def _make_room(self) -> None:
+        """What is kept between texts stays bounded: words and their odd texts go together."""
+        self.odd_here.clear()
+        if len(self.odd) > UNITS_KEPT:
+            self.units.clear()
+            self.units.old = {}
+            self.odd.clear()
+        if self.pairs > PAIRS_KEPT:
+            self.compatible, self.pairs = [{} for _ in self.pieces], 0
+
     def listing(self, text: str) -> tuple[int, str, str]:
         """(number of ids, ids joined by commas, decoded text)."""
         if not text:
             return 0, "", ""
+        self._make_room()
         marked = (SPACE_MARK if self.dummy_prefix else "") + text.replace(" ", SPACE_MARK)
         words = self.word.findall(marked) if self.word else [marked]
         ids = ",".join(map(self.units.__getitem__, words))
         # a word's ids are decoded when it is first met; what differs from the word itself is kept apart
-        decoded = marked if not self.odd else "".join([self.odd.get(w, w) for w in words])
+        decoded = marked if not (self.odd or self.odd_here) else "".join([self._decoded(w) for w in words])
         decoded = decoded.replace(SPACE_MARK, " ")
         return ids.count(",") + 1, ids, decoded[1:] if self.dummy_prefix else decoded
 
