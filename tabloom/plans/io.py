@@ -40,6 +40,17 @@ def q_io_read_compressed(spark, d):
     return IO.read_table(spark, p, ORDERS_SCHEMA, compression="gzip")
 
 
+@query("io_read_zip", "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders")
+def q_io_read_zip(spark, d):
+    """Orders written to zip archives and three of their columns read back, one partition per archive member."""
+    from ..sources import zipfiles as Z
+    p = IO.stage_dir(spark, "orders_zip")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
+    Z.write_zip(o.repartition(4), p)
+    return Z.read_zip(spark, p, "o_orderkey long, o_custkey long, o_orderpriority string, o_totalprice double", columns=["o_totalprice", "o_orderkey", "o_orderpriority"]) \
+        .select("o_orderkey", "o_orderpriority", "o_totalprice")
+
+
 @query("io_read_columns", "SELECT o_orderkey, o_totalprice FROM orders")
 def q_io_read_columns(spark, d):
     return table(spark, d, "orders").select("o_orderkey", "o_totalprice")
