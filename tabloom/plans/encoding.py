@@ -56,12 +56,19 @@ def q_enc_onehot_dense(spark, d):
     return out
 
 
-@query("enc_onehot_sparse")
+@query("enc_onehot_sparse", """
+WITH s AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS k FROM (SELECT DISTINCT c_mktsegment AS v FROM customer)),
+n AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS k FROM (SELECT DISTINCT CAST(c_nationkey AS VARCHAR) AS v FROM customer))
+SELECT c_custkey, (SELECT count(*) + 1 FROM s) + (SELECT count(*) + 1 FROM n) AS size, s.k || ',' || ((SELECT count(*) + 1 FROM s) + n.k) AS ones
+FROM customer JOIN s ON s.v = c_mktsegment JOIN n ON n.v = CAST(c_nationkey AS VARCHAR)""")
 def q_enc_onehot_sparse(spark, d):
+    """Size of the vector (a place for unseen values per column included) and the places that hold one."""
     c = T(spark, d, "customer").select("c_custkey", "c_mktsegment", F.col("c_nationkey").cast("string").alias("nation"))
     v = E.one_hot_vector(c, ["c_mktsegment", "nation"])
     from pyspark.ml.functions import vector_to_array
-    return v.select("c_custkey", vector_to_array("onehot").alias("onehot"))
+    v = v.select("c_custkey", vector_to_array("onehot").alias("x"))
+    ones = F.filter(F.transform("x", lambda e, i: F.when(e == 1.0, i)), lambda i: i.isNotNull())
+    return v.select("c_custkey", F.size("x").alias("size"), F.array_join(ones.cast("array<string>"), ",").alias("ones"))
 
 
 @query("enc_hash", """
