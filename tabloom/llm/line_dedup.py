@@ -22,7 +22,9 @@ a run; null and empty texts are kept as they are with 0 deletions; documents
 with fewer than ``window`` such lines lose nothing; a document is an id with a
 text, so rows that share an id (or have none) but not their text are cut each
 on its own, in the order of a hash of the text, and rows that repeat both get
-the same result; empty tables give empty ones.
+the same result; empty tables give empty ones.  A very long text is one row whose
+lines become windows one by one.  Other columns are kept; their names must not
+begin with two underscores (callers with such names carry the row as a struct).
 """
 from __future__ import annotations
 

@@ -24,7 +24,8 @@ without a word (null and empty among them) are linked to none, also not to
 each other; a document is an id with a text, so rows that share an id (or have
 none) are compared each with its own text (``near_duplicate_rows``), and rows
 that repeat both are one document; ``near_duplicates`` sums the documents of an
-id up; empty tables give empty ones.
+id up; empty tables give empty ones.  A very long text is one set of n-grams, sent
+once per band kept; words of any length are hashed.  Other columns are not read.
 
 A class goes by the first 64 bits of its 128-bit hash.  Its text is taken from
 one of its documents, found by id and text hash; a Python task sends each class

@@ -16,7 +16,8 @@ salted numbering and looks its place up, so no length, however frequent,
 meets in one task.
 
 Defined results: null texts are empty; an empty text is the single id 2;
-repeated rows are packed as rows; empty tables give empty tables.
+repeated rows are packed as rows; empty tables give empty tables.  Very long texts
+are cut into pieces of ``capacity`` ids; other columns are not read.
 """
 from __future__ import annotations
 

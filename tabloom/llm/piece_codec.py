@@ -16,8 +16,10 @@ Decoding joins the pieces, turns byte tokens back to text and drops the space
 that encoding put in front.
 
 Defined results: null texts are empty and have no ids; each input row gives
-one row; empty tables give empty tables; other columns are not read.  The job
-is one pass without a shuffle.
+one row; empty tables give empty tables; other columns are not read.  Very long
+texts and words (a text without blanks is one) are encoded as they are, and words
+of more than ``LONGEST`` characters are not kept.  The job is one pass without a
+shuffle.
 """
 from __future__ import annotations
 

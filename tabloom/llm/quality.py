@@ -8,7 +8,9 @@ source or a group of copies needs no care.
 
 Defined results: null and empty texts have no words, all counts 0, and fail
 the base rule; repeated rows get equal verdicts; empty tables give empty
-tables; input columns other than id and text are never read.
+tables; input columns other than id and text are never read, so their names do
+not matter (``keep`` carries each row as a struct).  A very long text is one row,
+in time and space linear in its length.
 """
 from __future__ import annotations
 

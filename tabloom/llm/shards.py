@@ -12,7 +12,9 @@ driver therefore never holds more than ``BUCKETS`` ranges plus 256 per
 undecided range, whatever the number of documents.
 
 Defined results: null texts count as empty; equal texts (null and empty among
-them) share a shard; empty tables give empty tables; repeated rows are rows.
+them) share a shard; empty tables give empty tables; repeated rows are rows.  A
+very long text is a group like any other, which no cut divides; only its hashes
+and sizes are shuffled.  Columns other than id and text are not read.
 """
 from __future__ import annotations
 

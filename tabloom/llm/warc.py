@@ -23,7 +23,8 @@ is globally ordered.  Each capture gets its place in the index.
 
 Defined results: null html is an empty payload; null urls count as empty;
 repeated rows are records of their own that share the id, and the digest
-decides; empty tables give empty tables.
+decides; empty tables give empty tables.  A very long page is one record, held
+whole once in a task.  Columns other than id, url and html are not read.
 """
 from __future__ import annotations
 
