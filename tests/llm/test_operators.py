@@ -243,7 +243,7 @@ def test_suffix_dedup_default(spark, odd, small):
     texts = odd + list(small[1].values())
     got = rows(suffix_dedup.dedup(table(spark, texts)))
     assert [(r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got] == brute_spans(texts, 400)
-    assert [(r["n_shared"], r["longest_shared"]) for r in got] == brute_shared(texts, 200)
+    assert [(r["n_shared"], r["longest_shared"]) for r in got] == brute_shared(texts, suffix_dedup.SHARED)
 
 
 def test_deep_shallow_order():
