@@ -68,3 +68,20 @@ def test_contractions_like_python_re(spark):
     df = spark.createDataFrame([(s,) for s in cases], "t string")
     got = [r[0] for r in df.select(X.expand_contractions(F.col("t"))).collect()]
     assert got == [py(s) for s in cases]
+
+
+def test_contractions_one_after_another_like_python_re(spark):
+    """A word directly behind an expanded contraction is one of its own; a suffix alone is not."""
+    cases = ["a'llb'll x", "a'll'll", "'ll n't xn't", "an'tn't", "we've they're he'd it's", "é'll _'d ,'s"]
+    out = cases
+    for pat, rep in X.CONTRACTIONS:
+        out = [re.sub(pat.replace(r"[\p{L}\p{N}_]", r"\w"), rep.replace("$1", r"\1"), s) for s in out]
+    df = spark.createDataFrame([(s,) for s in cases], "t string")
+    assert [r[0] for r in df.select(X.expand_contractions("t")).collect()] == out
+
+
+def test_character_classes_of_the_engine_are_those_of_the_sql(spark):
+    every = spark.range(1, 0x3100).where("id < 55296").select(F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')").alias("t"))
+    bad = every.where(F.col("t").rlike(f"[{X._WS}]") != F.col("t").rlike(f"[{X.WS}]"))
+    assert bad.count() == 0
+    assert every.where(F.col("t").rlike(f"[{X.ALNUM}]") != F.col("t").rlike("[A-Za-z0-9]")).count() == 0
