@@ -13,8 +13,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import attach_row
+from ..functions.semantics import bound
 from ..session import ensure_checkpoint_dir
+from .joins import attach_row
+from .lookup import constant_map, known
 from .ranking import SMALL_TOP, numbered_small, row_number_by, top_by_count
 
 
@@ -80,8 +82,12 @@ def doc_term_counts(df: DataFrame, id_col: str, terms: Column) -> DataFrame:
 
 def vocab_from_counts(per_doc: DataFrame, min_df: int = 1, max_features: int | None = None) -> DataFrame:
     """(term, df, tf, term_id) from (doc, term, value) counts; see ``select_vocab``."""
-    st = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("value").alias("tf")) \
-        .where(F.col("df") >= min_df)
+    return _numbered(per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("value").alias("tf")), min_df, max_features)
+
+
+def _numbered(st: DataFrame, min_df: int, max_features: int | None) -> DataFrame:
+    """The chosen rows of (term, df, tf) with their ``term_id``."""
+    st = st.where(F.col("df") >= min_df)
     if max_features:
         st = top_by_count(st, "tf", ["term"], max_features, out="_rank").drop("_rank")
         if max_features <= SMALL_TOP:
@@ -90,50 +96,92 @@ def vocab_from_counts(per_doc: DataFrame, min_df: int = 1, max_features: int | N
     return st.withColumn("term_id", F.col("term_id") - 1)
 
 
+def _first_flags(terms: Column) -> Column:
+    """Structs (term, first) of a row's terms; ``first`` is 1 at one place of each distinct term, else 0."""
+    def flags(s: Column) -> Column:
+        return F.transform(s, lambda x, i: F.struct(x.alias("term"), ((i == 0) | ~x.eqNullSafe(F.get(s, i - 1))).cast("long").alias("first")))
+    return bound(F.sort_array(terms), flags)
+
+
+def term_stats(df: DataFrame, id_col: str, terms: Column) -> DataFrame:
+    """(term, df, tf): documents and occurrences of each term.
+
+    A document in one row counts its terms inside the row, so terms are
+    shuffled once, combined before, and never together with their document.
+    Rows that share their id with others are one document: theirs are counted
+    per (document, term) first.
+    """
+    ids = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > 1).select(F.col(id_col).alias("_id")).checkpoint()
+    one = lambda d: d.select(F.explode(_first_flags(terms)).alias("_t")).select("_t.term", F.col("_t.first").alias("_d"), F.lit(1).cast("long").alias("_v"))
+    if ids.isEmpty():
+        rows = one(df)
+    else:
+        shared = F.col(id_col).eqNullSafe(F.col("_id"))
+        many = doc_term_counts(df.join(ids, shared, "left_semi"), id_col, terms)
+        rows = one(df.join(ids, shared, "left_anti")).unionByName(many.select("term", F.lit(1).cast("long").alias("_d"), F.col("value").alias("_v")))
+    return rows.groupBy("term").agg(F.sum("_d").alias("df"), F.sum("_v").alias("tf"))
+
+
 def select_vocab(df: DataFrame, id_col: str, terms: Column, min_df: int = 1, max_features: int | None = None) -> DataFrame:
     """(term, df, tf, term_id): terms with df ≥ min_df; the ``max_features`` most
     frequent (corpus count desc, term asc); ids 0.. in term order.
 
     With ``max_features`` a histogram of the counts gives the cut-off count
-    (``top_by_count``); what reaches it is numbered by range.
+    (``top_by_count``); what reaches it is numbered by range.  The vocabulary
+    is a written table.
     """
-    return vocab_from_counts(doc_term_counts(df, id_col, terms), min_df, max_features)
+    ensure_checkpoint_dir(df.sparkSession)
+    return _numbered(term_stats(df, id_col, terms), min_df, max_features).checkpoint()
+
+
+def _hits(df: DataFrame, id_col: str, terms: Column, vocab: DataFrame) -> tuple[DataFrame, bool]:
+    """(doc, term_id), a row per occurrence of a vocabulary term, and whether the vocabulary is bounded.
+
+    A vocabulary (a written table) within the bounds of ``lookup`` is searched
+    inside the row, so other terms never leave it; a larger one is joined.
+    """
+    look = constant_map(vocab, "term", "term_id")
+    if look:
+        return df.select(id_col, F.explode(known(terms, look)).alias("term_id")), True
+    return df.select(id_col, F.explode(terms).alias("term")).join(vocab.select("term", "term_id"), "term").select(id_col, "term_id"), False
+
+
+def _with_vocab(rows: DataFrame, vocab: DataFrame, small: bool) -> DataFrame:
+    """Rows with the columns of ``vocab``, by ``term_id``; broadcast when it was measured to be small."""
+    return rows.join(F.broadcast(vocab) if small else vocab, "term_id")
 
 
 def count_long(df: DataFrame, id_col: str, terms: Column, vocab: DataFrame, binary: bool = True) -> DataFrame:
-    """(doc, term, value) for vocabulary terms; binary → 1."""
-    x = df.select(id_col, F.explode(terms).alias("term")).join(vocab.select("term", "term_id"), "term", "inner")
+    """(doc, term, term_id, value) for vocabulary terms; binary → 1.  ``vocab`` should be a written table."""
+    x, small = _hits(df, id_col, terms, vocab)
     agg = F.lit(1).cast("long") if binary else F.count(F.lit(1))
-    return x.groupBy(id_col, "term", "term_id").agg(agg.alias("value")) if not binary else \
-        x.select(id_col, "term", "term_id").distinct().withColumn("value", F.lit(1).cast("long"))
+    x = x.groupBy(id_col, "term_id").agg(agg.alias("value"))
+    return _with_vocab(x, vocab.select("term", "term_id"), small).select(id_col, "term", "term_id", "value")
 
 
 def tfidf_long(df: DataFrame, id_col: str, terms: Column, min_df: int = 1, max_features: int | None = None,
                binary: bool = False, norm: bool = True) -> DataFrame:
     """(doc, term, weight): tf · (ln((1+n)/(1+df)) + 1), L2-normalised per document (smooth idf).
 
-    The (doc, term) counts are written once and feed both the vocabulary
-    and the weights; the vocabulary side of the join is small when bounded
-    by ``max_features`` and adaptive execution broadcasts it.
+    Only vocabulary terms are shuffled with their document, by number; the
+    terms themselves are put back last.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    per_doc = doc_term_counts(df, id_col, terms).checkpoint()
-    vocab = vocab_from_counts(per_doc, min_df, max_features)
-    return _weighted(per_doc, vocab, df, id_col, binary, norm)
+    vocab = select_vocab(df, id_col, terms, min_df, max_features)
+    return _weighted(df, id_col, terms, vocab, binary, norm)
 
 
-def _weighted(per_doc: DataFrame, vocab: DataFrame, df: DataFrame, id_col: str, binary: bool = False, norm: bool = True) -> DataFrame:
+def _weighted(df: DataFrame, id_col: str, terms: Column, vocab: DataFrame, binary: bool = False, norm: bool = True) -> DataFrame:
     n = df.agg(F.count(F.lit(1)).alias("_n"))
-    idf = attach_row(vocab, n).select("term", "term_id",
-                                      (F.log((1 + F.col("_n")) / (1 + F.col("df"))) + 1).alias("idf"))
-    w = per_doc.join(idf, "term")
+    idf = attach_row(vocab, n).select("term_id", (F.log((1 + F.col("_n")) / (1 + F.col("df"))) + 1).alias("idf"))
+    x, small = _hits(df, id_col, terms, vocab)
+    w = _with_vocab(x.groupBy(id_col, "term_id").agg(F.count(F.lit(1)).alias("value")), idf, small)
     tf = F.lit(1).cast("long") if binary else F.col("value")
-    w = w.withColumn("weight", tf * F.col("idf"))
+    w = w.select(id_col, "term_id", (tf * F.col("idf")).alias("weight"))
     if norm:
         # one document's terms fit one task: the norm is a window over them, one shuffle of the weights
         l2 = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(id_col)))
         w = w.withColumn("weight", F.try_divide(F.col("weight"), l2))
-    return w.select(id_col, "term", "term_id", "weight")
+    return _with_vocab(w, vocab.select("term", "term_id"), small).select(id_col, "term", "term_id", "weight")
 
 
 def count_vector(df: DataFrame, tokens: str, out: str = "counts", binary: bool = True, min_df: float = 1.0,
@@ -192,10 +240,8 @@ def one_hot_block(df: DataFrame, id_col: str, col: str, name: str | None = None)
 
 def text_block(df: DataFrame, id_col: str, terms: Column, name: str, min_df: int, max_features: int, tfidf: bool = False) -> Block:
     """Bag of terms over a bounded vocabulary: presence, or TF-IDF weights (L2 norm per document)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    counts = doc_term_counts(df, id_col, terms).checkpoint()
-    vocab = vocab_from_counts(counts, min_df, max_features).checkpoint()
-    rows = _weighted(counts, vocab, df, id_col) if tfidf else counts.join(vocab.select("term", "term_id"), "term").withColumn("weight", F.lit(1.0))
+    vocab = select_vocab(df, id_col, terms, min_df, max_features)
+    rows = _weighted(df, id_col, terms, vocab) if tfidf else count_long(df, id_col, terms, vocab).withColumn("weight", F.col("value").cast("double"))
     return Block(name, rows.select(id_col, F.col("term_id").alias("index"), F.col("weight").alias("value")), vocab.agg(F.count(F.lit(1)).alias("width")))
 
 

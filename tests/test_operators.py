@@ -203,3 +203,20 @@ def test_column_selector_is_saved(spark, tmp_path):
     m = pipelines.scaled_features(["id"], ["ab", "v"]).fit(x)
     again = pipelines.save_and_load(m, str(tmp_path / "m"))
     assert [r["features"] for r in m.transform(x).orderBy("id").collect()] == [r["features"] for r in again.transform(x).orderBy("id").collect()]
+
+
+def test_term_stats_of_repeated_and_null_ids_and_terms(spark):
+    from tabloom.operators import vectorize as V
+    rows = [(1, ["a", "b", "a"]), (2, ["a"]), (2, ["b", None, None]), (None, ["c", None]), (None, ["c"]), (3, []), (4, None), (5, [None, None])]
+    df = spark.createDataFrame(rows, "i int, t array<string>")
+    got = {r["term"]: (r["df"], r["tf"]) for r in V.term_stats(df, "i", F.col("t")).collect()}
+    assert got == {"a": (2, 3), "b": (2, 2), "c": (1, 2), None: (3, 5)}
+
+
+def test_vocabulary_terms_alone_are_shuffled_with_their_document(spark):
+    from tabloom.operators import vectorize as V
+    df = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["a", "z"]), (2, ["b"])], "i int, t array<string>")
+    voc = V.select_vocab(df, "i", F.col("t"), 2)
+    out = V.count_long(df, "i", F.col("t"), voc, binary=False)
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "a", 0, 2), (1, "b", 1, 1), (2, "a", 0, 1), (2, "b", 1, 1)]
+    assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
