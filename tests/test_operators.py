@@ -220,3 +220,14 @@ def test_vocabulary_terms_alone_are_shuffled_with_their_document(spark):
     out = V.count_long(df, "i", F.col("t"), voc, binary=False)
     assert sorted(tuple(r) for r in out.collect()) == [(1, "a", 0, 2), (1, "b", 1, 1), (2, "a", 0, 1), (2, "b", 1, 1)]
     assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_word_vectors_are_trained_in_several_tasks(spark, monkeypatch):
+    from pyspark.ml import feature
+    from tabloom.operators import embed as EM
+    seen, fit = [], feature.Word2Vec.fit
+    monkeypatch.setattr(feature.Word2Vec, "fit", lambda self, df: seen.append(self.getNumPartitions()) or fit(self, df))
+    monkeypatch.setattr(EM, "TRAIN_TOKENS", 100)
+    df = spark.createDataFrame([(["a", "b", "c", "d"],)] * 100, "t array<string>")
+    assert EM.train_vectors(df, "t", dim=4).count() == 4
+    assert seen == [4]
