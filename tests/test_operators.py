@@ -137,7 +137,7 @@ def test_trailing_plan_holds_no_group(spark):
     assert "median(" not in p and "collect_list" not in p and "Generate" not in p
 
 
-def test_sequences_shuffle_no_tokens(spark):
+def test_sequences_shuffles_no_tokens(spark):
     import __spark_entry__ as E
     p = E.queries()["sq_pad_pre"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in p and "collect_list" not in p
@@ -231,3 +231,27 @@ def test_word_vectors_are_trained_in_several_tasks(spark, monkeypatch):
     df = spark.createDataFrame([(["a", "b", "c", "d"],)] * 100, "t array<string>")
     assert EM.train_vectors(df, "t", dim=4).count() == 4
     assert seen == [4]
+
+
+@pytest.mark.parametrize("bound", [64 << 20, 40, 0])
+def test_doc_vectors_against_brute_force(spark, monkeypatch, bound):
+    """Whatever part of the vectors is broadcast; repeated and NULL ids, unknown words, a NULL vector, a word with two ids."""
+    from tabloom.operators import embed as EM
+    monkeypatch.setattr(EM, "BROADCAST_BYTES", bound)
+    docs = [(1, ["a", "b", "a"]), (1, ["c"]), (2, ["x"]), (3, []), (4, None), (None, ["a"]), (5, ["d", "e", "e", "x"])]
+    vocab, vecs = [("a", 1), ("b", 2), ("c", 3), ("d", 4), ("e", 5), ("e", 6), ("f", 7)], {1: [1.0, 2.0], 2: [4.0, 8.0], 3: [3.0, -1.0], 4: None, 5: [5.0, 0.5], 6: [1.0, 1.0]}
+    got = EM.doc_vectors(spark.createDataFrame(docs, "id int, t array<string>"), "id", "t", spark.createDataFrame(vocab, "word string, idx long"),
+                         spark.createDataFrame([*vecs.items()], "vec_id long, embedding array<float>"), 2)
+    text = {i: [w for j, t in docs if j == i for w in t or []] for i, _ in docs if i is not None}
+    hits = {i: [vecs[k] for w in t for x, k in vocab if x == w and vecs.get(k)] for i, t in text.items()}
+    want = sorted((i or -1, p, sum(v[p] for v in hits.get(i, [])) / max(1, len(hits.get(i, [])))) for i, _ in docs for p in range(2))
+    assert sorted((-1 if r["id"] is None else r["id"], r["pos"], round(r["value"], 9)) for r in got.collect()) == [(i, p, round(x, 9)) for i, p, x in want]
+
+
+def test_doc_vectors_shuffles_no_tokens(spark):
+    """Nothing is shuffled by document and token, or by a token's number; only sums by document are."""
+    from tabloom.operators import embed as EM
+    docs, vocab = spark.createDataFrame([(1, ["a"])], "id int, t array<string>"), spark.createDataFrame([("a", 1)], "word string, idx long")
+    plan = EM.doc_vectors(docs, "id", "t", vocab, spark.createDataFrame([(1, [1.0])], "vec_id long, embedding array<double>"), 1)._jdf.queryExecution().executedPlan().toString()
+    moved = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert moved and not any("_w" in x or "_k" in x for x in moved)
