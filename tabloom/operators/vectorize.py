@@ -85,6 +85,11 @@ def vocab_from_counts(per_doc: DataFrame, min_df: int = 1, max_features: int | N
     return _numbered(per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("value").alias("tf")), min_df, max_features)
 
 
+def vocab_from_stats(stats: DataFrame, min_df: int = 1, max_features: int | None = None) -> DataFrame:
+    """(term, df, tf, term_id) from (term, df, tf); see ``select_vocab``."""
+    return _numbered(stats, min_df, max_features)
+
+
 def _numbered(st: DataFrame, min_df: int, max_features: int | None) -> DataFrame:
     """The chosen rows of (term, df, tf) with their ``term_id``."""
     st = st.where(F.col("df") >= min_df)

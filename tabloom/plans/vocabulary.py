@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..operators import chargrams as C
 from ..operators import vectorize as V
 from ..operators import vocab as VO
 from ..sources.fixtures import table
@@ -141,9 +142,8 @@ FROM documents d LEFT JOIN c USING (doc_id) GROUP BY d.doc_id""")
 def q_vz_char_ngram(spark, d):
     """Binary character 1- to 6-grams against a vocabulary of 200,000; per document their number and id sum."""
     docs = table(spark, d, "documents").select("doc_id", F.lower("text").alias("t"))
-    counts = V.doc_term_counts(docs, "doc_id", V.char_ngram_range(F.col("t"), 1, 6)).checkpoint()
-    voc = V.vocab_from_counts(counts, 5, 200_000)
-    kept = counts.join(voc.select("term", "term_id"), "term").select("doc_id", "term", "term_id")
+    voc = V.vocab_from_stats(C.char_term_stats(docs, "doc_id", "t", 1, 6), 5, 200_000).checkpoint()
+    kept = C.char_hits(docs, "doc_id", "t", 1, 6, voc)
     n = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_grams"), F.sum("term_id").alias("id_sum"))
     return docs.select("doc_id").join(n, "doc_id", "left").fillna(0, ["n_grams", "id_sum"])
 

@@ -255,3 +255,33 @@ def test_doc_vectors_shuffles_no_tokens(spark):
     plan = EM.doc_vectors(docs, "id", "t", vocab, spark.createDataFrame([(1, [1.0])], "vec_id long, embedding array<double>"), 1)._jdf.queryExecution().executedPlan().toString()
     moved = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
     assert moved and not any("_w" in x or "_k" in x for x in moved)
+
+
+@pytest.mark.parametrize("chars,big", [(1 << 22, False), (7, False), (1, True)])
+def test_char_grams_against_brute_force(spark, monkeypatch, chars, big):
+    """Any block size, alphabets whose grams need more than 63 bits, shared and NULL ids, NULL and empty texts, zero characters; vocabulary sent or joined."""
+    from tabloom.operators import chargrams as C
+    monkeypatch.setattr(C, "BLOCK_CHARS", chars)
+    rng = random.Random(3)
+    wide = "".join(chr(0x4E00 + i) for i in range(4000))
+    texts = [(1, "abcabcabc"), (2, "ab"), (2, "bcab"), (None, "abc"), (None, "cab"), (3, None), (4, ""), (5, "a\0\0\0"), (6, "\0"), (7, "é€\U0001F600x" * 3), (8, wide + wide[:50]), (9, "".join(rng.choices("ab" + wide[:90], k=300)))]
+    d = spark.createDataFrame(texts, "id int, t string")
+    grams = defaultdict(Counter)
+    for i, t in texts:
+        for n in range(2, 7):
+            grams[i].update((t or "")[k:k + n] for k in range(len(t or "") - n + 1))
+    df, tf = Counter(g for c in grams.values() for g in c), sum(grams.values(), Counter())
+    stats = C.char_term_stats(d, "id", "t", 2, 6)
+    assert {r["term"]: (r["df"], r["tf"]) for r in stats.collect()} == {g: (df[g], tf[g]) for g in tf}
+    voc = {g: i for i, g in enumerate(sorted(g for g in df if df[g] > 1 or tf[g] > 1))}
+    if big:
+        monkeypatch.setattr(C, "MAX_ROWS", 1)
+    hits = C.char_hits(d, "id", "t", 2, 6, spark.createDataFrame([*voc.items()], "term string, term_id long"))
+    assert Counter(map(tuple, hits.collect())) == Counter((i, voc[g]) for i, c in grams.items() for g in c if g in voc)
+
+
+def test_char_ngram_query_shuffles_no_grams(spark):
+    """A document's grams are counted in its task: what is shuffled with a document is a sum."""
+    import __spark_entry__ as E
+    plan = E.queries()["vz_char_ngram"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert not any("Exchange" in x and "term" in x for x in plan.splitlines())
