@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.semantics import bound
 from ..session import ensure_checkpoint_dir
-from .lookup import constant_map, first_known, known, split_join
+from .lookup import constant_map, first_known, known, replace_tokens, split_join
 from .ranking import row_number_by, top_by_count
 
 
@@ -60,8 +60,8 @@ def _reassemble(df: DataFrame, j: DataFrame, id_col: str, value: str, out: str,
 def drop_rare(df: DataFrame, id_col: str, tokens: Column | str, min_df: int = 5, out: str = "kept") -> DataFrame:
     """Tokens with document frequency ≥ min_df, in their original order (array).
 
-    A vocabulary within the bounds of ``lookup`` filters inside the row; a
-    larger one meets the tokens in a join that keeps heavy words apart.
+    A vocabulary within the bounds of ``lookup`` filters inside the row; of a
+    larger one its commonest words do, and only other tokens are joined.
     """
     t = F.col(tokens) if isinstance(tokens, str) else tokens
     ensure_checkpoint_dir(df.sparkSession)
@@ -69,8 +69,9 @@ def drop_rare(df: DataFrame, id_col: str, tokens: Column | str, min_df: int = 5,
     look = constant_map(vocab, "_tok", "df")
     if look:
         return df.select(id_col, F.filter(t, lambda w: look(w).isNotNull()).alias(out))
-    j = split_join(_explode_pos(df, id_col, t), vocab.select("_tok"), "_tok", "left_semi")
-    return _reassemble(df, j, id_col, "_tok", out, F.array().cast("array<string>"))
+    d = df.select(id_col, t.alias("_t"))
+    r = replace_tokens(d, "_t", vocab.withColumn("_kept", F.col("_tok")), "_tok", "_kept", "df", "_k")
+    return r.select(id_col, F.coalesce("_k", F.array().cast("array<string>")).alias(out))
 
 
 def encode(df: DataFrame, id_col: str, tokens: Column | str, vocab: DataFrame, max_len: int | None = None,

@@ -285,3 +285,45 @@ def test_char_ngram_query_shuffles_no_grams(spark):
     import __spark_entry__ as E
     plan = E.queries()["vz_char_ngram"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not any("Exchange" in x and "term" in x for x in plan.splitlines())
+
+
+def test_basket_features_shuffle_no_wide_rows(spark):
+    """Labels meet the narrow (user, product) rows: after the join with the users nothing is shuffled."""
+    from tabloom.operators import basket
+    o = spark.createDataFrame([(1, 7, "prior", 1, None), (2, 7, "prior", 2, 3.0), (3, 7, "train", 3, 4.0), (4, 8, "prior", 1, None), (5, 8, "test", 2, 1.0)],
+                              "order_id long, user_id long, eval_set string, order_number int, days_since_prior_order double")
+    li = spark.createDataFrame([(1, 10, 1, 0), (2, 10, 2, 1), (2, 11, 1, 0), (3, 11, 1, 1), (3, 12, 2, 0), (4, 10, 3, 0), (5, 10, 1, 1)],
+                               "order_id long, product_id long, add_to_cart_order int, reordered int")
+    b = basket.basket_features(o, li)
+    got = {(r["user_id"], r["product_id"]): r for r in b.collect()}
+    assert {k: r["reordered"] for k, r in got.items()} == {(7, 10): 0, (7, 11): 1, (8, 10): None}
+    r = got[7, 10]
+    assert (r["up_orders"], r["up_average_cart_position"], r["prod_orders"], r["prod_reorder_probability"], r["user_distinct_products"], r["user_reorder_ratio"]) == (2, 1.5, 3, 0.5, 2, 0.5)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = basket.basket_features(o, li)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "Join" in plan.split("Exchange")[0] and "SortMergeJoin [user_id" in plan.split("Exchange")[0] and "product_id" not in plan.split("Exchange")[0].split("SortMergeJoin")[1].split("]")[0]
+
+
+@pytest.mark.parametrize("rows", [0, 1, 4])
+def test_tokens_beyond_the_bounds(spark, monkeypatch, rows):
+    """Commonest keys in the row, the others joined: repeated rows and ids, NULL and empty texts, a form with two lemmas."""
+    from tabloom.operators import text as TO
+    monkeypatch.setattr(lookup, "MAX_ROWS", rows)
+    none = lambda real: lambda *a, **k: None
+    for m in (vocab, TO):
+        monkeypatch.setattr(m, "constant_map", none(m.constant_map))
+    texts = [(1, "cats and dogs and cats"), (1, "cats and dogs and cats"), (1, "dogs"), (2, ""), (3, None), (None, "and and birds"), (4, "cats  cats birds and fish")]
+    d = spark.createDataFrame(texts, "id int, x string")
+    lem = spark.createDataFrame([("cats", "cat"), ("birds", "bird"), ("birds", "birdy"), ("fish", "fisch")], "form string, lemma string")
+    new = {"cats": "cat", "birds": "bird", "fish": "fisch"}
+    got = TO.normalize_tokens(d, "id", "x", lem, out="y").select("id", "x", "y").collect()
+    assert Counter(map(tuple, got)) == Counter((i, x, None if x is None else " ".join(new.get(w, w) for w in x.split())) for i, x in texts)
+    t = d.selectExpr("id", "split(x, ' +') AS t").where("x != ''")
+    kept = {"cats", "and", "dogs"}
+    got = vocab.drop_rare(t, "id", "t", 2).collect()
+    df = {w: len({i for i, x in texts if x and w in x.split()}) for w in ("cats", "and", "dogs", "birds", "fish")}
+    rows_with = Counter(w for _, x in texts if x for w in set(x.split()))
+    assert kept and Counter((r["id"], tuple(r["kept"])) for r in got) == Counter((i, tuple(w for w in x.split() if rows_with[w] >= 2)) for i, x in texts if x) and df
