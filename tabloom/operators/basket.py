@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.semantics import safe_div
+from ..sources.io import stage
 
 
 def prior_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
@@ -23,6 +24,15 @@ def prior_lines(orders: DataFrame, lines: DataFrame) -> DataFrame:
     return po.join(lines, "order_id", "inner")
 
 
+def pair_counts(op: DataFrame) -> DataFrame:
+    """One row per (user, product): what the product, user and pair features need of its lines."""
+    return op.groupBy("user_id", "product_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("reordered").alias("_r"),
+        F.count_if(F.col("reordered") == 1).alias("_r1"), F.count_if(F.col("order_number") > 1).alias("_later"),
+        F.min("order_number").alias("_first"), F.max("order_number").alias("_last"),
+        F.sum("add_to_cart_order").alias("_cart"), F.count("add_to_cart_order").alias("_carts"))
+
+
 def product_features(op: DataFrame) -> DataFrame:
     """prod_orders, prod_reorder_probability, prod_reorder_times, prod_reorder_ratio.
 
@@ -30,8 +40,10 @@ def product_features(op: DataFrame) -> DataFrame:
     ``product_time == 2`` once per pair bought at least twice, so both
     counts come from a pair aggregate — no per-pair numbering is needed.
     """
-    pairs = op.groupBy("user_id", "product_id").agg(F.count(F.lit(1)).alias("_n"),
-                                                     F.sum("reordered").alias("_r"))
+    return _products(pair_counts(op))
+
+
+def _products(pairs: DataFrame) -> DataFrame:
     a = pairs.groupBy("product_id").agg(
         F.sum("_n").alias("prod_orders"),
         F.sum("_r").alias("prod_reorders"),
@@ -54,16 +66,23 @@ def user_order_features(orders: DataFrame) -> DataFrame:
 
 def user_product_mix(op: DataFrame) -> DataFrame:
     """user_total_products, user_reorder_ratio, user_distinct_products."""
-    return op.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("user_total_products"),
-        safe_div(F.count_if(F.col("reordered") == 1),
-                 F.count_if(F.col("order_number") > 1)).alias("user_reorder_ratio"),
-        F.count_distinct("product_id").alias("user_distinct_products"))
+    return _mix(pair_counts(op))
+
+
+def _mix(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("user_id").agg(
+        F.sum("_n").alias("user_total_products"),
+        safe_div(F.sum("_r1"), F.sum("_later")).alias("user_reorder_ratio"),
+        F.count("product_id").alias("user_distinct_products"))
 
 
 def user_features(orders: DataFrame, op: DataFrame) -> DataFrame:
     """Both user blocks + user_average_basket + the user's current (train/test) order."""
-    u = user_order_features(orders).join(user_product_mix(op), "user_id", "inner")
+    return _users(orders, pair_counts(op))
+
+
+def _users(orders: DataFrame, pairs: DataFrame) -> DataFrame:
+    u = user_order_features(orders).join(_mix(pairs), "user_id", "inner")
     u = u.withColumn("user_average_basket", safe_div("user_total_products", "user_orders"))
     cur = orders.where(F.col("eval_set") != "prior").select(
         "user_id", "order_id", "eval_set", "days_since_prior_order")
@@ -72,11 +91,12 @@ def user_features(orders: DataFrame, op: DataFrame) -> DataFrame:
 
 def pair_features(op: DataFrame) -> DataFrame:
     """up_first_order, up_last_order, up_orders, up_average_cart_position."""
-    return op.groupBy("user_id", "product_id").agg(
-        F.min("order_number").alias("up_first_order"),
-        F.max("order_number").alias("up_last_order"),
-        F.count(F.lit(1)).alias("up_orders"),
-        F.avg("add_to_cart_order").alias("up_average_cart_position"))
+    return _pairs(pair_counts(op))
+
+
+def _pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.select("user_id", "product_id", F.col("_first").alias("up_first_order"), F.col("_last").alias("up_last_order"),
+                        F.col("_n").alias("up_orders"), safe_div("_cart", "_carts").alias("up_average_cart_position"))
 
 
 def basket_features(orders: DataFrame, lines: DataFrame) -> DataFrame:
@@ -84,22 +104,21 @@ def basket_features(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
     ``reordered`` is the label from the user's train order (0 when the
     product is absent from it); NULL for test users.
+
+    Lines become (user, product) counts once, a written table that all three
+    blocks read.  Labels and product features meet these narrow rows; the
+    user's columns come last, so wide rows are never shuffled.
     """
-    op = prior_lines(orders, lines)
-    users = user_features(orders, op)
-    prd = product_features(op)
-    up = pair_features(op)
-    d = users.join(prd.join(up, "product_id", "inner"), "user_id", "inner")
-    d = d.withColumns({
-        "up_order_rate": safe_div("up_orders", "user_orders"),
-        "up_orders_since_last_order": F.col("user_orders") - F.col("up_last_order"),
-        "up_order_rate_since_first_order": safe_div(
-            "up_orders", F.col("user_orders") - F.col("up_first_order") + 1),
-    })
+    pairs = stage(pair_counts(prior_lines(orders, lines)), "basket_pairs")
     train_lines = (orders.where(F.col("eval_set") == "train").select("order_id", "user_id")
                    .join(lines.select("order_id", "product_id", F.col("reordered").alias("label")),
                          "order_id").drop("order_id"))
-    d = d.join(train_lines, ["user_id", "product_id"], "left")
+    up = _pairs(pairs).join(train_lines, ["user_id", "product_id"], "left")
+    d = _users(orders, pairs).join(_products(pairs).join(up, "product_id", "inner"), "user_id", "inner")
+    d = d.select("user_id", "product_id", *[c for c in d.columns if c not in ("user_id", "product_id", "label")],
+                 safe_div("up_orders", "user_orders").alias("up_order_rate"),
+                 (F.col("user_orders") - F.col("up_last_order")).alias("up_orders_since_last_order"),
+                 safe_div("up_orders", F.col("user_orders") - F.col("up_first_order") + 1).alias("up_order_rate_since_first_order"), "label")
     return d.withColumn("reordered", F.when(F.col("eval_set") == "train",
                                             F.coalesce(F.col("label"), F.lit(0)))).drop("label")
 
