@@ -25,7 +25,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..sources.io import stage
 from .ranking import running_totals, value_cuts
 
 STATS7 = ("min", "mean", "median", "max", "count", "std", "skew")
@@ -42,7 +42,7 @@ def split_base_history(df: DataFrame, ts: str, group_keys: Sequence[str], moment
     """(base, history) with helper columns _t, _M (group max), _L1, _L2.
 
     ``longest`` is the longest horizon that will be asked for: older history
-    cannot reach any feature and is left out.  ``materialize`` checkpoints the
+    cannot reach any feature and is left out.  ``materialize`` writes the
     prepared table (shared checkpoint folder), which every feature block reads
     several times.
     """
@@ -55,8 +55,7 @@ def split_base_history(df: DataFrame, ts: str, group_keys: Sequence[str], moment
     if longest is not None:
         t = t.where((F.col("_t") >= F.col("_L1")) | _in_horizon(longest, moment_us, k))
     if materialize:
-        ensure_checkpoint_dir(t.sparkSession)
-        t = t.checkpoint(eager=True)
+        t = stage(t, "history")
     base = t.where(F.col("_t") >= F.col("_L1"))
     hist = t.where(F.col("_t") < F.col("_L1"))
     return base, hist
