@@ -13,6 +13,7 @@ from ..operators import aggregate as A
 from ..operators import metrics as M
 from ..operators import model as ML
 from ..sources.fixtures import table
+from ..sources.io import stage
 from . import query
 from .screening import FEATURES, feature_table
 from .text import s_tokens
@@ -152,7 +153,8 @@ SELECT step, 2.0 * count_if(score > 0.7 AND y = 1) / nullif(2 * count_if(score >
        + count_if(NOT coalesce(score > 0.7, false) AND y = 1), 0) AS f1,
        sqrt(avg(pow(score - y, 2))) AS rmse FROM x GROUP BY step""")
 def q_mt_scores_table(spark, d):
-    s = scored(spark, d)
+    # both metrics of both labels read the scores: the texts are split once
+    s = stage(scored(spark, d).select("score", "toxic", "quality"), "scores")
     x = s.select(F.lit("toxic").alias("step"), F.col("toxic").alias("y"), "score").unionByName(
         s.select(F.lit("quality").alias("step"), F.col("quality").alias("y"), "score"))
     f = M.f1(x.withColumn("score", F.coalesce("score", F.lit(0.0))), "score", "y", 0.7, by=["step"]) \
@@ -228,6 +230,8 @@ def q_ml_top_coef(spark, d):
     docs = table(spark, d, "documents").select("doc_id", X.tokens(F.lower("text")).alias("tk"))
     lab = docs.join(table(spark, d, "labels").select("doc_id", "toxic"), "doc_id")
     vec, cv = V.count_vector(lab, "tk", "features", binary=True, min_df=5.0, vocab_size=2000)
+    # the fit reads its rows several times: the texts are split once for it
+    vec = stage(vec.select("features", "toxic"), "term_vectors")
     m = ML.fit_logreg(vec, "features", "toxic", C=20.0)
     vocab = spark.createDataFrame(list(enumerate(cv.vocabulary)), "term_id long, term string")
     return ML.top_coefficients(spark, m.coefficients, vocab, n=10).select("term", "coef")
