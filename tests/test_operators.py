@@ -233,6 +233,18 @@ def test_word_vectors_are_trained_in_several_tasks(spark, monkeypatch):
     assert seen == [4]
 
 
+def test_word_vectors_of_the_query_are_trained_in_full(spark, monkeypatch, tmp_path):
+    """400 dimensions and 5 passes over every text, as the reference trains."""
+    import __spark_entry__ as E
+    from pyspark.ml import feature
+    seen, fit = [], feature.Word2Vec.fit
+    monkeypatch.setattr(feature.Word2Vec, "fit", lambda self, df: seen.append((self.getVectorSize(), self.getMaxIter(), self.getWindowSize(), self.getMinCount(), df.count())) or fit(self, df))
+    spark.createDataFrame([(i, "One two ONE three" if i else "rare") for i in range(6)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["word"]: r["vector"] for r in E.queries()["em_train"](spark, str(tmp_path)).collect()}
+    assert seen == [(400, 5, 5, 5, 6)]
+    assert {w: len(v) for w, v in got.items()} == {"one": 400, "two": 400, "three": 400}
+
+
 @pytest.mark.parametrize("bound", [64 << 20, 40, 0])
 def test_doc_vectors_against_brute_force(spark, monkeypatch, bound):
     """Whatever part of the vectors is broadcast; repeated and NULL ids, unknown words, a NULL vector, a word with two ids."""
