@@ -85,3 +85,19 @@ def test_character_classes_of_the_engine_are_those_of_the_sql(spark):
     bad = every.where(F.col("t").rlike(f"[{X._WS}]") != F.col("t").rlike(f"[{X.WS}]"))
     assert bad.count() == 0
     assert every.where(F.col("t").rlike(f"[{X.ALNUM}]") != F.col("t").rlike("[A-Za-z0-9]")).count() == 0
+
+
+def test_full_profile_has_its_lemma_step(spark, tmp_path):
+    """Code and SQL: tokens left by the stop words get their lemma; NULL and empty texts, repeated rows and ids."""
+    import duckdb
+
+    import __spark_entry__ as E
+    rows = [(1, "Cats and the cat won't see dogs"), (1, "Cats and the cat won't see dogs"), (1, "a dog's bones"), (2, None), (3, ""), (4, "12trees trees tree bone, bone trees!"), (None, "birds")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = E.queries()["cl_profile_full"](spark, str(tmp_path)).collect()
+    same = "cat cat will not see dogs"  # the corpus has "dog's", not "dog"
+    want = [(1, same), (1, same), (1, "dog bone"), (2, None), (3, ""), (4, "12 tree tree tree bone bone tree"), (None, "birds")]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert sorted(con.execute(E.oracle_sql()["cl_profile_full"]).fetchall(), key=str) == sorted(want, key=str)
