@@ -243,6 +243,13 @@ def one_hot_block(df: DataFrame, id_col: str, col: str, name: str | None = None)
     return Block(name or f"onehot_{col}", rows.select(id_col, F.col("_code").alias("index"), F.lit(1.0).alias("value")), d.agg(F.count(F.lit(1)).alias("width")))
 
 
+def tfidf_grams(df: DataFrame, id_col: str, tokens: str, lo: int, hi: int, min_df: int, max_features: int, binary: bool = False, norm: bool = True) -> DataFrame:
+    """``tfidf_long`` of the word n-grams, lo ≤ n ≤ hi, of a column of tokens without blanks; counted level by level (``wordgrams``) within its bounds."""
+    from .wordgrams import gram_index, gram_rows
+    g = gram_index(df, id_col, tokens, lo, hi, min_df, max_features)
+    return gram_rows(g, binary, norm) if g else tfidf_long(df, id_col, ngram_range(F.col(tokens), lo, hi), min_df, max_features, binary, norm)
+
+
 def text_block(df: DataFrame, id_col: str, terms: Column, name: str, min_df: int, max_features: int, tfidf: bool = False) -> Block:
     """Bag of terms over a bounded vocabulary: presence, or TF-IDF weights (L2 norm per document)."""
     vocab = select_vocab(df, id_col, terms, min_df, max_features)

@@ -176,7 +176,7 @@ SELECT doc_id, term, term_id, weight / nullif(sqrt(sum(weight * weight) OVER (PA
         docs = _docs(spark, d)
         if stop:
             docs = docs.withColumn("tk", F.filter("tk", lambda t: ~t.isin(["the", "a", "an", "and", "of", "to", "in", "is", "it"])))
-        return V.tfidf_long(docs, "doc_id", V.ngram_range(F.col("tk"), lo, hi), min_df=min_df, max_features=max_features, binary=binary)
+        return V.tfidf_grams(docs, "doc_id", "tk", lo, hi, min_df, max_features, binary=binary)
 
 
 _tfidf_variant("vz_tfidf_words", 1, 1, 5, 100_000, False, False)
