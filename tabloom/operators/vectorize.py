@@ -216,10 +216,11 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataF
 @dataclass(frozen=True)
 class Block:
     """A block of features in long form: ``rows`` (id, index from 0, value) and the number of its features,
-    a number or a one-row table with column ``width``."""
+    a number or a one-row table with column ``width``.  ``packed``: ``rows`` is (id, indices, values) instead, no index twice for an id."""
     name: str
     rows: DataFrame
     width: int | DataFrame
+    packed: bool = False
 
 
 def dense_block(df: DataFrame, id_col: str, cols: Sequence[str], name: str = "dense") -> Block:
@@ -250,6 +251,15 @@ def tfidf_grams(df: DataFrame, id_col: str, tokens: str, lo: int, hi: int, min_d
     return gram_rows(g, binary, norm) if g else tfidf_long(df, id_col, ngram_range(F.col(tokens), lo, hi), min_df, max_features, binary, norm)
 
 
+def gram_block(df: DataFrame, id_col: str, tokens: str, lo: int, hi: int, name: str, min_df: int, max_features: int, tfidf: bool = False) -> Block:
+    """``text_block`` of the word n-grams, lo ≤ n ≤ hi, of a column of tokens without blanks."""
+    from .wordgrams import gram_arrays, gram_index
+    g = gram_index(df, id_col, tokens, lo, hi, min_df, max_features)
+    if g is None:
+        return text_block(df, id_col, ngram_range(F.col(tokens), lo, hi), name, min_df, max_features, tfidf)
+    return Block(name, gram_arrays(g, tfidf, binary=not tfidf), len(g.df), packed=True)
+
+
 def text_block(df: DataFrame, id_col: str, terms: Column, name: str, min_df: int, max_features: int, tfidf: bool = False) -> Block:
     """Bag of terms over a bounded vocabulary: presence, or TF-IDF weights (L2 norm per document)."""
     vocab = select_vocab(df, id_col, terms, min_df, max_features)
@@ -261,9 +271,10 @@ def sparse_union(blocks: Sequence[Block], id_col: str) -> DataFrame:
     """(id, size, indices, values): one sparse vector per document, the blocks side by side in the order given.
 
     Each block's rows are shifted by the widths of the blocks before it and
-    one aggregation puts a document's rows together; no vocabulary or vector
-    passes through the driver.  Features that meet in an index (hashing) are
-    added; zeros and NULLs are left out.
+    put together per document; no vocabulary or vector passes through the
+    driver.  Features that meet in an index (hashing) are added first; packed
+    blocks, where none do, are shuffled once, as arrays.  Zeros and NULLs are
+    left out.
     """
     width = [b.width if isinstance(b.width, DataFrame) else None for b in blocks]
     first = next((w for w in width if w is not None), None)
@@ -278,16 +289,26 @@ def sparse_union(blocks: Sequence[Block], id_col: str) -> DataFrame:
         else:
             offset = offset + F.lit(b.width)
     offsets = one.select(*names, offset.alias("size"))
-    rows = None
+    rows, packed = None, []
     for i, b in enumerate(blocks):
+        if b.packed:
+            by = F.col(f"_o{i}")
+            packed.append(attach_row(b.rows, offsets).select(id_col, F.transform("indices", lambda x: x.cast("long") + by).alias("_i"), F.col("values").cast("array<double>").alias("_v")))
+            continue
         r = b.rows.select(id_col, F.lit(i).alias("_b"), F.col("index").cast("long").alias("index"), F.col("value").cast("double").alias("value"))
         rows = r if rows is None else rows.unionByName(r)
-    shift = F.element_at(F.array(*[F.col(f"_o{i}") for i in range(len(blocks))]), F.col("_b") + 1)
-    rows = attach_row(rows, offsets).select(id_col, "size", (F.col("index") + shift).alias("index"), "value")
-    cells = rows.groupBy(id_col, "size", "index").agg(F.sum("value").alias("value"))
-    pairs = F.array_sort(F.filter(F.collect_list(F.struct("index", "value")), lambda x: F.coalesce(x["value"], F.lit(0.0)) != 0))
-    v = cells.groupBy(id_col).agg(F.max("size").alias("size"), pairs.alias("_p"))
-    return v.select(id_col, "size", F.transform("_p", lambda x: x["index"]).alias("indices"), F.transform("_p", lambda x: x["value"]).alias("values"))
+    if rows is not None:
+        shift = F.element_at(F.array(*[F.col(f"_o{i}") for i in range(len(blocks))]), F.col("_b") + 1)
+        cells = attach_row(rows, offsets).select(id_col, (F.col("index") + shift).alias("index"), "value").groupBy(id_col, "index").agg(F.sum("value").alias("value"))
+        packed.append(cells.groupBy(id_col).agg(F.collect_list(F.struct("index", F.coalesce("value", F.lit(0.0)).alias("value"))).alias("_c"))
+                      .select(id_col, F.col("_c.index").alias("_i"), F.col("_c.value").alias("_v")))
+    every = packed[0]
+    for p in packed[1:]:
+        every = every.unionByName(p)
+    v = every.groupBy(id_col).agg(F.flatten(F.collect_list("_i")).alias("_i"), F.flatten(F.collect_list("_v")).alias("_v"))
+    pairs = F.sort_array(F.filter(F.arrays_zip("_i", "_v"), lambda x: F.coalesce(x["_v"], F.lit(0.0)) != 0))
+    v = attach_row(v.select(id_col, pairs.alias("_p")), offsets.select("size"))
+    return v.select(id_col, "size", F.col("_p._i").alias("indices"), F.col("_p._v").alias("values"))
 
 
 def scale(df: DataFrame, cols: Sequence[str], log1p: bool = False, suffix: str = "") -> DataFrame:

@@ -224,7 +224,7 @@ def q_vz_union(spark, d):
     params = F.concat(F.array("lang", "source"), F.slice("tk", 1, 2))
     blocks = [V.dense_block(docs.withColumn("n_text", F.length("text")), "doc_id", ["n_text", "n_chars"]), V.hash_block(docs, "doc_id", ["source", "lang"], 3000),
               V.one_hot_block(docs, "doc_id", "lang"), V.text_block(docs, "doc_id", head, "head", 10, 2500),
-              V.text_block(docs.withColumn("plain", plain), "doc_id", V.ngram_range(F.col("plain"), 1, 2), "body", 10, 15000, tfidf=True),
+              V.gram_block(docs.withColumn("plain", plain), "doc_id", "plain", 1, 2, "body", 10, 15000, tfidf=True),
               V.text_block(docs.withColumn("params", params), "doc_id", V.ngram_range(F.col("params"), 2, 3), "params", 25, 30)]
     v = V.sparse_union(blocks, "doc_id")
     return v.select("doc_id", "size", F.explode(F.arrays_zip("indices", "values")).alias("x")).select("doc_id", "size", F.col("x.indices").alias("index"), F.col("x.values").alias("value"))

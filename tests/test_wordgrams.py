@@ -56,6 +56,18 @@ def test_grams_beyond_the_bounds_take_the_other_path(spark, monkeypatch):
     assert got == pytest.approx(_brute(rows, 1, 2, 2, 7, False))
 
 
+@pytest.mark.parametrize("tfidf", [True, False])
+def test_packed_block_in_a_union(spark, tfidf):
+    rows = [(i, t, float(i or 0)) for i, t in _texts()]
+    d = spark.createDataFrame(rows, "i int, t array<string>, v double")
+    union = lambda text: {r["i"]: r for r in V.sparse_union([V.dense_block(d, "i", ["v"]), text, V.hash_block(d, "i", ["v"], 3)], "i").collect()}
+    one = union(V.gram_block(d, "i", "t", 1, 2, "t", 2, 9, tfidf))
+    two = union(V.text_block(d, "i", V.ngram_range(F.col("t"), 1, 2), "t", 2, 9, tfidf))
+    assert one.keys() == two.keys()
+    for i, r in one.items():
+        assert (r["size"], r["indices"]) == (two[i]["size"], two[i]["indices"]) and r["values"] == pytest.approx(two[i]["values"])
+
+
 def test_grams_are_not_shuffled_with_their_document(spark):
     """Documents find their terms inside their row: the plan has no exchange but the broadcast of the terms."""
     d = spark.createDataFrame([(i, ["a", "b", "c"]) for i in range(9)], "i int, t array<string>")
