@@ -25,10 +25,9 @@ from ..sources.io import stage
 from .chargrams import _shared
 from .lookup import MAX_ROWS
 from .ranking import count_cut
-from .vectorize import term_stats
 
 #: Tokens of a block that a task works on at a time; a longer text is a block of its own.
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 19
 #: Most n-grams of one length, and bytes of words, that are sent to tasks.
 MAX_KNOWN, MAX_WORD_BYTES = 1_000_000, 32 << 20
 
@@ -59,17 +58,17 @@ def _numbered(batches, words):
 
 
 def _blocks(batch, most: int):
-    """(first row, word numbers, row of each within the block, rows) of the blocks of an Arrow batch."""
+    """(first row, tokens, row of each within the block, rows) of the blocks of an Arrow batch."""
     import numpy as np
     import pyarrow.compute as pc
     t = batch.column(1)
     size = pc.list_value_length(t).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    ends, flat = np.cumsum(size), t.flatten().to_numpy(zero_copy_only=False)
+    ends, flat = np.cumsum(size), t.flatten()
     first = 0
     while first < len(size):
         start = ends[first] - size[first]
         last = max(first + 1, int(np.searchsorted(ends, start + most, side="right")))
-        yield first, flat[start:ends[last - 1]], np.repeat(np.arange(last - first), size[first:last]), last - first
+        yield first, flat.slice(start, ends[last - 1] - start), np.repeat(np.arange(last - first), size[first:last]), last - first
         first = last
 
 
@@ -82,6 +81,7 @@ def _pairs(at, number, row, base: int):
 def _levels(ids, row, known):
     """(places, numbers) of the known n-grams for each n; ``known``: their number, and from n = 2 the sorted pairs."""
     import numpy as np
+    ids = ids.to_numpy(zero_copy_only=False)
     at = np.flatnonzero(ids >= 0)
     number = ids[at].astype(np.int64)
     yield at, number
@@ -99,24 +99,40 @@ def _starts(x):
     return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
 
 
-def _pair_stats(batches, known, most: int, by_id: bool):
-    """(pair, df, tf) of the n-grams one longer than the known ones in each block; ``by_id``: (id, pair, tf) of each row."""
+def _words(tokens, row):
+    """The words of a block: numbers, their rows, and the words of numbers."""
+    import numpy as np
+    import pyarrow as pa
+    d = tokens.dictionary_encode()
+    number = d.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+    on = number >= 0
+    return number[on].astype(np.int64), row[on], lambda k: d.dictionary.take(pa.array(k))
+
+
+def _longer(ids, row, known):
+    """``_words`` for the n-grams one longer than the known ones."""
+    import pyarrow as pa
+    *_, (at, number) = _levels(ids, row, known.value)
+    at, pair = _pairs(at, number, row, known.value[-1][0])
+    return pair, row[at], pa.array
+
+
+def _stats(batches, grams, most: int, by_id: bool):
+    """(key, df, tf) of the n-grams that ``grams`` finds in each block; ``by_id``: (id, key, tf) of each row."""
     import numpy as np
     import pyarrow as pa
-    known = known.value
     for b in batches:
-        for first, ids, row, rows in _blocks(b, most):
-            *_, (at, number) = _levels(ids, row, known)
-            at, key = _pairs(at, number, row, known[-1][0])
-            x = np.sort(key * rows + row[at])
+        for first, tokens, row, rows in _blocks(b, most):
+            key, of, names = grams(tokens, row)
+            x = np.sort(key * rows + of)
             one = _starts(x)
-            pair, times = x[one] // rows, np.diff(np.append(one, len(x)))
+            key, times = x[one] // rows, np.diff(np.append(one, len(x)))
             if by_id:
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(x[one] % rows + first)), pa.array(pair), pa.array(times)], ["id", "pair", "tf"])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(x[one] % rows + first)), names(key), pa.array(times)], ["id", "key", "tf"])
             else:
-                new = _starts(pair)
+                new = _starts(key)
                 tf = np.add.reduceat(times, new) if len(new) else times
-                yield pa.RecordBatch.from_arrays([pa.array(pair[new]), pa.array(np.diff(np.append(new, len(pair)))), pa.array(tf)], ["pair", "df", "tf"])
+                yield pa.RecordBatch.from_arrays([names(key[new]), pa.array(np.diff(np.append(new, len(key)))), pa.array(tf)], ["key", "df", "tf"])
 
 
 def _found(batches, sent, most: int, weight):
@@ -168,44 +184,43 @@ def gram_index(df: DataFrame, id_col: str, tokens: str, lo: int, hi: int, min_df
         tf = np.concatenate([np.zeros(0, np.int64), *counts])
         return int(np.partition(tf, -max_features)[-max_features]) if len(tf) >= max_features else 0
 
-    def level(stats: DataFrame, key: str, n: int):
-        """The rows of (key, df, tf) that a vocabulary of longest terms ``n`` or more may need, by key; None beyond the bounds."""
-        t = stats.where((F.col("df") >= min_df) & (F.col("tf") >= reached()) & F.col(key).isNotNull()).checkpoint()
+    def level(own: DataFrame, shared: DataFrame | None, grams, key: str, n: int):
+        """(key, df, tf) of the n-grams of ``n`` tokens that a vocabulary may need, by key; None beyond the bounds."""
+        rows = own.mapInArrow(lambda batches: _stats(batches, grams, most, False), f"key {key}, df long, tf long")
+        if shared is not None:
+            many = shared.mapInArrow(lambda batches: _stats(batches, grams, most, True), f"id {kind}, key {key}, tf long").groupBy("id", "key").agg(F.sum("tf").alias("tf"))
+            rows = rows.unionByName(many.select("key", F.lit(1).cast("long").alias("df"), "tf"))
+        t = rows.groupBy("key").agg(F.sum("df").alias("df"), F.sum("tf").alias("tf")).where((F.col("df") >= min_df) & (F.col("tf") >= reached())).checkpoint()
         cut = count_cut(t, "tf", max_features) if n >= lo else None
         if cut is not None:
             t = t.where(F.col("tf") >= cut)
-        size, octets = t.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.col(key).cast("string"))), F.lit(0))).first()
+        size, octets = t.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.col("key").cast("string"))), F.lit(0))).first()
         if size > MAX_KNOWN or octets > MAX_WORD_BYTES:
             return None
-        a = t.select(key, "df", "tf").toArrow().sort_by(key)
+        a = t.toArrow().sort_by("key")
         if n >= lo:
             counts.append(a["tf"].to_numpy())
             a = a.filter(pa.array(a["tf"].to_numpy() >= reached()))
         return a
 
-    words = level(term_stats(df, id_col, F.col(tokens)).withColumnRenamed("term", "word"), "word", 1)
+    own, shared = _shared(df.select(F.col(id_col).alias("id"), tokens), "id")
+    words = level(own, shared, _words, "string", 1)
     if words is None:
         return None
-    word = words["word"].to_pylist()
+    word = words["key"].to_pylist()
     sent = send(pa.array(word, pa.string()))
-    own, shared = _shared(stage(df.select(F.col(id_col).alias("id"), tokens).mapInArrow(lambda batches: _numbered(batches, sent), f"id {kind}, ids array<int>"), "word-numbers"), "id")
-    if shared is not None:  # read once for each length: neither is joined anew
-        own, shared = stage(own, "word-numbers-own"), stage(shared, "word-numbers-shared")
+    own, shared = (x if x is None else stage(x.mapInArrow(lambda batches: _numbered(batches, sent), f"id {kind}, ids array<int>"), "word-numbers") for x in (own, shared))
     known, found, terms, last = [(len(word), None)], [words], [word], list(range(len(word)))
     for n in range(2, hi + 1):
         seen = send(known)
-        rows = own.mapInArrow(lambda batches, seen=seen: _pair_stats(batches, seen, most, False), "pair long, df long, tf long")
-        if shared is not None:
-            many = shared.mapInArrow(lambda batches, seen=seen: _pair_stats(batches, seen, most, True), f"id {kind}, pair long, tf long").groupBy("id", "pair").agg(F.sum("tf").alias("tf"))
-            rows = rows.unionByName(many.select("pair", F.lit(1).cast("long").alias("df"), "tf"))
-        a = level(rows.groupBy("pair").agg(F.sum("df").alias("df"), F.sum("tf").alias("tf")), "pair", n)
+        a = level(own, shared, lambda ids, row, seen=seen: _longer(ids, row, seen), "long", n)
         if a is None:
             return None
-        pairs = a["pair"].to_numpy()
+        pairs = a["key"].to_numpy()
         left, right = np.divmod(pairs, max(1, known[-1][0]))
         last = [last[k] for k in right]
         terms.append([f"{terms[-1][i]} {word[k]}" for i, k in zip(left, last)])
-        known.append((len(pairs), pairs))
+        known = [*known, (len(pairs), pairs)]
         found.append(a)
 
     all_df, all_tf = (np.concatenate([a[c].to_numpy() for a in found[lo - 1:]]) for c in ("df", "tf"))
