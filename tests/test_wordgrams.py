@@ -75,3 +75,13 @@ def test_grams_are_not_shuffled_with_their_document(spark):
     assert out.count() == 45
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan and "BroadcastExchange" in plan
+
+
+def test_queries_shuffle_no_terms_with_their_document(spark, tmp_path):
+    """The weights and norms of both queries are found in the row: no exchange of (document, term) and no window over a document."""
+    import __spark_entry__ as E
+    rows = [(i, "the one two three one two " * 2 + f"w{i}", "en", "web", 40) for i in range(30)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    plan = lambda name: E.queries()[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan("vz_tfidf_binary")
+    assert "Window" not in plan("vz_union")
